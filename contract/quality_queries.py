@@ -17,7 +17,6 @@ from contract.stages import Stages
 from tidemark.operators import normalize, quality
 from tidemark.operators.quality import CHECKS, Tables, quality_rates, run_suite
 from tidemark.policy import QualityThresholds
-from tidemark.sources.tables import pin
 
 _DAY = "day(cutoff_date)"
 
@@ -267,19 +266,11 @@ for _name in CHECKS:
 
 
 def sound_tables(s: Stages) -> Tables:
-    """The sound stage tables, pinned: many checks read each of them."""
-    unique = pin(s.unique)
-    s.__dict__["unique"] = unique
-    snapshots = pin(s.snapshots)
-    s.__dict__["snapshots"] = snapshots
-    entities = pin(s.entities)
-    s.__dict__["entities"] = entities
-    s.__dict__["wide_events"] = pin(s.wide_events)
     return Tables(
         raw=s.raw,
         rows=s.rows,
         audit=normalize.dedup_audit(s.rows),
-        entities=entities,
+        entities=s.entities,
         events=s.events,
         violations=s.violations,
         population=s.population,

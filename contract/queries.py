@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contract.stages import Stages
+from contract.stages import Stages, StoredStages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,11 +19,15 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     return df.select(*[F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
-def register(name: str, sql: str | None = None):
-    """Add a function of `Stages` under `name`; its doubles are rounded to six places."""
+def register(name: str, sql: str | None = None, from_raw: bool = False):
+    """Add a function of the stages under `name`; its doubles are rounded to six places.
+
+    `from_raw` computes every stage within the query; otherwise it reads stored ones.
+    """
+    stages = Stages if from_raw else StoredStages
 
     def add(build: Callable[[Stages], DataFrame]):
-        REGISTRY[name] = (lambda spark, sf_dir: rounded(build(Stages(spark, sf_dir))), sql)
+        REGISTRY[name] = (lambda spark, sf_dir: rounded(build(stages(spark, sf_dir))), sql)
         return build
 
     return add

@@ -14,17 +14,17 @@ FEATURE_DOUBLES = [
 ]
 
 
-@register("raw_log", over_stages("SELECT * FROM raw"))
+@register("raw_log", over_stages("SELECT * FROM raw"), from_raw=True)
 def _(s):
     return s.raw
 
 
-@register("normalize_rows", over_stages(sql_rounded("SELECT * FROM norm", ["latitude", "longitude"])))
+@register("normalize_rows", over_stages(sql_rounded("SELECT * FROM norm", ["latitude", "longitude"])), from_raw=True)
 def _(s):
     return s.rows
 
 
-@register("dedup_rows", over_stages(sql_rounded("SELECT * FROM dedup", ["latitude", "longitude"])))
+@register("dedup_rows", over_stages(sql_rounded("SELECT * FROM dedup", ["latitude", "longitude"])), from_raw=True)
 def _(s):
     return s.unique
 
@@ -35,42 +35,43 @@ def _(s):
         "SELECT a AS input_row_count, b AS output_row_count, a - b AS exact_duplicates_removed FROM"
         " (SELECT count(*) AS a FROM norm), (SELECT count(*) AS b FROM dedup)"
     ),
+    from_raw=True,
 )
 def _(s):
     return normalize.dedup_audit(s.rows)
 
 
-@register("latest_entity", over_stages(sql_rounded("SELECT * FROM entities", ["latitude", "longitude"])))
+@register("latest_entity", over_stages(sql_rounded("SELECT * FROM entities", ["latitude", "longitude"])), from_raw=True)
 def _(s):
     return s.entities
 
 
-@register("event_rollup", over_stages(f"SELECT {', '.join(events.EVENT_COLUMNS)} FROM ev"))
+@register("event_rollup", over_stages(f"SELECT {', '.join(events.EVENT_COLUMNS)} FROM ev"), from_raw=True)
 def _(s):
     return s.events
 
 
-@register("violation_rows", over_stages("SELECT * FROM viol"))
+@register("violation_rows", over_stages("SELECT * FROM viol"), from_raw=True)
 def _(s):
     return s.violations
 
 
-@register("next_event_asof", over_stages("SELECT * FROM pop"))
+@register("next_event_asof", over_stages("SELECT * FROM pop"), from_raw=True)
 def _(s):
     return s.population
 
 
-@register("labels", over_stages("SELECT * FROM lab"))
+@register("labels", over_stages("SELECT * FROM lab"), from_raw=True)
 def _(s):
     return s.labels
 
 
-@register("labels_by_join", over_stages("SELECT * FROM lab"))
+@register("labels_by_join", over_stages("SELECT * FROM lab"), from_raw=True)
 def _(s):
     return snapshots.attach_labels(s.population, s.wide_events)
 
 
-@register("pit_features", over_stages(sql_rounded("SELECT * FROM feat", FEATURE_DOUBLES)))
+@register("pit_features", over_stages(sql_rounded("SELECT * FROM feat", FEATURE_DOUBLES)), from_raw=True)
 def _(s):
     return s.features
 
@@ -81,24 +82,24 @@ VIOLATION_FEATURES = [
 ]
 
 
-@register("pit_violation_features", over_stages(f"SELECT {', '.join(VIOLATION_FEATURES)} FROM snap_features"))
+@register("pit_violation_features", over_stages(f"SELECT {', '.join(VIOLATION_FEATURES)} FROM snap_features"), from_raw=True)
 def _(s):
     """Detail counts joined per event from the violation table, then the same windows."""
     joined = snapshots.with_detail_counts(s.events, s.violations)
     return snapshots.decision_snapshots(joined).select(*VIOLATION_FEATURES)
 
 
-@register("modeling_set", over_stages(sql_rounded("SELECT * FROM model", FEATURE_DOUBLES)))
+@register("modeling_set", over_stages(sql_rounded("SELECT * FROM model", FEATURE_DOUBLES)), from_raw=True)
 def _(s):
     return snapshots.modeling_set(s.features, s.labels)
 
 
-@register("scoring_population", over_stages(sql_rounded("SELECT * FROM scoring", FEATURE_DOUBLES)))
+@register("scoring_population", over_stages(sql_rounded("SELECT * FROM scoring", FEATURE_DOUBLES)), from_raw=True)
 def _(s):
     return s.scoring
 
 
-@register("scoring_date", over_stages("SELECT max(inspection_date) AS scoring_date FROM ev"))
+@register("scoring_date", over_stages("SELECT max(inspection_date) AS scoring_date FROM ev"), from_raw=True)
 def _(s):
     return s.events.agg(F.max("inspection_date").alias("scoring_date"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from contract.raw_view import BOUNDS, raw_view
 from tidemark.operators import events, normalize, snapshots
 from tidemark.operators.splits import assign_split
+from tidemark.sources.tables import shared_folder, write_stage
 
 
 class Stages:
@@ -76,3 +78,48 @@ class Stages:
     @cached_property
     def parted(self) -> DataFrame:
         return assign_split(self.modeling, BOUNDS).where(F.col("split").isNotNull())
+
+
+_WRITTEN: dict[tuple[str, str, str], DataFrame] = {}
+
+
+class StoredStages(Stages):
+    """Stage tables written once per Spark application and read back.
+
+    This is how the jobs run: reports and checks read stored stages with their
+    columns pruned, instead of repeating the work from the raw rows.  Tables go to
+    the cluster's shared folder.
+    """
+
+    def _stored(self, name: str, df_of) -> DataFrame:
+        application = self.spark.sparkContext.applicationId
+        place = (application, self.sf_dir, name)
+        if place not in _WRITTEN:
+            tag = hashlib.md5(self.sf_dir.encode()).hexdigest()[:8]
+            root = f"{shared_folder(self.spark)}/tidemark-{application}-{tag}"
+            _WRITTEN[place] = write_stage(df_of(), root, name)
+        return _WRITTEN[place]
+
+    @cached_property
+    def unique(self) -> DataFrame:
+        return self._stored("unique", lambda: normalize.deduplicate(self.rows))
+
+    @cached_property
+    def entities(self) -> DataFrame:
+        return self._stored("entities", lambda: events.latest_entities(self.unique))
+
+    @cached_property
+    def wide_events(self) -> DataFrame:
+        return self._stored("events", lambda: events.roll_up_events(self.unique))
+
+    @cached_property
+    def snapshots(self) -> DataFrame:
+        return self._stored("snapshots", lambda: snapshots.decision_snapshots(self.wide_events))
+
+    @cached_property
+    def population(self) -> DataFrame:
+        return snapshots.population_of(self.snapshots)
+
+    @cached_property
+    def scoring(self) -> DataFrame:
+        return self._stored("scoring", lambda: snapshots.current_population(self.wide_events, self.entities))
