@@ -39,34 +39,55 @@ def _kind() -> Column:
 def roll_up_events(rows: DataFrame, policy: EventPolicy = EventPolicy()) -> DataFrame:
     """One row per (entity, date, type).
 
-    Two levels.  The first collapses rows to distinct (score, grade, action) per
-    event with a hash aggregate that combines map-side, so a hot event costs one
-    small buffer per map task.  The second runs the string maxima and distinct
-    counts, which sort and expand, on what little is left.
+    Two hash levels instead of multi-distinct aggregation, which would sort four
+    copies of every row.  The first counts rows per (event, attribute, value) for
+    the three attributes that may conflict and combines map-side, so a hot event
+    costs one small buffer per value and map task.  The second sees one row per
+    distinct value.  Row counts ride on the score entries: every row has one.
     `coded_critical_count` (critical rows that carry a code) is kept next to the
     public columns: it lets the snapshot windows run without a second pass over
     the violations.
     """
-    flag = F.col("critical_flag")
     event = ("camis", "inspection_date", "inspection_type")
-    varying = ("score", "grade", "action")
+    flag, coded = F.col("critical_flag"), F.col("violation_code").isNotNull()
     counts = {
-        "source_row_count": F.count(F.lit(1)),
-        "total_violations": F.count("violation_code"),
-        "critical_violation_count": F.count_if(flag == "Critical"),
-        "noncritical_violation_count": F.count_if(flag == "Not Critical"),
-        "coded_critical_count": F.count_if((flag == "Critical") & F.col("violation_code").isNotNull()),
+        "source_row_count": F.lit(True),
+        "total_violations": coded,
+        "critical_violation_count": flag == "Critical",
+        "noncritical_violation_count": flag == "Not Critical",
+        "coded_critical_count": (flag == "Critical") & coded,
     }
-    collapsed = (
+    attribute, value = F.col("_attribute"), F.col("_value")
+    entries = F.array(
+        *[
+            F.struct(F.lit(c).alias("_attribute"), F.col(c).cast("string").alias("_value"))
+            for c in ("score", "grade", "action")
+        ]
+    )
+    once = attribute == "score"
+    per_value = (
         usable_rows(rows, policy)
         .withColumn("inspection_type", _kind())
-        .groupBy(*event, *varying)
-        .agg(F.max("grade_date").alias("grade_date"), *[n.alias(name) for name, n in counts.items()])
+        .select(*event, "grade_date", *[met.alias(name) for name, met in counts.items()], F.inline(entries))
+        .groupBy(*event, "_attribute", "_value")
+        .agg(
+            F.max("grade_date").alias("grade_date"),
+            *[F.count_if(once & F.col(name)).alias(name) for name in counts],
+        )
     )
-    grouped = collapsed.groupBy(*event).agg(
-        *[F.max(c).alias(c) for c in (*varying, "grade_date")],
+
+    def best(name: str) -> Column:
+        return F.max(F.when(attribute == name, value))
+
+    def distinct(name: str) -> Column:
+        return F.count_if((attribute == name) & value.isNotNull())
+
+    grouped = per_value.groupBy(*event).agg(
+        F.max(F.when(attribute == "score", value.cast("int"))).alias("score"),
+        *[best(c).alias(c) for c in ("grade", "action")],
+        F.max("grade_date").alias("grade_date"),
         *[F.sum(name).alias(name) for name in counts],
-        *[F.count_distinct(c).alias(f"distinct_{c}_count") for c in varying],
+        *[distinct(c).alias(f"distinct_{c}_count") for c in ("score", "grade", "action")],
     )
     kind = F.col("inspection_type")
     flags = {

@@ -55,6 +55,11 @@ NORMALIZED_COLUMNS = (
     "council_district", "census_tract", "bin", "bbl", "nta", "location", "raw_row_hash",
 )
 
+_HASHED = (
+    "camis", "restaurant_name", "inspection_date", "inspection_type", "violation_code",
+    "violation_description", "_flag_text", "score", "grade", "grade_date", "action",
+)
+
 
 def _typed_columns() -> dict[str, Column]:
     typed = {name: blank_to_null(raw_col(src)) for name, src in _TEXT.items()}
@@ -73,22 +78,11 @@ def normalize_rows(raw: DataFrame) -> DataFrame:
     violation code and text, flag as written, score, grade, grade date, action.
     Dates and the score enter in typed form, so spelling variants agree.
     """
-    typed = _typed_columns()
-    hashed = (
-        typed["camis"],
-        typed["restaurant_name"],
-        typed["inspection_date"],
-        typed["inspection_type"],
-        typed["violation_code"],
-        typed["violation_description"],
-        F.trim(raw_col("CRITICAL FLAG")),
-        typed["score"],
-        typed["grade"],
-        typed["grade_date"],
-        typed["action"],
-    )
-    typed["raw_row_hash"] = fingerprint(*hashed)
-    return raw.select(*[typed[name].alias(name) for name in NORMALIZED_COLUMNS])
+    typed = _typed_columns() | {"_flag_text": F.trim(raw_col("CRITICAL FLAG"))}
+    # Two projections: one holding both would outgrow what the JIT compiles.
+    values = raw.select(*[c.alias(name) for name, c in typed.items()])
+    digest = fingerprint(*[F.col(c) for c in _HASHED]).alias("raw_row_hash")
+    return values.select(*[digest if c == "raw_row_hash" else F.col(c) for c in NORMALIZED_COLUMNS])
 
 
 def deduplicate(rows: DataFrame) -> DataFrame:
