@@ -38,19 +38,21 @@ def ranking_metrics(df: DataFrame, score: str, by: Sequence[str] = ()) -> DataFr
         F.avg(TARGET).alias("prevalence"),
         F.avg(F.pow(F.col(score) - F.col(TARGET), F.lit(2.0))).alias("brier_score"),
     )
-    precision = F.col("cum_pos") / F.col("cum_n")
-    below = F.col("_neg_total") - (F.col("cum_n") - F.col("cum_pos")) + (F.col("n") - F.col("pos")) / 2
-    totals = df.groupBy(*by).agg(F.sum(TARGET).alias("_pos_total"), F.sum(1 - F.col(TARGET)).alias("_neg_total"))
-    summed = (
-        _attach(counts, totals, by)
-        .groupBy(*by)
-        .agg(
-            F.sum(F.try_divide(F.col("pos"), F.col("_pos_total")) * precision).alias("average_precision"),
-            F.sum(F.try_divide(F.col("pos"), F.col("_pos_total")) * F.try_divide(below, F.col("_neg_total"))).alias("roc_auc"),
-        )
+    # Totals divide after the sums, so no group's thresholds are joined to anything.
+    above = (F.col("cum_n") - F.col("cum_pos")) - (F.col("n") - F.col("pos")) / 2
+    summed = counts.groupBy(*by).agg(
+        F.sum(F.col("pos") * (F.col("cum_pos") / F.col("cum_n"))).alias("_gain"),
+        F.sum(F.col("pos") * above.cast("double")).alias("_negatives_above"),
     )
+    p, negatives = F.col("positives"), F.col("n_rows") - F.col("positives")
     return _attach(whole, summed, by).select(
-        *by, F.col("n_rows").alias("n"), "positives", "prevalence", "average_precision", "roc_auc", "brier_score"
+        *by,
+        F.col("n_rows").alias("n"),
+        "positives",
+        "prevalence",
+        F.try_divide("_gain", p).alias("average_precision"),
+        (1 - F.try_divide(F.col("_negatives_above"), p.cast("double") * negatives)).alias("roc_auc"),
+        "brier_score",
     )
 
 

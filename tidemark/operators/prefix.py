@@ -8,6 +8,7 @@ own task, and the totals of earlier slices are added as offsets.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -74,7 +75,7 @@ def running_totals(
     joined = summed.join(offsets, match).withColumns(
         {f"cum_{t}": F.col(f"cum_{t}") + F.col(f"_before_{t}") for t in totals}
     )
-    return joined.drop("_slice", "_offset_slice", *[f"_before_{t}" for t in totals], *[f"_by_{b}" for b in by])
+    return joined.drop("_offset_slice", *[f"_before_{t}" for t in totals], *[f"_by_{b}" for b in by])
 
 
 def exact_quantiles(
@@ -107,23 +108,39 @@ def exact_quantiles(
     sliced = counted.withColumn("_slice", _slice_by_name(edges))
     keys = [*by, "column_name"]
     placed = running_totals(sliced, "value", ["n"], keys, descending=False)
-    whole = counted.groupBy(*keys).agg(F.sum("n").alias("_total"))
-    wanted = whole.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
+    # Positions are first located among the slices (few rows per key); only then do
+    # they meet the values, keyed by slice, so no key gathers all its values in a task.
+    spans = placed.groupBy(*keys, "_slice").agg(
+        F.min(F.col("cum_n") - F.col("n")).alias("_from"), F.max("cum_n").alias("_to")
+    )
+    points = spans.groupBy(*keys).agg(F.max("_to").alias("_total")).withColumn(
+        "probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
+    )
     position = (F.col("_total") - 1) * F.col("probability")
-    wanted = wanted.withColumns({"_lo": F.floor(position), "_hi": F.ceil(position), "_part": position - F.floor(position)})
-    match = (F.col("_w_column_name") == F.col("column_name"))
-    wanted = wanted.withColumnsRenamed({k: f"_w_{k}" for k in keys})
-    for b in by:
-        match = match & F.col(f"_w_{b}").eqNullSafe(F.col(b))
+    points = points.withColumns(
+        {"_lo": F.floor(position), "_hi": F.ceil(position), "_part": position - F.floor(position)}
+    ).withColumnsRenamed({k: f"_p_{k}" for k in keys})
 
-    def holds(position_name: str) -> Column:
-        return (F.col(position_name) < F.col("cum_n")) & (F.col(position_name) >= F.col("cum_n") - F.col("n"))
+    def inside(name: str, start: Column, end: Column) -> Column:
+        return (F.col(name) >= start) & (F.col(name) < end)
 
-    hits = placed.join(wanted, match & (holds("_lo") | holds("_hi")))
-    lower = F.max(F.when(holds("_lo"), F.col("value")))
-    upper = F.max(F.when(holds("_hi"), F.col("value")))
-    return hits.groupBy(*keys, "probability").agg(
-        (lower + (upper - lower) * F.max("_part")).alias("value")
+    def same(prefix: str) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+    span = (F.col("_from"), F.col("_to"))
+    located = (
+        spans.join(points, same("_p_"))
+        .where(inside("_lo", *span) | inside("_hi", *span))
+        .select(*[F.col(k).alias(f"_l_{k}") for k in keys], F.col("_slice").alias("_l_slice"), "probability", "_lo", "_hi", "_part")
+    )
+    here = (F.col("cum_n") - F.col("n"), F.col("cum_n"))
+    hits = placed.join(located, same("_l_") & (F.col("_slice") == F.col("_l_slice")))
+    lower = F.max(F.when(inside("_lo", *here), F.col("value")))
+    upper = F.max(F.when(inside("_hi", *here), F.col("value")))
+    return (
+        hits.where(inside("_lo", *here) | inside("_hi", *here))
+        .groupBy(*keys, "probability")
+        .agg((lower + (upper - lower) * F.max("_part")).alias("value"))
     )
 
 
