@@ -207,7 +207,7 @@ def test_train_then_batch_end_to_end(spark, tmp_path):
     result = jobs.run_batch(spark, landing, root, model_path, 7, run_id="r1", gate=True)
     assert result.queue.count() == 7
     assert [r["priority_rank"] for r in result.queue.collect()] == list(range(1, 8))
-    latest = spark.read.option("header", True).csv(f"{root}/latest/restaurant_priority_queue")
+    latest = spark.read.option("header", True).csv(f"{root}/latest/priority_queue")
     assert latest.count() == 7
     record = json.loads(open(_part(f"{root}/runs/r1")).read())
     assert record["status"] == "SUCCESS" and record["population_size"] == 40

@@ -234,8 +234,8 @@ def run_batch(
         stored = spark.read.parquet(path).where(F.col("run_id") == run_id).drop("run_id")
         queue = stored.where(F.col("priority_rank") <= capacity).orderBy("priority_rank")
         write_run_artifact(queue, root, "queues", run_id)
-        write_csv(stored.orderBy("priority_rank"), f"{root}/latest/restaurant_risk_scores")
-        write_csv(queue, f"{root}/latest/restaurant_priority_queue")
+        write_csv(stored.orderBy("priority_rank"), f"{root}/latest/scores")
+        write_csv(queue, f"{root}/latest/priority_queue")
         metrics = batch_metrics(stored, run_id, "SUCCESS", capacity, time.time() - started)
         write_json(metrics, f"{root}/runs/{run_id}")
     except Exception as error:
@@ -250,7 +250,7 @@ def _run_record(
     return spark.createDataFrame(
         [(run_id, status, capacity, seconds, error)],
         "run_id string, status string, capacity bigint, duration_seconds double, error string",
-    )
+    ).coalesce(1)
 
 
 def batch_metrics(scored: DataFrame, run_id: str, status: str, capacity: int, seconds: float) -> DataFrame:
