@@ -4,18 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import simhash
+from tidemark.llm import bpe_automaton, simhash, token_counts
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_automaton.encode_and_decode(table(spark, sf_dir, "documents"), TOKENIZER)
+
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op2_token_counts": (op2_token_counts, None),
+    "op8_bpe_automaton": (op8_bpe_automaton, None),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
 }
