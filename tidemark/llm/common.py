@@ -14,6 +14,7 @@ T = TypeVar("T")
 
 #: ASCII white space, as a character class: space, tab, line feed, vertical tab, form feed, return.
 BLANKS = r"[\x20\x09-\x0D]+"
+BLANK_CHARACTERS = " \t\n\v\f\r"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +28,8 @@ def keyed_text(docs: DataFrame, *more: str) -> DataFrame:
 
 def words_of(text: Column) -> Column:
     """Array of the maximal runs without ASCII white space."""
-    return F.filter(F.split(text, BLANKS, -1), lambda w: w != "")
+    inner = F.btrim(text, F.lit(BLANK_CHARACTERS))
+    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, BLANKS, -1))
 
 
 def running_sum(lengths: Column, block: int = 256) -> Column:

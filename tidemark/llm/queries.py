@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_automaton, simhash, token_counts
+from tidemark.llm import bpe_automaton, quality_rules, simhash, token_counts
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judged(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encode_and_decode(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -29,6 +34,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op2_token_counts": (op2_token_counts, None),
+    "op7_quality_rules": (op7_quality_rules, None),
     "op8_bpe_automaton": (op8_bpe_automaton, None),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
 }
