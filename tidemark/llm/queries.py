@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_automaton, quality_rules, simhash, token_counts
+from tidemark.llm import bpe_automaton, decontamination, quality_rules, secret_scan, simhash, token_counts
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,10 +15,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judged(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
@@ -33,7 +41,9 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op1_secret_scan": (op1_secret_scan, None),
     "op2_token_counts": (op2_token_counts, None),
+    "op4_decontamination": (op4_decontamination, None),
     "op7_quality_rules": (op7_quality_rules, None),
     "op8_bpe_automaton": (op8_bpe_automaton, None),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
