@@ -95,3 +95,19 @@ def once(key: str, make: Callable[[], T]) -> T:
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value evaluated once, however often body uses it, also within lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def where_late(df: DataFrame, condition: Column) -> DataFrame:
+    """df.where(condition) that stays above df's expressions.
+
+    The optimizer copies a filter's columns into what it moves below; for array work that
+    would compute them twice, or once per element.  A row number in the condition
+    keeps the filter in its place.
+    """
+    numbered = df.select("*", F.monotonically_increasing_id().alias("row_in_place"))
+    return numbered.where(condition & (F.col("row_in_place") >= 0)).drop("row_in_place")

@@ -19,6 +19,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import where_late
+
 #: Places a mask looks at; all masks span as many words.
 MASKS = ((0, 1, 2, 4, 7), (0, 1, 4, 6, 7), (0, 2, 3, 5, 7))
 SPAN = 8
@@ -49,7 +51,8 @@ def _seeded(rows: DataFrame) -> DataFrame:
     hashed = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     lists = hashed.select(*rows.columns, _seeds(F.col("hashes")).alias("seeds"))
     places = F.size("words") - SPAN + 1
-    return lists.select(*rows.columns, F.posexplode("seeds").alias("number", "seed")).select(
+    # The outer form: for the inner one the optimizer adds a filter on `seeds` and computes them twice.
+    return lists.select(*rows.columns, F.posexplode_outer("seeds").alias("number", "seed")).select(
         *rows.columns, "seed", F.pmod("number", places).alias("at")
     )
 
@@ -70,17 +73,22 @@ def _in_block(docs: DataFrame, items: DataFrame) -> DataFrame:
     seeds = _seeded(items.select("item_id", F.col("words"))).select("seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item"))
     hits = _seeded(docs).join(F.broadcast(seeds), "seed")
     line = F.col("at") - F.col("item_at")
-    laid = hits.select(
-        "doc_id", "digest", "item_id", line.alias("start"),
-        F.transform("item", lambda w, i: F.coalesce(F.get("words", F.col("at") - F.col("item_at") + i) == w, F.lit(False))).alias("agrees"),
+    # Only the words under the item go on; the lambda below names them twice, so the slice is not computed within it.
+    cut = F.slice("words", F.greatest(line, F.lit(0)) + 1, F.size("item") + F.least(line, F.lit(0)))
+    laid = hits.select("doc_id", "digest", "item_id", line.alias("start"), "item", cut.alias("under"))
+    agrees = F.transform(
+        "item",
+        lambda w, i: (i + F.least(F.col("start"), F.lit(0)) < F.size("under")) & F.coalesce(F.get("under", i + F.least(F.col("start"), F.lit(0))) == w, F.lit(False)),
     )
+    laid = laid.select("doc_id", "digest", "item_id", "start", agrees.alias("agrees"))
     scored = laid.select(
         "doc_id", "digest", "item_id", "start",
         F.size("agrees").alias("item_words"),
         F.size(F.filter("agrees", lambda ok: ok)).alias("matched_words"),
         _stretch(F.col("agrees")).alias("stretch"),
     )
-    return scored.where(f"matched_words >= {LEAST_SHARE} * item_words OR stretch >= {LEAST_STRETCH}")
+    enough = (F.col("matched_words") >= LEAST_SHARE * F.col("item_words")) | (F.col("stretch") >= LEAST_STRETCH)
+    return where_late(scored, enough)
 
 
 def _overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BLANK_CHARACTERS, words_of
+from tidemark.llm.common import BLANK_CHARACTERS, where_late, words_of
 
 WINDOW = 8
 LEAST_WORDS = 20
@@ -227,4 +227,5 @@ def kept_rows(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """The rows of docs that pass, with their columns as they were."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     marked = statistics(docs.select(whole, F.coalesce(docs["text"], F.lit("")).alias("text")))
-    return marked.where(~base_failed() & verdict(rules).isNull()).select("row.*")
+    passed = (~base_failed() & verdict(rules).isNull()).alias("passed")
+    return where_late(marked.select("row", passed), F.col("passed")).select("row.*")

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import running_sum
+from tidemark.llm.common import let, running_sum
 
 #: Kinds in the order of the contract; the last is the method's own.
 KINDS = ("assign", "access", "hex", "random")
@@ -50,11 +50,12 @@ _NO_SPANS = "array<struct<start:bigint,end:bigint,kind:int>>"
 
 def _upper_tail(z: Column) -> Column:
     """P(Z > z) of the standard normal, by the rational approximation of Abramowitz and Stegun 26.2.17."""
-    x = F.abs(z)
-    t = 1 / (1 + 0.2316419 * x)
-    series = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
-    tail = F.exp(-x * x / 2) / 2.5066282746310002 * series
-    return F.when(z >= 0, tail).otherwise(1 - tail)
+
+    def series(t: Column) -> Column:
+        return t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+
+    tail = lambda x: F.exp(-x * x / 2) / 2.5066282746310002 * let(1 / (1 + 0.2316419 * x), series)
+    return let(z, lambda v: let(tail(F.abs(v)), lambda upper: F.when(v >= 0, upper).otherwise(1 - upper)))
 
 
 def _located(df: DataFrame, pattern: str, hits: str, out: str) -> DataFrame:
@@ -71,49 +72,76 @@ def _located(df: DataFrame, pattern: str, hits: str, out: str) -> DataFrame:
     return df.withColumn(out, F.when(F.size(hits) > 0, F.transform(hits, place))).drop(hits, "pieces", "before")
 
 
-def _measured(token: Column) -> Column:
-    """Struct of a candidate: alphabet and its symbols; null alphabet if no encoding fits or letters or digits lack."""
-    core = F.regexp_replace(token["hit"], "[-_=]", "")
-    mixed = core.rlike("[0-9]") & core.rlike("[A-Za-z]")
-    alphabet = F
-    for pattern, symbols in ENCODINGS:
-        alphabet = alphabet.when(mixed & core.rlike(pattern), F.lit(symbols))
-    return F.struct(token["start"].alias("start"), token["end"].alias("end"), core.alias("core"), alphabet.alias("alphabet"))
+def _candidate(token: Column) -> Column:
+    """Struct of start, end, core and alphabet; null alphabet if no encoding fits or letters or digits lack."""
+
+    def encoded(core: Column) -> Column:
+        mixed = core.rlike("[0-9]") & core.rlike("[A-Za-z]")
+        alphabet = F
+        for pattern, symbols in ENCODINGS:
+            alphabet = alphabet.when(mixed & core.rlike(pattern), F.lit(symbols))
+        return F.struct(token["start"].alias("start"), token["end"].alias("end"), core.alias("core"), alphabet.alias("alphabet"))
+
+    return let(F.regexp_replace(token["hit"], "[-_=]", ""), encoded)
+
 
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
 
-def _with_symbols(c: Column) -> Column:
-    chars = F.split(c["core"], "", -1)
-    chars = F.filter(chars, lambda x: x != "")
-    return F.struct(
-        c["start"].alias("start"), c["end"].alias("end"), c["core"].alias("core"),
+
+def _p_value(c: Column) -> Column:
+    """Struct of start, end, n and the combined p-value of a candidate."""
+    chars = F.filter(F.split(c["core"], "", -1), lambda x: x != "")
+    symbols = F.struct(
+        F.length(c["core"]).cast("double").alias("n"),
         F.length(c["alphabet"]).cast("double").alias("size"),
         F.transform(chars, lambda x: F.call_function("locate", x, c["alphabet"]).cast("double")).alias("index"),
-        F.transform(chars, lambda x: F.when(x.rlike("[0-9]"), 0).when(x.rlike("[A-Z]"), 1).when(x.rlike("[a-z]"), 2).otherwise(3)).alias("class"),
+        F.transform(chars, lambda x: F.when(x.rlike("[0-9]"), 0).when(x.rlike("[A-Z]"), 1).when(x.rlike("[a-z]"), 2).otherwise(3)).alias("kind"),
     )
 
-
-def _p_value(c: Column) -> Column:
-    """Struct of start, end, n and the combined p-value of a candidate with symbols."""
-    n, size, index, kind = F.size(c["index"]).cast("double"), c["size"], c["index"], c["class"]
-    zero = F.lit(0.0)
-    # Chi-squared: size / n * sum of squared counts - n, affine in the number of equal pairs.
-    equal = F.aggregate(
-        F.array_distinct(index), zero, lambda a, s: a + F.pow(F.size(F.filter(index, lambda x: x == s)).cast("double"), F.lit(2.0))
-    ) - n
-    half = 2 / size
-    uniform = (n * (n - 1) * half - equal) / F.sqrt(2 * n * (n - 1) * half * (1 - half))
-    # Runs: changes of character class, against half of those of uniform draws.
-    changes = F.aggregate(F.transform(kind, lambda x, i: F.when(F.get(kind, i + 1) != x, 1.0).otherwise(0.0)), zero, lambda a, x: a + x)
-    rate = F.when(size == 16, 0.234).when(size == 32, 0.152).when(size == 36, 0.2).otherwise(0.32)
-    runs = (changes - (n - 1) * rate) / F.sqrt((n - 1) * rate * (1 - rate))
-    # Serial correlation at lag 1.
-    mean = F.aggregate(index, zero, lambda a, x: a + x) / n
-    spread = F.aggregate(index, zero, lambda a, x: a + (x - mean) * (x - mean))
-    lagged = F.aggregate(F.transform(index, lambda x, i: (x - mean) * (F.get(index, i + 1) - mean)), zero, lambda a, x: a + F.coalesce(x, zero))
-    r = F.greatest(F.lit(-0.999), F.least(F.lit(0.999), F.coalesce(F.try_divide(lagged, spread), F.lit(0.999))))
-    serial = (0.5493061443340549 - F.abs(F.atanh(r))) * F.sqrt(n - 3)
-    z = (uniform + runs + serial) / 1.7320508075688772
-    return F.struct(_upper_tail(z).alias("p"), n.alias("n"), c["start"].alias("start"), c["end"].alias("end"))
+    def counted(s: Column) -> Column:
+        squares = F.transform(F.array_distinct(s["index"]), lambda i: F.pow(F.size(F.filter(s["index"], lambda x: x == i)).cast("double"), F.lit(2.0)))
+        change = F.transform(s["kind"], lambda k, i: F.when(F.get(s["kind"], i + 1) != k, 1.0).otherwise(0.0))
+        return F.struct(
+            s["n"].alias("n"), s["size"].alias("size"),
+            (_total(squares) - s["n"]).alias("equal"),
+            _total(change).alias("changes"),
+            let(_total(s["index"]) / s["n"], lambda mean: F.transform(s["index"], lambda x: x - mean)).alias("index"),
+        )
+
+    def correlated(s: Column) -> Column:
+        spread = _total(F.transform(s["index"], lambda x: x * x))
+        lagged = _total(F.transform(s["index"], lambda x, i: x * F.get(s["index"], i + 1)))
+        r = F.greatest(F.lit(-0.999), F.least(F.lit(0.999), F.coalesce(F.try_divide(lagged, spread), F.lit(0.999))))
+        return F.struct(*[s[f].alias(f) for f in ("n", "size", "equal", "changes")], r.alias("r"))
+
+    def combined(s: Column) -> Column:
+        n, size = s["n"], s["size"]
+        pairs = n * (n - 1)
+        # Chi-squared: size / n * (equal + n) - n, affine in the number of ordered equal pairs.
+        uniform = (pairs * 2 / size - s["equal"]) / F.sqrt(2 * pairs * (2 / size) * (1 - 2 / size))
+        # Half the changes of class that uniform draws from the alphabet show.
+        rate = F.when(size == 16, 0.234).when(size == 32, 0.152).when(size == 36, 0.2).otherwise(0.32)
+        runs = let(rate, lambda q: (s["changes"] - (n - 1) * q) / F.sqrt((n - 1) * q * (1 - q)))
+        serial = (0.5493061443340549 - F.abs(F.atanh(s["r"]))) * F.sqrt(n - 3)
+        return F.struct(_upper_tail((uniform + runs + serial) / 1.7320508075688772).alias("p"), n.alias("n"), c["start"].alias("start"), c["end"].alias("end"))
+
+    return let(let(let(symbols, counted), correlated), combined)
+
+
+def _discoveries(tested: Column) -> Column:
+    """Spans of the candidates that pass weighted Benjamini-Hochberg control among those of the document."""
+    mean = F.aggregate(tested, F.lit(0.0), lambda a, c: a + c["n"]) / F.size(tested)
+    weighted = let(mean, lambda m: F.sort_array(F.transform(tested, lambda c: F.struct((c["p"] * m / c["n"]).alias("v"), c["start"].alias("start"), c["end"].alias("end")))))
+
+    def below(ranked: Column) -> Column:
+        last = let(
+            FALSE_DISCOVERY / F.size(ranked),
+            lambda line: F.array_max(F.transform(ranked, lambda c, i: F.when(c["v"] <= (i + 1) * line, i + 1).otherwise(0))),
+        )
+        return F.transform(F.slice(ranked, 1, last), lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), F.lit(3).alias("kind")))
+
+    return let(weighted, below)
 
 
 def scanned(rows: DataFrame) -> DataFrame:
@@ -138,20 +166,13 @@ def scanned(rows: DataFrame) -> DataFrame:
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
     )
     df = df.withColumn("base", order(base)).drop("assign", "access", "hexes")
-    free = F.filter("candidates", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    df = df.withColumn("tested", F.filter(F.transform(free, _measured), lambda c: c["alphabet"].isNotNull() & (F.length(c["core"]) >= LEAST_SYMBOLS)))
-    df = df.drop("candidates").withColumn("tested", F.when(F.size("tested") > 0, F.transform("tested", _with_symbols)))
-    df = df.withColumn("tested", F.transform("tested", _p_value))
-    mean = F.aggregate("tested", F.lit(0.0), lambda a, c: a + c["n"]) / F.size("tested")
-    df = df.withColumn("mean_length", mean)
-    weighted = F.transform("tested", lambda c: F.struct((c["p"] * F.col("mean_length") / c["n"]).alias("v"), c["start"].alias("start"), c["end"].alias("end")))
-    df = df.withColumn("tested", F.sort_array(weighted))
-    line = FALSE_DISCOVERY / F.size("tested")
-    passed = F.aggregate(
-        F.transform("tested", lambda c, i: F.when(c["v"] <= (i + 1) * line, i + 1).otherwise(0)), F.lit(0), lambda a, x: F.greatest(a, x)
+    free = lambda both: F.filter(
+        both["candidates"], lambda m: ~F.exists(both["base"], lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
     )
-    random = F.transform(F.slice("tested", 1, passed), lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), F.lit(3).alias("kind")))
-    return df.withColumn("random", F.coalesce(F.sort_array(random), none)).drop("tested", "mean_length")
+    fitting = F.filter(F.transform(let(F.struct("candidates", "base"), free), _candidate), lambda c: c["alphabet"].isNotNull() & (F.length(c["core"]) >= LEAST_SYMBOLS))
+    df = df.withColumn("tested", fitting).drop("candidates")
+    random = F.when(F.size("tested") > 0, let(F.transform("tested", _p_value), lambda t: F.sort_array(_discoveries(t))))
+    return df.withColumn("random", F.coalesce(random, none)).drop("tested")
 
 
 def _written(spans: Column) -> Column:

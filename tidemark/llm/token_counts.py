@@ -1,18 +1,21 @@
 """Token counts without token ids.
 
-A task turns its documents into an inverted index, a block of text at a time: one row per
-distinct pre-token of the block, with the documents it is in and how often, packed.  The
-rows are dealt by pre-token, so each distinct pre-token is counted once where its rows
-meet, and its count times its frequencies adds to the documents.  A pre-token found in
-many documents of a block would bring its packed rows of all blocks to one task; such
-rows are dealt by block as well, in a bounded number of shares.  Sums are combined
-within a task before the last shuffle, which has the documents as its key.
+A task turns its documents into an inverted index, a block of text at a time: for each
+distinct pre-token of the block, the documents it is in and how often.  Pre-tokens are
+dealt into buckets by their hash, and a block sends one packed row to each bucket.
+There each distinct pre-token is counted once, its count meets its frequencies, and
+a packed row of sums per block goes back to the block's documents.  Rows are
+as many as blocks times buckets, and no token id is ever made.
+
+A pre-token found in many documents of a block is dealt to one of a fixed number of
+shares of its bucket by block, so the very common ones do not meet in one task.
 """
 
 from __future__ import annotations
 
 import itertools
 import os
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,119 +35,111 @@ BLOCK_ROWS = 60_000
 HOT_FRACTION, SHARES = 16, 64
 TOKEN_LIMIT = 512
 _COUNTED = 400_000
-_PAIRS = 3_000_000
 _POSTING = np.dtype([("document", "<u2"), ("times", "u1")])
-_INDEX = "piece string, share int, block bigint, postings binary, doc_ids array<bigint>, sizes array<bigint>, specials array<bigint>"
+_INDEX = "block bigint, bucket int, pieces array<string>, lengths binary, postings binary, doc_ids array<bigint>, sizes array<bigint>, specials array<bigint>"
+_REPLY = np.dtype([("document", "<u2"), ("tokens", "<u4")])
 
 
-def _postings(rows: list[tuple[int, Counter]]) -> Iterator[tuple[str, bytes, int]]:
-    """(pre-token, packed documents and times, number of documents)."""
-    pieces = list(itertools.chain.from_iterable(c for _, c in rows))
+def _dealt(rows: list[Counter], block: int, buckets: int) -> Iterator[tuple[int, list[str], bytes, bytes]]:
+    """(bucket, its pre-tokens, number of postings of each, packed postings) of a block's counted documents."""
+    pieces = list(itertools.chain.from_iterable(rows))
     codes, distinct = pd.factorize(np.array(pieces, dtype=object))
-    documents = np.repeat(np.array([k for k, _ in rows], np.uint16), [len(c) for _, c in rows])
-    times = np.fromiter(itertools.chain.from_iterable(c.values() for _, c in rows), np.int64, len(pieces))
-    order = np.argsort(codes, kind="stable")
-    codes, documents, times = codes[order], documents[order], times[order]
+    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+    documents = np.repeat(np.arange(len(rows), dtype=np.uint16), sizes)
+    times = np.fromiter(itertools.chain.from_iterable(c.values() for c in rows), np.int64, len(pieces))
+    hashes = np.fromiter((zlib.crc32(p.encode()) for p in distinct), np.int64, len(distinct))
+    hot = np.bincount(codes, minlength=len(distinct)) * HOT_FRACTION > max(len(rows), HOT_FRACTION)
+    bucket = np.where(hot, hashes + block % SHARES * 7919, hashes) % buckets
     # A posting holds at most 255 times; larger numbers take several postings.
     copies = np.maximum(1, -(-times // 255))
+    by_bucket = np.lexsort((codes, bucket[codes]))
+    codes, documents, times, copies = codes[by_bucket], documents[by_bucket], times[by_bucket], copies[by_bucket]
     packed = np.empty(copies.sum(), _POSTING)
     packed["document"] = np.repeat(documents, copies)
     packed["times"] = 255
-    ends = np.cumsum(copies)
-    packed["times"][ends - 1] = times - 255 * (copies - 1)
-    found = np.bincount(codes, minlength=len(distinct))
-    stops = ends[np.cumsum(found) - 1] if len(found) else ends
-    data, width, start = packed.tobytes(), _POSTING.itemsize, 0
-    for piece, stop, n in zip(distinct, stops.tolist(), found.tolist()):
-        yield piece, data[start * width : stop * width], n
-        start = stop
-
-
-def _index(tokenizer_path: str):
+    packed["times"][np.cumsum(copies) - 1] = times - 255 * (copies - 1)
+    lengths = np.bincount(codes, copies, len(distinct)).astype("<u4")
+    order = np.lexsort((np.arange(len(distinct)), bucket))
+    used, starts = np.unique(bucket[order], return_index=True)
+    ends = np.append(starts[1:], len(order))
+    at = 0
+    for number, start, end in zip(used.tolist(), starts.tolist(), ends.tolist()):
+        mine = order[start:end]
+        stop = at + int(lengths[mine].sum())
+        yield number, distinct[mine].tolist(), lengths[mine].tobytes(), packed[at:stop].tobytes()
+        at = stop
+
+
+def _index(tokenizer_path: str, buckets: int):
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         splitter = once(f"splitter {tokenizer_path}", lambda: Splitter(special_tokens(tokenizer_path)))
         for batch in batches:
             total, start = 0, 0
             for k, size in enumerate(batch["text"].str.len()):
                 if k > start and (total + size > BLOCK_CHARACTERS or k - start >= BLOCK_ROWS):
-                    yield from one(splitter, batch.iloc[start:k])
+                    yield one(splitter, batch.iloc[start:k])
                     total, start = 0, k
                 total += size
             if len(batch):
-                yield from one(splitter, batch.iloc[start:])
+                yield one(splitter, batch.iloc[start:])
 
-    def one(splitter: Splitter, rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    def one(splitter: Splitter, rows: pd.DataFrame) -> pd.DataFrame:
         counted, specials = [], []
-        for k, text in enumerate(rows["text"]):
+        for text in rows["text"]:
             pieces, special = Counter(), 0
             for words, mark in splitter.lists(text):
                 pieces.update(words)
                 special += mark is not None
-            counted.append((k, pieces))
+            counted.append(pieces)
             specials.append(special)
         block = int(rows["row"].iloc[0])
-        found = list(_postings(counted))
-        share = block % SHARES
-        yield pd.DataFrame(
-            {
-                "piece": [p for p, _, _ in found],
-                "share": [1 + share if n * HOT_FRACTION > len(rows) > HOT_FRACTION else 0 for _, _, n in found],
-                "block": block,
-                "postings": [d for _, d, _ in found],
-                "doc_ids": None, "sizes": None, "specials": None,
-            }
-        )
+        dealt = [(block, *d, None, None, None) for d in _dealt(counted, block, buckets)]
         # The documents themselves travel once, so that those without any pre-token have a row too.
         ids = [None if pd.isna(x) else int(x) for x in rows["doc_id"]]
-        yield pd.DataFrame(
-            [(None, block % (1 << 20), block, b"", ids, rows["size"].tolist(), specials)],
-            columns=["piece", "share", "block", "postings", "doc_ids", "sizes", "specials"],
-        )
+        own = (block, block % buckets, [], b"", b"", ids, rows["size"].tolist(), specials)
+        return pd.DataFrame([*dealt, own], columns=["block", "bucket", "pieces", "lengths", "postings", "doc_ids", "sizes", "specials"])
 
     return blocks
 
 
-def _sums(tokenizer_path: str):
+def _counted(tokenizer_path: str):
+    """Replies (block, sums) of the index rows; the documents' own rows pass through."""
+
     def load() -> tuple[Tokenizer, dict[str, int]]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         return Tokenizer.from_file(tokenizer_path), {}
 
-    def summed(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
-        rows, places = np.unique(np.concatenate([r for r, _ in pairs]), return_inverse=True)
-        totals = np.bincount(places, np.concatenate([n for _, n in pairs]), len(rows)).astype(np.int64)
-        return pd.DataFrame({"row": rows, "doc_id": None, "n_bytes": None, "n_tokens": totals})
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer, counts = once(f"counts {tokenizer_path}", load)
-        pairs, held = [], 0
         for batch in batches:
-            of_text = batch["piece"].notna()
-            for block, ids, sizes, specials in batch.loc[~of_text, ["block", "doc_ids", "sizes", "specials"]].itertuples(index=False):
-                at = np.arange(block, block + len(sizes))
-                yield pd.DataFrame({"row": at, "doc_id": pd.array([None if pd.isna(x) else int(x) for x in ids], "Int64"), "n_bytes": sizes, "n_tokens": specials})
-            batch = batch[of_text]
-            if not len(batch):
-                continue
-            pieces = batch["piece"].tolist()
-            new = list(set(pieces).difference(counts))
-            if len(counts) + len(new) > _COUNTED:
-                counts.clear()
-                new = list(set(pieces))
-            counts.update(zip(new, (len(e.ids) for e in tokenizer.encode_batch_fast(new, add_special_tokens=False))))
-            each = [len(d) // _POSTING.itemsize for d in batch["postings"]]
-            postings = np.frombuffer(b"".join(batch["postings"]), _POSTING)
-            tokens = np.repeat(np.fromiter(map(counts.__getitem__, pieces), np.int64, len(pieces)), each) * postings["times"]
-            pairs.append((np.repeat(batch["block"].to_numpy(np.int64), each) + postings["document"], tokens))
-            held += len(tokens)
-            if held > _PAIRS:
-                yield summed(pairs)
-                pairs, held = [], 0
-        if pairs:
-            yield summed(pairs)
+            sums = []
+            for pieces, lengths, postings in zip(batch["pieces"], batch["lengths"], batch["postings"]):
+                new = [p for p in pieces if p not in counts]
+                if len(counts) + len(new) > _COUNTED:
+                    counts.clear()
+                    new = list(pieces)
+                counts.update(zip(new, (len(e.ids) for e in tokenizer.encode_batch_fast(new, add_special_tokens=False))))
+                each = np.fromiter(map(counts.__getitem__, pieces), np.int64, len(pieces))
+                found = np.frombuffer(postings, _POSTING)
+                tokens = np.bincount(found["document"], np.repeat(each, np.frombuffer(lengths, "<u4")) * found["times"])
+                documents = np.flatnonzero(tokens)
+                reply = np.empty(len(documents), _REPLY)
+                reply["document"], reply["tokens"] = documents, tokens[documents]
+                sums.append(reply.tobytes())
+            yield pd.DataFrame({"block": batch["block"], "sums": sums, **{c: batch[c] for c in ("doc_ids", "sizes", "specials")}})
 
     return run
 
 
+def _documents(rows: pd.DataFrame) -> pd.DataFrame:
+    """The documents of one block, from its own row and the replies of the buckets."""
+    own = rows[rows["doc_ids"].notna()].iloc[0]
+    replies = np.frombuffer(b"".join(rows["sums"]), _REPLY)
+    tokens = np.bincount(replies["document"], replies["tokens"], len(own["doc_ids"])).astype(np.int64)
+    ids = pd.array([None if pd.isna(x) else int(x) for x in own["doc_ids"]], "Int64")
+    return pd.DataFrame({"doc_id": ids, "n_bytes": own["sizes"], "n_tokens": tokens + np.asarray(own["specials"], np.int64)})
+
+
 def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = TOKEN_LIMIT) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_tokens, over_limit (more than `limit` tokens).
 
@@ -156,9 +151,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = TOKEN_LIMIT)
     rows = keyed_text(docs).select(
         "doc_id", "text", F.monotonically_increasing_id().alias("row"), F.octet_length("text").cast("bigint").alias("size")
     )
-    index = rows.mapInPandas(_index(tokenizer_path), _INDEX).repartition("piece", "share")
-    parts = index.mapInPandas(_sums(tokenizer_path), "row bigint, doc_id bigint, n_bytes bigint, n_tokens bigint")
-    total = parts.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens")
-    )
-    return total.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = rows.mapInPandas(_index(tokenizer_path, buckets), _INDEX).repartition("bucket")
+    replies = index.mapInPandas(_counted(tokenizer_path), "block bigint, sums binary, doc_ids array<bigint>, sizes array<bigint>, specials array<bigint>")
+    found = replies.groupBy("block").applyInPandas(_documents, "doc_id bigint, n_bytes bigint, n_tokens bigint")
+    return found.withColumn("over_limit", F.col("n_tokens") > limit)
