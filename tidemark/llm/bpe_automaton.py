@@ -152,9 +152,11 @@ class Codec:
         return b"".join(map(self.automaton.labels.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def encode_and_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def encode_and_decode(docs: DataFrame, tokenizer_path: str, with_ids: bool = False) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256, round_trip.
 
+    With `with_ids` also ids, little-endian unsigned 32-bit integers.
+
     `tokenizer_path` is a vocabulary file that every executor can open.  The ids are
     those of the library without added special tokens; special strings in a text are
     special tokens.  Null text counts as empty, with no ids.  Repeated rows each get a
@@ -166,17 +168,18 @@ def encode_and_decode(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                ids, decoded, count = hashlib.sha256(), hashlib.sha256(), 0
+                ids, decoded, count, parts = hashlib.sha256(), hashlib.sha256(), 0, []
                 for part in codec.encode(text):
                     ids.update(part)
                     decoded.update(codec.decode(part))
                     count += len(part) // 4
+                    if with_ids:
+                        parts.append(part)
                 digest = decoded.hexdigest()
-                rows.append((count, ids.hexdigest(), digest, digest == hashlib.sha256(text.encode()).hexdigest()))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "round_trip"])
+                rows.append((count, ids.hexdigest(), digest, digest == hashlib.sha256(text.encode()).hexdigest(), b"".join(parts)))
+            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "round_trip", "ids"])
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
-            yield out
+            yield out if with_ids else out.drop(columns="ids")
 
-    return keyed_text(docs).mapInPandas(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, round_trip boolean"
-    )
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, round_trip boolean"
+    return keyed_text(docs).mapInPandas(run, schema + ", ids binary" * with_ids)

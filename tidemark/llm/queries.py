@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_automaton, decontamination, quality_rules, secret_scan, simhash, token_counts
+from tidemark.llm import (
+    bpe_automaton, decontamination, html_extract, licenses, quality_rules, secret_scan, simhash, token_counts, toxicity, warc,
+)
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,10 +25,23 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judged(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
@@ -36,6 +51,10 @@ def op8_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_automaton.encode_and_decode(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,8 +62,12 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_secret_scan": (op1_secret_scan, None),
     "op2_token_counts": (op2_token_counts, None),
+    "op3_html_extract": (op3_html_extract, None),
     "op4_decontamination": (op4_decontamination, None),
+    "op5_warc": (op5_warc, None),
+    "op6_toxicity": (op6_toxicity, None),
     "op7_quality_rules": (op7_quality_rules, None),
     "op8_bpe_automaton": (op8_bpe_automaton, None),
+    "op9_license_scan": (op9_license_scan, None),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
 }
