@@ -60,9 +60,9 @@ def pinned(df: DataFrame) -> DataFrame:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder a cluster names; without one, a folder beside the warehouse, which every executor reaches too."""
+    """The shared folder a cluster names; without one, a folder in the warehouse, which every executor reaches too."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-checkpoints").rstrip("/")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
