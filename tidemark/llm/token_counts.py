@@ -43,7 +43,9 @@ _REPLY = np.dtype([("document", "<u2"), ("tokens", "<u4")])
 def _dealt(rows: list[Counter], block: int, buckets: int) -> Iterator[tuple[int, list[str], bytes, bytes]]:
     """(bucket, its pre-tokens, number of postings of each, packed postings) of a block's counted documents."""
     pieces = list(itertools.chain.from_iterable(rows))
-    codes, distinct = pd.factorize(np.array(pieces, dtype=object))
+    numbers = {piece: k for k, piece in enumerate(dict.fromkeys(pieces))}
+    codes = np.fromiter(map(numbers.__getitem__, pieces), np.int64, len(pieces))
+    distinct = np.array([*numbers, None], dtype=object)[:-1]
     sizes = np.fromiter(map(len, rows), np.int64, len(rows))
     documents = np.repeat(np.arange(len(rows), dtype=np.uint16), sizes)
     times = np.fromiter(itertools.chain.from_iterable(c.values() for c in rows), np.int64, len(pieces))
