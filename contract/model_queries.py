@@ -22,7 +22,7 @@ from tidemark.model.features import (
     training_matrix,
 )
 from tidemark.model.logistic import add_scores, fit_logistic
-from tidemark.model.store import ModelArtifacts, load_artifacts, save_artifacts
+from tidemark.model.store import StoredModel, load_artifacts, save_artifacts
 from tidemark.operators.normalize import normalize_rows
 from tidemark.operators.splits import take_split
 from tidemark.plans import jobs
@@ -77,9 +77,9 @@ def _(s):
     return counted
 
 
-def _fitted(s: Stages) -> ModelArtifacts:
+def _fitted(s: Stages) -> StoredModel:
     model = fit_logistic(training_matrix(train_of(s)))
-    return ModelArtifacts(model, fit_calibrator(model, take_split(s.parted, "validation")))
+    return StoredModel(model, fit_calibrator(model, take_split(s.parted, "validation")))
 
 
 @register("logistic_scores")

@@ -299,7 +299,7 @@ def _(s):
 
 @register("brier", over_scored(f"SELECT round(avg(power({FITTED} - target_high_severity, 2)), 6) AS brier_score FROM test"))
 def _(s):
-    return metrics.ranking_metrics(scored(s), FITTED).select("brier_score")
+    return metrics.brier_scores(scored(s), FITTED).select("brier_score")
 
 
 @register("segment_metrics", over_scored(_metrics_sql(FITTED, "test", "history_depth_bucket")))
@@ -471,7 +471,7 @@ def _(s):
     ),
 )
 def _(s):
-    return ranking.search_entities(batch(s), " 77 ")
+    return ranking.search_entities(batch(s), " 77 ", 25)
 
 
 @register(

@@ -8,7 +8,7 @@ import pytest
 from helpers import AGAIN, INITIAL, raw_rows
 from pyspark.sql import functions as F
 
-from tidemark.model.calibration import SigmoidCalibrator, fit_sigmoid
+from tidemark.model.calibration import PlattCurve, fit_sigmoid
 from tidemark.model.features import (
     CATEGORICAL_FEATURES,
     MODEL_FEATURES,
@@ -20,7 +20,7 @@ from tidemark.model.features import (
     training_matrix,
 )
 from tidemark.model.logistic import add_scores, fit_logistic
-from tidemark.model.store import ModelArtifactError, ModelArtifacts, load_artifacts, save_artifacts
+from tidemark.model.store import UnusableModel, StoredModel, load_artifacts, save_artifacts
 from tidemark.operators.quality import DataQualityError
 from tidemark.operators.splits import assign_split, split_violations, validate_splits
 from tidemark.plans import jobs
@@ -98,15 +98,15 @@ def test_unseen_category_is_all_zero(spark, train):
 
 
 def test_contracts(spark, train):
-    with pytest.raises(ValueError, match="Missing required"):
+    with pytest.raises(ValueError, match="absent"):
         check_training_schema(train.drop(NUMERIC_FEATURES[0]))
-    with pytest.raises(ValueError, match="Forbidden"):
+    with pytest.raises(ValueError, match="outcomes among"):
         check_training_schema(train.withColumn("target_score", F.lit(1)))
-    with pytest.raises(ValueError, match="Missing target"):
+    with pytest.raises(ValueError, match="target_high_severity"):
         check_training_schema(train.drop("target_high_severity"))
-    with pytest.raises(ValueError, match="missing values"):
+    with pytest.raises(ValueError, match="other than 0 and 1"):
         check_target(train.withColumn("target_high_severity", F.lit(None).cast("int")))
-    with pytest.raises(ValueError, match="binary"):
+    with pytest.raises(ValueError, match="other than 0 and 1"):
         check_target(train.withColumn("target_high_severity", F.lit(2)))
     with pytest.raises(ValueError, match="positive"):
         fit_logistic(train, c=0.0)
@@ -120,19 +120,19 @@ def test_calibration_keeps_the_order(train, model):
     rows = scored.withColumn("q", fitted.column(F.col("m"))).orderBy("p").collect()
     assert all(0 <= r["q"] <= 1 for r in rows)
     assert [r["q"] for r in rows] == sorted(r["q"] for r in rows)
-    with pytest.raises(RuntimeError):
-        SigmoidCalibrator().column(F.lit(0.0))
+    with pytest.raises(TypeError):
+        PlattCurve()
 
 
 def test_store_round_trip(spark, train, model, tmp_path):
     path = str(tmp_path / "model")
-    save_artifacts(spark, ModelArtifacts(model, SigmoidCalibrator(0.9, -0.1)), path)
+    save_artifacts(spark, StoredModel(model, PlattCurve(0.9, -0.1)), path)
     back = load_artifacts(spark, path)
-    assert back.feature_names == MODEL_FEATURES and back.calibrator == SigmoidCalibrator(0.9, -0.1)
+    assert back.feature_names == MODEL_FEATURES and back.calibrator == PlattCurve(0.9, -0.1)
     a = [r[0] for r in add_scores(model, train, "p").select("p").collect()]
     b = [r[0] for r in add_scores(back.model, train, "p").select("p").collect()]
     assert a == b
-    with pytest.raises(ModelArtifactError):
+    with pytest.raises(UnusableModel):
         load_artifacts(spark, str(tmp_path / "absent"))
 
 
@@ -143,7 +143,7 @@ def population(spark, train, n):
 
 
 def test_scoring_ranks_and_errors(spark, train, model):
-    artifacts = ModelArtifacts(model, SigmoidCalibrator(1.0, 0.0))
+    artifacts = StoredModel(model, PlattCurve(1.0, 0.0))
     people = population(spark, train, 5)
     scored, queue = jobs.score_population(people, artifacts, 3)
     rows = scored.orderBy("priority_rank").collect()
@@ -153,8 +153,8 @@ def test_scoring_ranks_and_errors(spark, train, model):
     for capacity in (0, 6):
         with pytest.raises(ValueError, match="[Cc]apacity"):
             jobs.score_population(people, artifacts, capacity)
-    with pytest.raises(ValueError, match="contract"):
-        jobs.score_population(people, ModelArtifacts(model, SigmoidCalibrator(1.0, 0.0), ("other",)), 3)
+    with pytest.raises(ValueError, match="other features"):
+        jobs.score_population(people, StoredModel(model, PlattCurve(1.0, 0.0), ("other",)), 3)
 
 
 def test_split_rules(spark):
@@ -223,6 +223,25 @@ def test_train_then_batch_end_to_end(spark, tmp_path):
     jobs.run_batch(spark, landing, root, model_path, 2, run_id="r2")
     kept = spark.read.parquet(f"{root}/predictions").groupBy("run_id").count().collect()
     assert {r["run_id"]: r["count"] for r in kept} == {"r1": 40, "r2": 40}
+    # The second run measures its row count against the first.
+    rates = {r["rate_name"]: r["rate"] for r in spark.read.parquet(f"{root}/rates").where("run_id = 'r2'").collect()}
+    assert rates["source_row_count_change_rate"] == 0.0
+
+
+def test_pipeline_and_scoring_jobs_leave_records_of_one_shape(spark, tmp_path):
+    root, landing = str(tmp_path / "run"), str(tmp_path / "landing")
+    raw_rows(spark, feed(6)).write.option("header", True).csv(landing)
+    tables = jobs.run_pipeline(spark, landing, root, run_id="p1")
+    assert tables["scoring_population"].count() == 6
+    with pytest.raises(UnusableModel):
+        jobs.run_scoring(spark, root + "/stages", root, str(tmp_path / "no-model"), 2, run_id="s1")
+    records = {r: json.loads(open(_part(f"{root}/runs/{r}")).read()) for r in ("p1", "s1")}
+    assert records["p1"].keys() == records["s1"].keys()
+    assert records["p1"]["status"] == "SUCCESS" and records["p1"]["kind"] == "pipeline" and records["p1"]["error"] is None
+    assert records["p1"]["source_row_count"] == tables["raw_inspection"].count()
+    assert records["s1"]["status"] == "FAILED" and "no-model" in records["s1"]["error"]
+    assert jobs.previous_row_count(spark, root) == records["p1"]["source_row_count"]
+    assert jobs.previous_row_count(spark, str(tmp_path / "none")) is None
 
 
 def test_gate_and_failed_record(spark, tmp_path):

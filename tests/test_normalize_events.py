@@ -120,3 +120,16 @@ def test_types(spark):
     kinds = dict(normalize_rows(raw_rows(spark, [{"CAMIS": "1"}])).dtypes)
     assert kinds["score"] == "int" and kinds["inspection_date"] == "date" and kinds["latitude"] == "double"
     assert dict(raw_rows(spark, []).select(F.col("`CUISINE DESCRIPTION`")).dtypes) == {"CUISINE DESCRIPTION": "string"}
+
+
+def test_files_of_a_feed_share_one_header(spark, tmp_path):
+    from tidemark.sources.raw_log import RAW_COLUMNS
+
+    for name, columns in (("a", RAW_COLUMNS), ("b", RAW_COLUMNS), ("c", RAW_COLUMNS[::-1])):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / f"{name}.csv").write_text(",".join(columns) + "\n" + ",".join(f"{name}-{c}" for c in columns) + "\n")
+    same = read_raw_csv(spark, f"{tmp_path}/[ab]")
+    assert sorted(r["CAMIS"] for r in same.collect()) == ["a-CAMIS", "b-CAMIS"]
+    assert read_raw_csv(spark, f"{tmp_path}/c").first()["Location"] == "c-Location"
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw_csv(spark, f"{tmp_path}/[ac]").collect()

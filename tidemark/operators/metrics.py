@@ -1,8 +1,9 @@
 """Exact ranking and calibration metrics.
 
 Scores collapse to distinct values before anything is ordered, so a score shared
-by a third of the rows is one row, and cumulative counts come from sliced running
-totals.
+by a third of the rows is one row, and cumulative counts come from running totals
+over range partitions.  A row whose score is NULL or NaN takes no part in any of the
+ranking metrics: not in the counts, not in the sums.
 """
 
 from __future__ import annotations
@@ -12,17 +13,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.prefix import running_totals, slice_edges, with_slice
+from tidemark.operators.prefix import running_totals
 from tidemark.operators.splits import TARGET
 
 
+def with_scores(df: DataFrame, score: str) -> DataFrame:
+    """The rows that have a score."""
+    return df.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
+
+
 def threshold_counts(df: DataFrame, score: str, by: Sequence[str] = ()) -> DataFrame:
     """Positives and rows per distinct score, with running counts from the top."""
-    edges = slice_edges(df, [score])[score]
-    collapsed = df.groupBy(*by, F.col(score).cast("double").alias("_score")).agg(
+    collapsed = with_scores(df, score).groupBy(*by, F.col(score).cast("double").alias("_score")).agg(
         F.sum(TARGET).alias("pos"), F.count(F.lit(1)).alias("n")
     )
-    return running_totals(with_slice(collapsed, "_score", edges), "_score", ["pos", "n"], by)
+    return running_totals(collapsed, "_score", ["pos", "n"], by)
+
+
+def brier_scores(df: DataFrame, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """n, positives, prevalence and Brier score; one aggregate."""
+    return with_scores(df, score).groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(TARGET).alias("positives"),
+        F.avg(TARGET).alias("prevalence"),
+        F.avg(F.pow(F.col(score) - F.col(TARGET), F.lit(2.0))).alias("brier_score"),
+    )
 
 
 def ranking_metrics(df: DataFrame, score: str, by: Sequence[str] = ()) -> DataFrame:
@@ -32,22 +47,17 @@ def ranking_metrics(df: DataFrame, score: str, by: Sequence[str] = ()) -> DataFr
     counts ties as half and is NULL where only one class is present.
     """
     counts = threshold_counts(df, score, by)
-    whole = df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(TARGET).alias("positives"),
-        F.avg(TARGET).alias("prevalence"),
-        F.avg(F.pow(F.col(score) - F.col(TARGET), F.lit(2.0))).alias("brier_score"),
-    )
+    whole = brier_scores(df, score, by)
     # Totals divide after the sums, so no group's thresholds are joined to anything.
     above = (F.col("cum_n") - F.col("cum_pos")) - (F.col("n") - F.col("pos")) / 2
     summed = counts.groupBy(*by).agg(
         F.sum(F.col("pos") * (F.col("cum_pos") / F.col("cum_n"))).alias("_gain"),
         F.sum(F.col("pos") * above.cast("double")).alias("_negatives_above"),
     )
-    p, negatives = F.col("positives"), F.col("n_rows") - F.col("positives")
+    p, negatives = F.col("positives"), F.col("n") - F.col("positives")
     return _attach(whole, summed, by).select(
         *by,
-        F.col("n_rows").alias("n"),
+        "n",
         "positives",
         "prevalence",
         F.try_divide("_gain", p).alias("average_precision"),
@@ -69,21 +79,29 @@ def _attach(df: DataFrame, per_group: DataFrame, by: Sequence[str]) -> DataFrame
 
 
 def metric_deltas(df: DataFrame, baseline: str, model: str, by: Sequence[str]) -> DataFrame:
-    """Model minus baseline per segment; a lower Brier score is an improvement."""
-    def named(score: str, prefix: str) -> DataFrame:
-        found = ranking_metrics(df, score, by)
-        return found.withColumnsRenamed(
-            {c: f"{prefix}_{c}" for c in ("average_precision", "roc_auc", "brier_score")}
-        )
+    """Model minus baseline per segment; a lower Brier score is an improvement.
 
-    base = named(baseline, "baseline")
-    other = named(model, "model").drop("n", "positives", "prevalence")
-    return _attach(base, other, by).withColumns(
-        {
-            "average_precision_improvement": F.col("model_average_precision") - F.col("baseline_average_precision"),
-            "roc_auc_improvement": F.col("model_roc_auc") - F.col("baseline_roc_auc"),
-            "brier_improvement": F.col("baseline_brier_score") - F.col("model_brier_score"),
-        }
+    Both scores go through one metric plan as rows; n, positives and prevalence are those
+    of the rows the baseline scores.
+    """
+    side = lambda name, c: F.struct(F.lit(name).alias("_side"), F.col(c).cast("double").alias("_value"))
+    long = df.select(*by, TARGET, F.inline(F.array(side("baseline", baseline), side("model", model))))
+    found = ranking_metrics(long, "_value", [*by, "_side"])
+    metrics = ("average_precision", "roc_auc", "brier_score")
+    of = lambda name, c: F.max(F.when(F.col("_side") == name, F.col(c)))
+    return (
+        found.groupBy(*by)
+        .agg(
+            *[of("baseline", c).alias(c) for c in ("n", "positives", "prevalence")],
+            *[of(name, c).alias(f"{name}_{c}") for name in ("baseline", "model") for c in metrics],
+        )
+        .withColumns(
+            {
+                "average_precision_improvement": F.col("model_average_precision") - F.col("baseline_average_precision"),
+                "roc_auc_improvement": F.col("model_roc_auc") - F.col("baseline_roc_auc"),
+                "brier_improvement": F.col("baseline_brier_score") - F.col("model_brier_score"),
+            }
+        )
     )
 
 

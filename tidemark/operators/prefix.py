@@ -1,8 +1,9 @@
 """Running totals, exact quantiles and global ranks without a one-task window.
 
 A window ordered over the whole table would pull every row into one task.  Here
-the ordered axis is cut into slices of bounded size, each slice is summed on its
-own task, and the totals of earlier slices are added as offsets.
+rows are range-partitioned along the ordered axis, each partition is summed on its
+own task, and the totals of earlier partitions are added as offsets.  The plan has
+the same size for any number of partitions.
 """
 
 from __future__ import annotations
@@ -10,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,30 +21,8 @@ def slice_count(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def slice_edges(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> dict[str, list[float]]:
-    """Approximate quantiles that cut each column into slices of like size.
-
-    One pass over the rows for all columns.  Edges only steer the placement; any
-    edges give exact results.
-    """
-    slices = slices or slice_count(df)
-    cuts = [i / slices for i in range(1, slices)]
-    found = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).approxQuantile(
-        list(columns), cuts, 1.0 / (4 * slices)
-    )
-    return {c: sorted(set(values)) for c, values in zip(columns, found)}
-
-
-def with_slice(df: DataFrame, column: str, edges: Sequence[float], output: str = "_slice") -> DataFrame:
-    """The slice number of each value, ascending with it."""
-    if not edges:
-        return df.withColumn(output, F.lit(0.0))
-    splits = [float("-inf"), *edges, float("inf")]
-    return Bucketizer(splits=splits, inputCol=column, outputCol=output).transform(df)
-
-
 def running_totals(
-    sliced: DataFrame,
+    df: DataFrame,
     order: str,
     totals: Sequence[str],
     by: Sequence[str] = (),
@@ -52,17 +30,16 @@ def running_totals(
 ) -> DataFrame:
     """Inclusive running sums of `totals` along `order` within `by`, as `cum_<name>`.
 
-    `sliced` has one row per (by, order) and the column `_slice` of `with_slice`.
-    The offsets table has one row per (by, slice).
+    `df` has one row per (by, order).  Adds `_slice`, the range partition of a row; the
+    placement is pinned once, because sums and offsets must see the same one.  The
+    offsets have one row per (by, slice).
     """
     direction = F.desc if descending else F.asc
+    axis = [*[F.asc(b) for b in by], direction(order)]
+    placed = pin(df.repartitionByRange(slice_count(df), *axis).withColumn("_slice", F.spark_partition_id()))
     inner = Window.partitionBy(*by, "_slice").orderBy(direction(order))
-    outer = (
-        Window.partitionBy(*by)
-        .orderBy(direction("_slice"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    per_slice = sliced.groupBy(*by, "_slice").agg(*[F.sum(t).alias(t) for t in totals])
+    outer = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    per_slice = placed.groupBy(*by, "_slice").agg(*[F.sum(t).alias(t) for t in totals])
     offsets = per_slice.select(
         *[F.col(b).alias(f"_by_{b}") for b in by],
         F.col("_slice").alias("_offset_slice"),
@@ -71,7 +48,7 @@ def running_totals(
     match = F.col("_slice") == F.col("_offset_slice")
     for b in by:
         match = match & F.col(b).eqNullSafe(F.col(f"_by_{b}"))
-    summed = sliced.withColumns({f"cum_{t}": F.sum(t).over(inner) for t in totals})
+    summed = placed.withColumns({f"cum_{t}": F.sum(t).over(inner) for t in totals})
     joined = summed.join(offsets, match).withColumns(
         {f"cum_{t}": F.col(f"cum_{t}") + F.col(f"_before_{t}") for t in totals}
     )
@@ -83,14 +60,12 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     by: Sequence[str] = (),
-    slices: int | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: rows (by, column_name, probability, value).
 
     Values collapse to counts per distinct value map-side; running counts then
-    locate the two neighbours of every position.  NULLs are left out.
+    locate the two neighbours of every position.  NULL and NaN are left out.
     """
-    edges = slice_edges(df, columns, slices)
     melted = df.select(
         *by,
         F.explode(
@@ -102,12 +77,11 @@ def exact_quantiles(
             )
         ).alias("_cell"),
     ).select(*by, "_cell.column_name", "_cell.value")
-    counted = melted.where(F.col("value").isNotNull()).groupBy(*by, "column_name", "value").agg(
+    counted = melted.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy(*by, "column_name", "value").agg(
         F.count(F.lit(1)).alias("n")
     )
-    sliced = counted.withColumn("_slice", _slice_by_name(edges))
     keys = [*by, "column_name"]
-    placed = running_totals(sliced, "value", ["n"], keys, descending=False)
+    placed = running_totals(counted, "value", ["n"], keys, descending=False)
     # Positions are first located among the slices (few rows per key); only then do
     # they meet the values, keyed by slice, so no key gathers all its values in a task.
     spans = placed.groupBy(*keys, "_slice").agg(
@@ -144,24 +118,6 @@ def exact_quantiles(
     )
 
 
-def _slice_by_name(edges: dict[str, list[float]]) -> Column:
-    """Slice number of `value` under the edges of its `column_name`."""
-    number = F.lit(0.0)
-    for name, cuts in edges.items():
-        number = F.when(F.col("column_name") == name, _slice_number(F.col("value"), cuts, 0)).otherwise(number)
-    return number
-
-
-def _slice_number(value: Column, cuts: Sequence[float], base: int) -> Column:
-    """Balanced comparisons, log2 of the number of cuts deep."""
-    if not cuts:
-        return F.lit(float(base))
-    mid = len(cuts) // 2
-    return F.when(value < cuts[mid], _slice_number(value, cuts[:mid], base)).otherwise(
-        _slice_number(value, cuts[mid + 1 :], base + mid + 1)
-    )
-
-
 def global_rank(df: DataFrame, *order: Column, rank: str = "priority_rank") -> DataFrame:
     """1..n along a total order of the whole table.
 

@@ -7,23 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.prefix import global_rank
+from tidemark.operators.prefix import global_rank, running_totals
 from tidemark.operators.splits import TARGET
 from tidemark.policy import CAPACITIES
 
-# Up to here the k rows of a top-k fit one task; beyond it the distributed rank runs.
-ONE_TASK_ROWS = 100_000
-
 
 def check_capacity(capacity: int) -> None:
     if capacity <= 0:
-        raise ValueError("Capacity must be a positive integer.")
+        raise ValueError(f"A capacity is at least 1, not {capacity}.")
 
 
 def check_columns(df: DataFrame, *columns: str) -> None:
     for c in columns:
         if c not in df.columns:
-            raise ValueError(f"Column not found: {c}")
+            raise ValueError(f"The table has no column {c}.")
 
 
 def best_first(score: str, *ties: str, ascending: bool = False) -> list[Column]:
@@ -32,24 +29,38 @@ def best_first(score: str, *ties: str, ascending: bool = False) -> list[Column]:
     return [first, *[F.asc_nulls_last(t) for t in ties]]
 
 
-def top_k(df: DataFrame, score: str, capacity: int, *ties: str, ascending: bool = False) -> DataFrame:
-    """The k best rows; ties at the boundary go to the lowest id."""
+def _at_or_above_cut(df: DataFrame, score: str, capacity: int, ascending: bool) -> DataFrame:
+    """The rows whose score is at least that of the k-th; all rows if fewer have a score.
+
+    The cut comes from exact running counts per distinct score, so no task ever holds
+    the k rows.
+    """
+    counts = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("_score")).agg(F.count(F.lit(1)).alias("n"))
+    placed = running_totals(counts, "_score", ["n"], descending=not ascending)
+    edge = F.max if ascending else F.min
+    before = F.col("cum_n") - F.col("n")
+    cut = placed.agg(F.struct(edge(F.when(before < capacity, F.col("_score"))).alias("at"), F.max("cum_n").alias("n")).alias("c")).scalar()
+    limited = df.withColumn("_cut", cut)
+    inside = F.col(score) <= F.col("_cut.at") if ascending else F.col(score) >= F.col("_cut.at")
+    return limited.where(inside | (F.coalesce(F.col("_cut.n"), F.lit(0)) < capacity)).drop("_cut")
+
+
+def ranked_top(df: DataFrame, score: str, capacity: int, *ties: str, ascending: bool = False, rank: str = "rank") -> DataFrame:
+    """The k best rows with their 1..k rank; ties at the boundary go to the lowest id.
+
+    One plan for every k: rows below the k-th score go, the rest are ranked over range
+    partitions.
+    """
     ties = ties or ("camis",)
     check_capacity(capacity)
     check_columns(df, score, *ties)
-    return df.orderBy(*best_first(score, *ties, ascending=ascending)).limit(capacity)
+    rows = _at_or_above_cut(df, score, capacity, ascending)
+    return global_rank(rows, *best_first(score, *ties, ascending=ascending), rank=rank).where(F.col(rank) <= capacity)
 
 
-def ranked_top(df: DataFrame, score: str, capacity: int, *ties: str, ascending: bool = False, rank: str = "rank") -> DataFrame:
-    """`top_k` with its 1..k rank."""
-    ties = ties or ("camis",)
-    order = best_first(score, *ties, ascending=ascending)
-    if capacity > ONE_TASK_ROWS:
-        check_columns(df, score, *ties)
-        return global_rank(df, *order, rank=rank).where(F.col(rank) <= capacity)
-    return top_k(df, score, capacity, *ties, ascending=ascending).withColumn(
-        rank, F.row_number().over(Window.orderBy(*order)).cast("bigint")
-    )
+def top_k(df: DataFrame, score: str, capacity: int, *ties: str, ascending: bool = False) -> DataFrame:
+    """`ranked_top` in rank order, without the rank."""
+    return ranked_top(df, score, capacity, *ties, ascending=ascending, rank="_rank").orderBy("_rank").drop("_rank")
 
 
 def ranked_top_by(df: DataFrame, by: str, score: str, capacity: int, *ties: str, rank: str = "rank") -> DataFrame:
@@ -73,10 +84,6 @@ def _totals(df: DataFrame) -> DataFrame:
     )
 
 
-def _one_row(df: DataFrame) -> DataFrame:
-    return df.sparkSession.range(1).drop("id")
-
-
 def random_policy(df: DataFrame, capacities: Sequence[int] = CAPACITIES) -> DataFrame:
     """Expected yield of a uniform random choice."""
     for k in capacities:
@@ -93,29 +100,45 @@ def random_policy(df: DataFrame, capacities: Sequence[int] = CAPACITIES) -> Data
     )
 
 
-def policy_at_k(
-    df: DataFrame,
-    score: str,
-    policy: str,
-    capacities: Sequence[int] = CAPACITIES,
-    *ties: str,
-    ascending: bool = False,
-) -> DataFrame:
-    """Yield, precision, recall and lift of one policy at every capacity.
+def _by_policy(df: DataFrame, scores: dict[str, str], capacity: int, *ties: str, ascending: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """(policy, rank, keep...) of the best rows of every policy of `scores` (name -> column), from one pass over df."""
+    check_capacity(capacity)
+    ties = ties or ("camis",)
+    check_columns(df, *scores.values(), *ties)
+    signed = lambda name, c: -F.col(c).cast("double") if name in ascending else F.col(c).cast("double")
+    cells = [F.struct(F.lit(name).alias("policy"), signed(name, c).alias("_score")) for name, c in scores.items()]
+    long = df.select(*dict.fromkeys([*keep, *ties]), F.inline(F.array(*cells)))
+    return ranked_top_by(long, "policy", "_score", capacity, *ties).select("policy", "rank", *keep)
+
+
+def policies_at_k(df: DataFrame, scores: dict[str, str], capacities: Sequence[int], *ties: str, ascending: Sequence[str] = ()) -> DataFrame:
+    """Yield, precision, recall and lift of every policy at every capacity.
 
-    The best max(k) rows are taken once; each capacity counts within them.
+    The best max(k) rows of each policy are taken once; each capacity counts within them.
     Precision is over the rows actually selected, which may be fewer than k.
     """
     for k in capacities:
         check_capacity(k)
-    ranked = ranked_top(df, score, max(capacities), *ties, ascending=ascending).select("rank", TARGET)
     found = (
-        ranked.withColumn("capacity", _capacity_rows(capacities))
+        _by_policy(df, scores, max(capacities), *ties, ascending=ascending, keep=[TARGET])
+        .withColumn("capacity", _capacity_rows(capacities))
         .where(F.col("rank") <= F.col("capacity"))
-        .groupBy("capacity")
+        .groupBy("policy", "capacity")
         .agg(F.count(F.lit(1)).alias("selected_examples"), F.sum(TARGET).alias("high_severity_outcomes_found"))
     )
-    return _policy_columns(found.withColumn("_t", _totals(df).scalar()), policy)
+    return _policy_columns(found.withColumn("_t", _totals(df).scalar()), F.col("policy"))
+
+
+def policy_at_k(
+    df: DataFrame,
+    score: str,
+    policy: str,
+    capacities: Sequence[int] = CAPACITIES,
+    *ties: str,
+    ascending: bool = False,
+) -> DataFrame:
+    """`policies_at_k` of one policy."""
+    return policies_at_k(df, {policy: score}, capacities, *ties, ascending=[policy] * ascending)
 
 
 def _policy_columns(found: DataFrame, policy: str | Column) -> DataFrame:
@@ -151,12 +174,8 @@ def capacity_sweep(
         "lift_vs_random",
         F.lit(0.0).alias("incremental_outcomes_vs_random"),
     )
-    for name, column in scores.items():
-        one = policy_at_k(df, column, name, capacities, *ties, ascending=name in ascending)
-        chance = chance.unionByName(
-            one.withColumn("high_severity_outcomes_found", F.col("high_severity_outcomes_found").cast("double"))
-        )
-    return chance
+    found = policies_at_k(df, scores, capacities, *ties, ascending=ascending)
+    return chance.unionByName(found.withColumn("high_severity_outcomes_found", F.col("high_severity_outcomes_found").cast("double")))
 
 
 def alpha_grid(scored: DataFrame, score: str, capacities: Sequence[int] = CAPACITIES, *ties: str) -> DataFrame:
@@ -198,11 +217,9 @@ def queue_overlap(
     df: DataFrame, score_a: str, score_b: str, capacities: Sequence[int] = CAPACITIES, *ties: str, key: str = "camis"
 ) -> DataFrame:
     """How two policies' queues agree, as sets of entities, per capacity."""
-    def best_rank(score: str, name: str) -> DataFrame:
-        rows = ranked_top(df, score, max(capacities), *ties, rank=name)
-        return rows.groupBy(key).agg(F.min(name).alias(name))
-
-    both = best_rank(score_a, "_a").join(best_rank(score_b, "_b"), key, "full")
+    ranks = _by_policy(df, {"a": score_a, "b": score_b}, max(capacities), *ties, keep=[key])
+    best = lambda name: F.min(F.when(F.col("policy") == name, F.col("rank"))).alias(f"_{name}")
+    both = ranks.groupBy(key).agg(best("a"), best("b"))
     k = F.col("capacity")
     in_a = F.coalesce(F.col("_a") <= k, F.lit(False))
     in_b = F.coalesce(F.col("_b") <= k, F.lit(False))
@@ -222,26 +239,22 @@ def queue_overlap(
 
 def only_in_b(df: DataFrame, score_a: str, score_b: str, capacity: int, *ties: str, key: str = "camis") -> DataFrame:
     """All rows of the entities that B's queue holds and A's does not."""
-    a = top_k(df, score_a, capacity, *ties).select(key).distinct()
-    b = top_k(df, score_b, capacity, *ties).select(key).distinct()
-    return df.join(b, key, "left_semi").join(a, key, "left_anti").orderBy(*best_first(score_b, *(ties or (key,))))
+    queues = _by_policy(df, {"a": score_a, "b": score_b}, capacity, *ties, keep=[key])
+    chosen = queues.groupBy(key).agg(F.min("policy").alias("_first"))
+    only = chosen.where("_first = 'b'").select(key)
+    return df.join(only, key, "left_semi").orderBy(*best_first(score_b, *(ties or (key,))))
 
 
 def policy_comparison(
     df: DataFrame, score_a: str, score_b: str, capacities: Sequence[int] = CAPACITIES, *ties: str
 ) -> DataFrame:
     """Yields of two policies side by side with lifts and relative improvement."""
-    one = policy_at_k(df, score_a, "a", capacities, *ties).select(
-        "capacity", F.col("high_severity_outcomes_found").alias("a_yield")
-    )
-    two = policy_at_k(df, score_b, "b", capacities, *ties).select(
-        "capacity", F.col("high_severity_outcomes_found").alias("b_yield")
-    )
+    hits = lambda name: F.max(F.when(F.col("policy") == name, F.col("high_severity_outcomes_found"))).alias(f"{name}_yield")
+    yields = policies_at_k(df, {"a": score_a, "b": score_b}, capacities, *ties).groupBy("capacity").agg(hits("a"), hits("b"))
     k, a, b = F.col("capacity"), F.col("a_yield"), F.col("b_yield")
     expected = k * F.col("_t.positives") / F.col("_t.n")
     return (
-        one.join(two, "capacity")
-        .withColumn("_t", _totals(df).scalar())
+        yields.withColumn("_t", _totals(df).scalar())
         .select(
             "capacity",
             expected.alias("random_expected_yield"),
@@ -258,12 +271,15 @@ def policy_comparison(
 
 
 def priority_queue(scored: DataFrame, capacity: int, score: str = "calibrated_high_severity_probability") -> DataFrame:
-    """Top-k queue with ranks; the capacity must not exceed the population."""
-    check_capacity(capacity)
-    population = scored.count()
-    if capacity > population:
-        raise ValueError(f"Capacity ({capacity}) exceeds the number of scorable restaurants ({population}).")
-    return ranked_top(scored, score, capacity, rank="priority_rank")
+    """Top-k queue with ranks; refused if there are fewer than k entities.
+
+    The ranked rows are pinned, so counting them reads no more than the queue itself.
+    """
+    queue = ranked_top(scored, score, capacity, rank="priority_rank")
+    size = queue.count()
+    if size < capacity:
+        raise ValueError(f"A queue of {capacity} needs more entities than the {size} there are.")
+    return queue
 
 
 def filter_population(df: DataFrame, boroughs: Sequence[str] = (), cuisines: Sequence[str] = ()) -> DataFrame:
@@ -281,22 +297,17 @@ def filtered_queue(scored: DataFrame, capacity: int, boroughs: Sequence[str] = (
     return filter_population(scored, boroughs, cuisines).orderBy("priority_rank").limit(capacity)
 
 
-MAX_SEARCH_LENGTH = 100
-MAX_SEARCH_RESULTS = 25
-
-
-def search_entities(scored: DataFrame, query: str, results: int = MAX_SEARCH_RESULTS) -> DataFrame:
-    """Case-insensitive literal match on name or id, best ranks first."""
+def search_entities(scored: DataFrame, query: str, results: int | None = None) -> DataFrame:
+    """Case-insensitive literal match on name or id, best ranks first; all of them unless `results` is given."""
     needle = query.strip().lower()
     if not needle:
-        raise ValueError("Enter a name or an id.")
-    if len(query.strip()) > MAX_SEARCH_LENGTH:
-        raise ValueError("Search query is too long.")
+        raise ValueError("The search text is blank.")
 
     def has(c: str) -> Column:
         return F.contains(F.lower(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit(needle))
 
-    return scored.where(has("restaurant_name") | has("camis")).orderBy("priority_rank").limit(results)
+    found = scored.where(has("restaurant_name") | has("camis")).orderBy("priority_rank")
+    return found if results is None else found.limit(results)
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

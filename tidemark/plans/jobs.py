@@ -7,20 +7,23 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model.calibration import add_calibrated, fit_calibrator
 from tidemark.model.features import feature_matrix, training_matrix
-from tidemark.model.logistic import add_scores, fit_logistic_grid
-from tidemark.model.store import ModelArtifacts, check_contract, load_artifacts, save_artifacts
+from tidemark.model.logistic import fit_logistic_grid
+from tidemark.model.store import StoredModel, check_contract, load_artifacts, save_artifacts
 from tidemark.operators import events, normalize, snapshots
 from tidemark.operators.baselines import smoothed_risk
 from tidemark.operators.metrics import ranking_metrics
 from tidemark.operators.prefix import global_rank
 from tidemark.operators.profile import category_share_map, monitoring_metrics
 from tidemark.operators.quality import Tables, enforce, quality_rates, run_suite
-from tidemark.operators.ranking import capacity_sweep, check_capacity
+from tidemark.operators.ranking import capacity_sweep, check_capacity, priority_queue
 from tidemark.operators.splits import TARGET, assign_split, take_split, validate_splits
 from tidemark.policy import CAPACITIES, EventPolicy, SplitBounds
 from tidemark.sources.raw_log import read_raw_csv
@@ -110,32 +113,43 @@ def run_validations(
     return run_suite(checked), rates
 
 
-def score_population(
-    population: DataFrame, artifacts: ModelArtifacts, capacity: int
-) -> tuple[DataFrame, DataFrame]:
-    """All entities scored and ranked, and the queue of the best `capacity`."""
-    check_capacity(capacity)
-    check_contract(artifacts)
-    size = population.count()
-    if capacity > size:
-        raise ValueError(f"Capacity ({capacity}) exceeds the number of scorable restaurants ({size}).")
+def _scored(population: DataFrame, artifacts: StoredModel) -> DataFrame:
+    """Context columns, raw and calibrated probability of every entity."""
     keep = [c for c in CONTEXT_COLUMNS if c in population.columns]
     twice = [c for c in keep if c in ("borough", "cuisine_description", "history_depth_bucket")]
     matrix = feature_matrix(population, *[c for c in keep if c not in twice])
-    scored = add_calibrated(artifacts.model, artifacts.calibrator, matrix).select(
+    return add_calibrated(artifacts.model, artifacts.calibrator, matrix).select(
         *keep, "raw_logistic_probability", CALIBRATED
     )
+
+
+def score_population(
+    population: DataFrame, artifacts: StoredModel, capacity: int
+) -> tuple[DataFrame, DataFrame]:
+    """All entities scored and ranked, and the queue of the best `capacity`."""
+    check_capacity(capacity)
+    check_contract(artifacts)
+    scored = _scored(population, artifacts)
     ranked = global_rank(scored, F.desc_nulls_last(CALIBRATED), F.asc_nulls_last("camis"))
-    return ranked, ranked.where(F.col("priority_rank") <= capacity).orderBy("priority_rank")
+    queue = ranked.where(F.col("priority_rank") <= capacity).orderBy("priority_rank")
+    # The ranked rows are pinned, so this count reads what is already there.
+    size = ranked.count()
+    if size < capacity:
+        raise ValueError(f"Capacity {capacity} is more than the {size} entities to score.")
+    return ranked, queue
 
 
 def priority_queue_at(
     spark: SparkSession, root: str, model_path: str, capacity: int
 ) -> tuple[DataFrame, int]:
-    """Queue and population size from the stored scoring population and model."""
+    """Queue and population size from the stored scoring population and model.
+
+    Only the rows from the k-th score up are ranked.
+    """
     population = read_stage(spark, root, "scoring_population")
-    _, queue = score_population(population, load_artifacts(spark, model_path), capacity)
-    return queue, population.count()
+    stored = load_artifacts(spark, model_path)
+    check_contract(stored)
+    return priority_queue(_scored(population, stored), capacity, CALIBRATED), population.count()
 
 
 def population_status(population: DataFrame) -> DataFrame:
@@ -147,7 +161,7 @@ def population_status(population: DataFrame) -> DataFrame:
 
 @dataclass
 class Training:
-    artifacts: ModelArtifacts
+    artifacts: StoredModel
     selection: DataFrame
     test_scores: DataFrame
     test_metrics: DataFrame
@@ -169,7 +183,7 @@ def train(
     models = fit_logistic_grid(training_matrix(fit_on), tuple(sorted({*candidates, chosen})))
     selection = _selection(models, held_out)
     calibrator = fit_calibrator(models[chosen], held_out)
-    artifacts = ModelArtifacts(models[chosen], calibrator)
+    artifacts = StoredModel(models[chosen], calibrator)
     scored = add_calibrated(models[chosen], calibrator, smoothed_risk(fit_on, test, alpha, "historical_risk"))
     scored = pin(scored)
     metrics = _stack(scored, {"smoothed_historical_risk": "historical_risk",
@@ -188,14 +202,16 @@ def _stack(df: DataFrame, scores: dict[str, str]) -> DataFrame:
     return ranking_metrics(long, "score", ["model"])
 
 
-def _selection(models: dict[float, object], held_out: DataFrame) -> DataFrame:
-    scored = held_out
-    names = {}
+def _selection(models: dict[float, PipelineModel], held_out: DataFrame) -> DataFrame:
+    """Metrics per candidate; preprocessing is the same for all of them and runs once."""
+    first = next(iter(models.values()))
+    ready = pin(PipelineModel(first.stages[:-1]).transform(held_out).select(TARGET, "features"))
+    scored, names = ready, {}
     for c, model in models.items():
-        column = f"_score_{str(c).replace('.', '_')}"
-        scored = add_scores(model, scored, column)
-        names[str(c)] = column
-    return _stack(pin(scored.select(TARGET, *names.values())), names).withColumnRenamed("model", "c")
+        names[str(c)] = f"_score_{str(c).replace('.', '_')}"
+        probability = vector_to_array("probability")[1].alias(names[str(c)])
+        scored = model.stages[-1].transform(scored).select(*scored.columns, probability)
+    return _stack(scored.drop("features"), names).withColumnRenamed("model", "c")
 
 
 @dataclass
@@ -206,6 +222,112 @@ class BatchResult:
     metrics: DataFrame
 
 
+def _new_run_id() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
+
+
+def previous_row_count(spark: SparkSession, root: str) -> int | None:
+    """Feed rows of the latest successful run under `root`; None before the first one."""
+    try:
+        runs = spark.read.json(f"{root}/runs/*")
+    except AnalysisException:
+        return None
+    if not {"status", "source_row_count", "run_id"} <= set(runs.columns):
+        return None
+    good = runs.where("status = 'SUCCESS' AND source_row_count IS NOT NULL")
+    last = good.orderBy(F.desc("run_id")).select("source_row_count").first()
+    return last and last["source_row_count"]
+
+
+def _ingest(spark, raw_path, root, run_id, policy, gate, previous_rows) -> dict[str, DataFrame]:
+    """Transformations and validations of one feed; checks and rates are kept per run."""
+    tables = run_transformations(read_raw_csv(spark, raw_path), f"{root}/stages", policy)
+    checks, rates = run_validations(tables, gate, previous_rows)
+    write_run_artifact(checks, root, "checks", run_id)
+    write_run_artifact(rates, root, "rates", run_id)
+    return tables
+
+
+def _publish(spark, population, model_path, root, run_id, capacity) -> tuple[DataFrame, DataFrame]:
+    """Score, then write predictions and queue of the run and the latest exports."""
+    scored, _ = score_population(population, load_artifacts(spark, model_path), capacity)
+    path = write_run_artifact(scored, root, "predictions", run_id)
+    stored = spark.read.parquet(path).where(F.col("run_id") == run_id).drop("run_id")
+    queue = stored.where(F.col("priority_rank") <= capacity).orderBy("priority_rank")
+    write_run_artifact(queue, root, "queues", run_id)
+    write_csv(stored.orderBy("priority_rank"), f"{root}/latest/scores")
+    write_csv(queue, f"{root}/latest/priority_queue")
+    return stored, queue
+
+
+class _Run:
+    """Writes the record of a run under `runs`: SUCCESS with its figures, or FAILED with the error.
+
+    Both have the same columns; what a run did not get to is NULL or zero.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, kind: str, run_id: str, capacity: int | None = None):
+        self.spark, self.root, self.kind, self.run_id, self.capacity = spark, root, kind, run_id, capacity
+        self.started, self.scored, self.rows, self.metrics = time.time(), None, None, None
+
+    def __enter__(self) -> _Run:
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        self.metrics = self._record("FAILED" if error else "SUCCESS", str(error) if error else None)
+        write_json(self.metrics, f"{self.root}/runs/{self.run_id}")
+
+    def _record(self, status: str, error: str | None) -> DataFrame:
+        scored = self.scored
+        if scored is None:
+            scored = self.spark.createDataFrame([], f"camis string, {CALIBRATED} double, priority_rank bigint, history_depth_bucket string")
+        figures = batch_metrics(scored, self.run_id, status, self.capacity or 0, time.time() - self.started)
+        if "history_depth_distribution" not in figures.columns:
+            figures = figures.withColumn("history_depth_distribution", F.lit(None).cast("map<string,double>"))
+        return figures.withColumns(
+            {
+                "kind": F.lit(self.kind),
+                "source_row_count": F.lit(self.rows).cast("bigint"),
+                "error": F.lit(error).cast("string"),
+            }
+        )
+
+
+def run_pipeline(
+    spark: SparkSession,
+    raw_path: str,
+    root: str,
+    policy: EventPolicy = EventPolicy(),
+    gate: bool = False,
+    run_id: str | None = None,
+    previous_rows: int | None = None,
+) -> dict[str, DataFrame]:
+    """Ingest, transform and validate, with a run record of its own.
+
+    `previous_rows` is what the row-count change is measured against; by default that of the
+    latest successful run.
+    """
+    run_id = run_id or _new_run_id()
+    with _Run(spark, root, "pipeline", run_id) as run:
+        before = previous_rows if previous_rows is not None else previous_row_count(spark, root)
+        tables = _ingest(spark, raw_path, root, run_id, policy, gate, before)
+        run.rows = tables["deduplication_audit"].first()["input_row_count"]
+    return tables
+
+
+def run_scoring(
+    spark: SparkSession, stages: str, root: str, model_path: str, capacity: int, run_id: str | None = None
+) -> BatchResult:
+    """Score the stored scoring population under `stages` with the stored model and write the results."""
+    check_capacity(capacity)
+    run_id = run_id or _new_run_id()
+    with _Run(spark, root, "scoring", run_id, capacity) as run:
+        population = read_stage(spark, stages, "scoring_population")
+        stored, queue = _publish(spark, population, model_path, root, run_id, capacity)
+        run.scored = stored
+    return BatchResult(run_id, stored, queue, run.metrics)
+
+
 def run_batch(
     spark: SparkSession,
     raw_path: str,
@@ -215,42 +337,21 @@ def run_batch(
     policy: EventPolicy = EventPolicy(),
     gate: bool = False,
     run_id: str | None = None,
+    previous_rows: int | None = None,
 ) -> BatchResult:
     """Ingest, transform, validate, score, write artifacts and metrics.
 
     A failed run leaves a FAILED record under `runs` and raises.
     """
     check_capacity(capacity)
-    started = time.time()
-    run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
-    try:
-        raw = read_raw_csv(spark, raw_path)
-        tables = run_transformations(raw, f"{root}/stages", policy)
-        checks, rates = run_validations(tables, gate)
-        write_run_artifact(checks, root, "checks", run_id)
-        write_run_artifact(rates, root, "rates", run_id)
-        scored, queue = score_population(tables["scoring_population"], load_artifacts(spark, model_path), capacity)
-        path = write_run_artifact(scored, root, "predictions", run_id)
-        stored = spark.read.parquet(path).where(F.col("run_id") == run_id).drop("run_id")
-        queue = stored.where(F.col("priority_rank") <= capacity).orderBy("priority_rank")
-        write_run_artifact(queue, root, "queues", run_id)
-        write_csv(stored.orderBy("priority_rank"), f"{root}/latest/scores")
-        write_csv(queue, f"{root}/latest/priority_queue")
-        metrics = batch_metrics(stored, run_id, "SUCCESS", capacity, time.time() - started)
-        write_json(metrics, f"{root}/runs/{run_id}")
-    except Exception as error:
-        write_json(_run_record(spark, run_id, "FAILED", capacity, time.time() - started, str(error)), f"{root}/runs/{run_id}")
-        raise
-    return BatchResult(run_id, stored, queue, metrics)
-
-
-def _run_record(
-    spark: SparkSession, run_id: str, status: str, capacity: int, seconds: float, error: str | None = None
-) -> DataFrame:
-    return spark.createDataFrame(
-        [(run_id, status, capacity, seconds, error)],
-        "run_id string, status string, capacity bigint, duration_seconds double, error string",
-    ).coalesce(1)
+    run_id = run_id or _new_run_id()
+    with _Run(spark, root, "batch", run_id, capacity) as run:
+        before = previous_rows if previous_rows is not None else previous_row_count(spark, root)
+        tables = _ingest(spark, raw_path, root, run_id, policy, gate, before)
+        run.rows = tables["deduplication_audit"].first()["input_row_count"]
+        stored, queue = _publish(spark, tables["scoring_population"], model_path, root, run_id, capacity)
+        run.scored = stored
+    return BatchResult(run_id, stored, queue, run.metrics)
 
 
 def batch_metrics(scored: DataFrame, run_id: str, status: str, capacity: int, seconds: float) -> DataFrame:

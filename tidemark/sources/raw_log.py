@@ -23,20 +23,22 @@ def raw_col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Scan the feed as text.
 
     No inference pass over the files: every column is a string and typing is the
-    normaliser's job.  Columns are matched by header, so files may hold more of
-    them or hold them in another order.
+    normaliser's job.  The header may hold more columns and in another order, but all files
+    of a feed share it; a file with another header fails the scan.  Files are split
+    among tasks unless `multi_line` says that quoted fields hold line breaks, for which
+    Spark must read each file in one task.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     header = reader.option("inferSchema", False).csv(path).columns
     missing = [name for name in RAW_COLUMNS if name not in header]
     if missing:
         raise ValueError(f"Raw feed lacks columns: {', '.join(missing)}")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    return reader.schema(schema).csv(path).select(*[raw_col(n) for n in RAW_COLUMNS])
+    return reader.option("enforceSchema", False).schema(schema).csv(path).select(*[raw_col(n) for n in RAW_COLUMNS])
 
 
 def landing_count(raw: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ Paths are Hadoop URIs throughout, so local folders and object stores look alike.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,16 +37,12 @@ def read_stage(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in `spark.checkpoint.dir`.
+    """The folder the cluster names in `spark.checkpoint.dir`, else one in the warehouse.
 
-    Only a local session may fall back to a folder of its own machine.
+    Both are places every executor reaches; nothing depends on the master.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="tidemark-")
-    raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach.")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints").rstrip("/")
 
 
 def pin(df: DataFrame) -> DataFrame:
