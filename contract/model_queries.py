@@ -152,3 +152,41 @@ def _(s):
 )
 def _(s):
     return jobs.population_status(s.scoring)
+
+
+def _gradient(scored, weights: list[float], penalty: float, place: str):
+    """Slope of the penalised loss per coefficient, over the rows; zero at the optimum."""
+    error = F.col("_p") - F.col("target_high_severity")
+    summed = scored.select(F.posexplode(F.transform(place, lambda x: x * error)).alias("slot", "part")).groupBy("slot").agg(
+        F.sum("part").alias("slope"), F.count(F.lit(1)).alias("n")
+    )
+    own = F.array(*[F.lit(w) for w in weights])
+    slope = (F.col("slope") + penalty * F.get(own, F.col("slot"))) / F.col("n")
+    # Adding zero turns a negative zero into zero.
+    return summed.select("slot", (F.round(slope, 4) + 0.0).alias("gradient"))
+
+
+_SLOTS = " + ".join(
+    [f"(SELECT 1 + (count(*) > count({c}))::INT FROM parted WHERE split = 'train')" for c in NUMERIC_FEATURES]
+    + [f"(SELECT count(DISTINCT coalesce({c}, 'Missing')) FROM parted WHERE split = 'train')" for c in CATEGORICAL_FEATURES]
+)
+
+
+@register("logistic_gradient", over_stages(f"SELECT CAST(unnest(range(CAST({_SLOTS} AS BIGINT))) AS INT) AS slot, CAST(0 AS DOUBLE) AS gradient"))
+def _(s):
+    """The fitted coefficients are at the minimum of the penalised loss over the training rows."""
+    rows = training_matrix(train_of(s))
+    model = fit_logistic(rows)
+    scored = model.transform(rows).select(
+        "target_high_severity", vector_to_array("features").alias("x"), vector_to_array("probability")[1].alias("_p")
+    )
+    return _gradient(scored, [float(w) for w in model.stages[-1].coefficients], 1.0, "x")
+
+
+@register("calibration_gradient", over_stages("SELECT CAST(unnest(range(2)) AS INT) AS slot, CAST(0 AS DOUBLE) AS gradient"))
+def _(s):
+    """Slope and intercept of the calibration are at the minimum over the validation rows; the intercept is free of penalty."""
+    found = _fitted(s)
+    margins = add_scores(found.model, take_split(s.parted, "validation"), probability=None, margin="_m")
+    scored = margins.select("target_high_severity", F.array("_m", F.lit(1.0)).alias("x"), found.calibrator.column(F.col("_m")).alias("_p"))
+    return _gradient(scored, [found.calibrator.slope, 0.0], 1.0, "x")

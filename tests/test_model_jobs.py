@@ -21,7 +21,7 @@ from tidemark.model.features import (
 )
 from tidemark.model.logistic import add_scores, fit_logistic
 from tidemark.model.store import UnusableModel, StoredModel, load_artifacts, save_artifacts
-from tidemark.operators.quality import DataQualityError
+from tidemark.operators.quality import ThresholdBreached
 from tidemark.operators.splits import assign_split, split_violations, validate_splits
 from tidemark.plans import jobs
 from tidemark.policy import SplitBounds
@@ -249,7 +249,7 @@ def test_gate_and_failed_record(spark, tmp_path):
     rows = feed(4)
     rows[0]["CRITICAL FLAG"] = "weird"
     raw_rows(spark, rows).write.option("header", True).csv(landing)
-    with pytest.raises(DataQualityError, match="unexpected_critical_flag_rate"):
+    with pytest.raises(ThresholdBreached, match="unexpected_critical_flag_rate"):
         jobs.run_batch(spark, landing, root, "unused", 1, gate=True, run_id="bad")
     assert json.loads(open(_part(f"{root}/runs/bad")).read())["status"] == "FAILED"
     with pytest.raises(ValueError):

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import to_date_safe
 from tidemark.functions.rates import DEPTH_BUCKETS
 from tidemark.operators.splits import TARGET
 from tidemark.policy import SENTINEL_DATE, QualityThresholds
@@ -218,6 +219,26 @@ def _outside_unit(c: str) -> Column:
     return F.col(c).isNull() | ~F.col(c).between(0.0, 1.0)
 
 
+#: Checks that list failing rows: (table, condition of a failing row).
+ROW_RULES: dict[str, tuple[str, Callable[[], Column]]] = {
+    "target_not_after_cutoff": ("population", lambda: F.col("target_inspection_date") <= F.col("cutoff_date")),
+    "label_target_not_after_cutoff": ("labels", lambda: F.col("target_inspection_date") <= F.col("cutoff_date")),
+    "target_equals_cutoff": ("labels", lambda: F.col("target_inspection_id") == F.col("cutoff_inspection_id")),
+    "invalid_target_label": ("labels", lambda: F.col(TARGET).isNull() | ~F.col(TARGET).isin(0, 1)),
+    "non_positive_days_to_target": ("labels", lambda: F.col("days_to_target").isNull() | (F.col("days_to_target") <= 0)),
+    "future_event_in_feature_history": ("features", lambda: F.col("last_cycle_inspection_date") > F.col("cutoff_date")),
+    "negative_feature_counts": ("features", lambda: any_of([F.col(c) < 0 for c in _NON_NEGATIVE])),
+    "inconsistent_feature_counts": ("features", lambda: _inconsistent()),
+    "invalid_critical_inspection_rate": ("features", lambda: _outside_unit("prior_critical_inspection_rate")),
+    "invalid_history_depth_bucket": ("features", lambda: _wrong_bucket()),
+}
+
+
+def _row_check(name: str) -> _Check:
+    table, failing = ROW_RULES[name]
+    return lambda t: failing_rows(name, getattr(t, table), failing())
+
+
 CHECKS: dict[str, _Check] = {
     "normalization_row_count": lambda t: counts_match(
         "normalization_row_count", t.raw, t.rows, "raw_row_count", "normalized_row_count", "row_count_difference", swap=True
@@ -245,9 +266,7 @@ CHECKS: dict[str, _Check] = {
     "duplicate_prediction_cutoff": lambda t: duplicates(
         "duplicate_prediction_cutoff", t.population, "cutoff_inspection_id", "row_count"
     ),
-    "target_not_after_cutoff": lambda t: failing_rows(
-        "target_not_after_cutoff", t.population, F.col("target_inspection_date") <= F.col("cutoff_date")
-    ),
+    "target_not_after_cutoff": _row_check("target_not_after_cutoff"),
     "invalid_target_event_type": lambda t: _wrong_type(
         "invalid_target_event_type", t.population, t.events, "target_inspection_id", "is_eligible_target_event"
     ),
@@ -258,18 +277,10 @@ CHECKS: dict[str, _Check] = {
         "prediction_label_count_match", t.population, t.labels, "prediction_rows", "label_rows", "difference"
     ),
     "duplicate_label": lambda t: duplicates("duplicate_label", t.labels, "cutoff_inspection_id", "label_count"),
-    "label_target_not_after_cutoff": lambda t: failing_rows(
-        "label_target_not_after_cutoff", t.labels, F.col("target_inspection_date") <= F.col("cutoff_date")
-    ),
-    "target_equals_cutoff": lambda t: failing_rows(
-        "target_equals_cutoff", t.labels, F.col("target_inspection_id") == F.col("cutoff_inspection_id")
-    ),
-    "invalid_target_label": lambda t: failing_rows(
-        "invalid_target_label", t.labels, F.col(TARGET).isNull() | ~F.col(TARGET).isin(0, 1)
-    ),
-    "non_positive_days_to_target": lambda t: failing_rows(
-        "non_positive_days_to_target", t.labels, F.col("days_to_target").isNull() | (F.col("days_to_target") <= 0)
-    ),
+    "label_target_not_after_cutoff": _row_check("label_target_not_after_cutoff"),
+    "target_equals_cutoff": _row_check("target_equals_cutoff"),
+    "invalid_target_label": _row_check("invalid_target_label"),
+    "non_positive_days_to_target": _row_check("non_positive_days_to_target"),
     "target_summary": lambda t: target_summary(t.labels),
     "cutoff_event_composition": lambda t: share_by(
         "cutoff_event_composition", t.population, "cutoff_inspection_type", "prediction_rows", "pct_prediction_rows",
@@ -285,17 +296,11 @@ CHECKS: dict[str, _Check] = {
         "features_map_to_prediction_population", t.features, t.population, "cutoff_inspection_id",
         "features_without_prediction_population",
     ),
-    "future_event_in_feature_history": lambda t: failing_rows(
-        "future_event_in_feature_history", t.features, F.col("last_cycle_inspection_date") > F.col("cutoff_date")
-    ),
-    "negative_feature_counts": lambda t: failing_rows(
-        "negative_feature_counts", t.features, any_of([F.col(c) < 0 for c in _NON_NEGATIVE])
-    ),
-    "inconsistent_feature_counts": lambda t: failing_rows("inconsistent_feature_counts", t.features, _inconsistent()),
-    "invalid_critical_inspection_rate": lambda t: failing_rows(
-        "invalid_critical_inspection_rate", t.features, _outside_unit("prior_critical_inspection_rate")
-    ),
-    "invalid_history_depth_bucket": lambda t: failing_rows("invalid_history_depth_bucket", t.features, _wrong_bucket()),
+    "future_event_in_feature_history": _row_check("future_event_in_feature_history"),
+    "negative_feature_counts": _row_check("negative_feature_counts"),
+    "inconsistent_feature_counts": _row_check("inconsistent_feature_counts"),
+    "invalid_critical_inspection_rate": _row_check("invalid_critical_inspection_rate"),
+    "invalid_history_depth_bucket": _row_check("invalid_history_depth_bucket"),
     "scoring_population_uniqueness": lambda t: unique_key(
         "scoring_population_uniqueness", t.scoring, "camis", "scoring_rows", "unique_restaurants", "duplicate_restaurants"
     ),
@@ -311,8 +316,18 @@ def run_suite(tables: Tables, names: Sequence[str] | None = None) -> DataFrame:
     nothing; reports are INFO.
     """
     reports = {"target_summary", "cutoff_event_composition", "history_depth_distribution"}
+    names = list(names or CHECKS)
     parts = []
-    for name in names or CHECKS:
+    # Row rules over one table are counted in one pass over it.
+    for table in dict.fromkeys(ROW_RULES[n][0] for n in names if n in ROW_RULES):
+        own = [n for n in names if n in ROW_RULES and ROW_RULES[n][0] == table]
+        counted = getattr(tables, table).agg(*[F.count_if(ROW_RULES[n][1]()).alias(n) for n in own])
+        rows = [
+            F.struct(F.lit(n).alias("check_name"), F.when(F.col(n) == 0, "PASS").otherwise("FAIL").alias("status"), F.col(n).alias("result_rows"))
+            for n in own
+        ]
+        parts.append(counted.select(F.inline(F.array(*rows))))
+    for name in [n for n in names if n not in ROW_RULES]:
         found = CHECKS[name](tables)
         if "status" in found.columns:
             status = F.max("status")
@@ -331,42 +346,54 @@ def run_suite(tables: Tables, names: Sequence[str] | None = None) -> DataFrame:
 # --- thresholds ---------------------------------------------------------------
 
 
-def _rate(df: DataFrame, broken: Column) -> Column:
-    """Share of matching rows as a scalar subquery; 0 for an empty table."""
-    return F.coalesce(df.agg(F.avg(F.coalesce(broken, F.lit(False)).cast("double")).alias("r")).scalar(), F.lit(0.0))
+def _share(broken: Column) -> Column:
+    """Share of rows with the fault; 0 for an empty table."""
+    return F.coalesce(F.avg(F.coalesce(broken, F.lit(False)).cast("double")), F.lit(0.0))
 
 
-def _duplicate_rate(df: DataFrame, key: str) -> Column:
+def _repeats(key: str) -> Column:
     n = F.count(F.lit(1))
-    return F.coalesce(df.agg(F.try_divide((n - F.count_distinct(key)).cast("double"), n).alias("r")).scalar(), F.lit(0.0))
+    return F.coalesce(F.try_divide((n - F.count_distinct(key)).cast("double"), n), F.lit(0.0))
+
+
+def _unreadable_date() -> Column:
+    text = F.nullif(F.trim(F.col("`INSPECTION DATE`")), F.lit(""))
+    return text.isNotNull() & to_date_safe(text).isNull()
+
+
+#: Aggregates per table; each table is read once for all of its rates.
+_RATES: dict[str, dict[str, Callable[[], Column]]] = {
+    "raw": {"unparseable_inspection_date_rate": lambda: _share(_unreadable_date()), "_raw_rows": lambda: F.count(F.lit(1))},
+    "rows": {
+        "unexpected_critical_flag_rate": lambda: _share(F.col("critical_flag") == "Unexpected"),
+        "missing_borough_rate": lambda: _share(F.col("borough").isNull()),
+        "missing_cuisine_rate": lambda: _share(F.col("cuisine_description").isNull()),
+        "missing_location_rate": lambda: _share(F.col("location").isNull()),
+    },
+    "entities": {"duplicate_restaurant_rate": lambda: _repeats("camis")},
+    "events": {
+        "duplicate_inspection_event_rate": lambda: _repeats("inspection_id"),
+        "event_attribute_conflict_rate": lambda: _share(_conflicting()),
+    },
+    "violations": {"_violation_rows": lambda: F.count(F.lit(1))},
+    "population": {"invalid_target_date_rate": lambda: _share(F.col("target_inspection_date") <= F.col("cutoff_date"))},
+    "labels": {"invalid_label_rate": lambda: _share(F.col(TARGET).isNull() | ~F.col(TARGET).isin(0, 1))},
+    "features": {"feature_future_date_rate": lambda: _share(F.col("last_cycle_inspection_date") > F.col("cutoff_date"))},
+}
 
 
 def quality_rates(tables: Tables) -> DataFrame:
     """Observed rate, limit and breach per configured threshold."""
     t = tables
-    orphan_n = orphans(t.violations, t.events, "inspection_id").agg(F.count(F.lit(1)).alias("n")).scalar()
-    violation_n = t.violations.agg(F.count(F.lit(1)).alias("n")).scalar()
-    raw_date = F.nullif(F.trim(F.col("`INSPECTION DATE`")), F.lit(""))
-    observed = {
-        "unexpected_critical_flag_rate": _rate(t.rows, F.col("critical_flag") == "Unexpected"),
-        "duplicate_restaurant_rate": _duplicate_rate(t.entities, "camis"),
-        "duplicate_inspection_event_rate": _duplicate_rate(t.events, "inspection_id"),
-        "orphan_violation_rate": F.coalesce(F.try_divide(orphan_n.cast("double"), violation_n), F.lit(0.0)),
-        "invalid_target_date_rate": _rate(t.population, F.col("target_inspection_date") <= F.col("cutoff_date")),
-        "feature_future_date_rate": _rate(t.features, F.col("last_cycle_inspection_date") > F.col("cutoff_date")),
-        "invalid_label_rate": _rate(t.labels, F.col(TARGET).isNull() | ~F.col(TARGET).isin(0, 1)),
-        "missing_borough_rate": _rate(t.rows, F.col("borough").isNull()),
-        "missing_cuisine_rate": _rate(t.rows, F.col("cuisine_description").isNull()),
-        "missing_location_rate": _rate(t.rows, F.col("location").isNull()),
-        "event_attribute_conflict_rate": _rate(t.events, _conflicting()),
-    }
-    from tidemark.functions import to_date_safe
-
-    observed["unparseable_inspection_date_rate"] = _rate(
-        t.raw, raw_date.isNotNull() & to_date_safe(raw_date).isNull()
-    )
+    one, observed = t.raw.sparkSession.range(1), {}
+    for table, rates in _RATES.items():
+        cell = getattr(t, table).agg(F.struct(*[rate().alias(name) for name, rate in rates.items()]).alias("c")).scalar()
+        one = one.withColumn(f"_{table}", cell)
+        observed |= {name: F.col(f"_{table}.{name}") for name in rates}
+    lost = orphans(t.violations, t.events, "inspection_id").agg(F.count(F.lit(1)).alias("n")).scalar()
+    observed["orphan_violation_rate"] = F.coalesce(F.try_divide(lost.cast("double"), observed.pop("_violation_rows")), F.lit(0.0))
+    now = observed.pop("_raw_rows")
     if t.previous_rows is not None:
-        now = t.raw.agg(F.count(F.lit(1)).alias("n")).scalar()
         observed["source_row_count_change_rate"] = F.coalesce(
             F.try_divide(F.abs(now - F.lit(t.previous_rows)).cast("double"), F.lit(t.previous_rows)), F.lit(0.0)
         )
@@ -379,11 +406,10 @@ def quality_rates(tables: Tables) -> DataFrame:
         for name, limit in limits.items()
         if name in observed
     ]
-    one = t.raw.sparkSession.range(1)
     return one.select(F.inline(F.array(*entries))).withColumn("breached", F.col("rate") > F.col("limit"))
 
 
-class DataQualityError(Exception):
+class ThresholdBreached(Exception):
     """A hard threshold is breached."""
 
 
@@ -391,6 +417,6 @@ def enforce(rates: DataFrame) -> None:
     """Raise if any hard threshold is breached; reads one row per threshold."""
     broken = rates.where((F.col("severity") == "hard") & F.col("breached")).collect()
     if broken:
-        raise DataQualityError(
+        raise ThresholdBreached(
             "; ".join(f"{r['rate_name']} is {r['rate']:.6f}, limit {r['limit']}" for r in sorted(broken))
         )
