@@ -564,6 +564,7 @@ def _(s):
         "SELECT camis, cutoff_inspection_id, cutoff_date, target_high_severity, history_depth_bucket, borough,"
         f" round({SMOOTHED}, 6) AS {SMOOTHED}, place AS rank FROM (SELECT *, {_place(SMOOTHED, 'place')} FROM test) WHERE place <= 100"
     ),
+    from_raw=True,
 )
 def _(s):
     """Raw rows to snapshots to smoothed risk to the 100 best of the test period."""
