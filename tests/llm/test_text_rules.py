@@ -44,6 +44,20 @@ def test_base_spans_and_random_tokens(spark, documents, clashing):
     assert secret_scan.secrets(documents([])).count() == 0
 
 
+def test_the_sql_finds_the_same_spans(spark, documents):
+    import duckdb
+
+    from tidemark.llm.queries import SECRETS_SQL
+
+    rows = list(enumerate([*EDGE[:8], *SECRETS, f"a {BASE64} b {BASE64[::-1]} release-2024-candidate-build-7-final {BASE64.lower()} {BASE64[:22]}"]))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = con.execute(f"SELECT doc_id, spans, base_sha256, n_random FROM ({SECRETS_SQL})").fetchall()
+    got = secret_scan.secrets(documents(rows)).select("doc_id", "spans", "base_sha256", "n_random").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and sum(r[3] for r in want) >= 3
+
+
 def test_redaction_keeps_rows_and_columns(spark, documents, clashing):
     docs = clashing(documents([(1, f"x {BASE64} y token=abcdef1 z"), (2, None), (3, "clean"), (3, "clean"), (None, "secret: 'abcdefgh'")]))
     out = secret_scan.redacted(docs)

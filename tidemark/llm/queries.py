@@ -87,8 +87,69 @@ SELECT doc_id, item_id, CAST(arg_max(item_words, (matched_words, stretch, -start
 FROM scored WHERE matched_words >= {decontamination.LEAST_SHARE} * item_words OR stretch >= {decontamination.LEAST_STRETCH}
 GROUP BY doc_id, item_id"""
 
+_SYMBOLS = " ".join(f"WHEN regexp_matches(core, '{pattern}') THEN '{symbols}'" for pattern, symbols in secret_scan.ENCODINGS)
+_MATCHES = " UNION ALL ".join(
+    "SELECT rid, {k} AS kind, regexp_extract_all(text, '{p}') AS hits, string_split_regex(text, '{p}') AS pieces FROM t".format(k=k, p=p.replace("'", "''"))
+    for k, p in enumerate((secret_scan.ASSIGN, secret_scan.ACCESS, secret_scan.HEX, secret_scan.CANDIDATE))
+)
+_TAIL = "exp(-z * z / 2) / 2.5066282746310002 * u * (0.319381530 + u * (-0.356563782 + u * (1.781477937 + u * (-1.821255978 + u * 1.330274429))))"
+#: The tests are written over rows of symbols instead of arrays.
+SECRETS_SQL = f"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({_MATCHES}),
+e AS (SELECT rid, kind, unnest(hits) AS hit, unnest(pieces[1:len(hits)]) AS piece, generate_subscripts(hits, 1) AS n FROM m WHERE len(hits) > 0),
+placed AS (
+  SELECT rid, kind, hit, sum(length(piece) + length(hit)) OVER (PARTITION BY rid, kind ORDER BY n) AS stop FROM e
+), spans AS (SELECT rid, kind, hit, CAST(stop - length(hit) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM placed),
+base AS (
+  SELECT rid, kind, start, stop FROM spans
+  WHERE kind < 3 AND (kind > 0 OR length(regexp_extract(hit, '{secret_scan.ASSIGN.replace("'", "''")}', 2)) >= 6)
+), free AS (
+  SELECT rid, start, stop, regexp_replace(hit, '[-_=]', '', 'g') AS core FROM spans s
+  WHERE kind = 3 AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = s.rid AND b.start < s.stop AND s.start < b.stop)
+), fitting AS (
+  SELECT *, CASE WHEN NOT regexp_matches(core, '[0-9]') OR NOT regexp_matches(core, '[A-Za-z]') THEN NULL {_SYMBOLS} END AS alphabet
+  FROM free WHERE length(core) >= {secret_scan.LEAST_SYMBOLS}
+), symbols AS (
+  SELECT rid, start, stop, pos, CAST(instr(alphabet, core[pos]) AS DOUBLE) AS x, length(core) AS n, length(alphabet) AS size,
+    CASE WHEN regexp_matches(core[pos], '[0-9]') THEN 0 WHEN regexp_matches(core[pos], '[A-Z]') THEN 1 WHEN regexp_matches(core[pos], '[a-z]') THEN 2 ELSE 3 END AS cls
+  FROM (SELECT *, unnest(range(1, length(core) + 1)) AS pos FROM fitting WHERE alphabet IS NOT NULL)
+), pairs AS (
+  SELECT *, x - avg(x) OVER w AS c, lead(x) OVER o - avg(x) OVER w AS next, lead(cls) OVER o AS next_cls
+  FROM symbols WINDOW w AS (PARTITION BY rid, start), o AS (PARTITION BY rid, start ORDER BY pos)
+), squared AS (SELECT rid, start, sum(k * k) AS squares FROM (SELECT rid, start, x, count(*) AS k FROM symbols GROUP BY ALL) GROUP BY ALL),
+sums AS (
+  SELECT rid, start, stop, CAST(any_value(n) AS DOUBLE) AS n, CAST(any_value(size) AS DOUBLE) AS size, count(*) FILTER (next_cls <> cls) AS changes,
+    greatest(-0.999, least(0.999, coalesce(sum(c * next) / nullif(sum(c * c), 0), 0.999))) AS r
+  FROM pairs GROUP BY rid, start, stop
+), tests AS (
+  SELECT rid, start, stop, n,
+    ((n * (n - 1) * 2 / size - (squares - n)) / sqrt(2 * n * (n - 1) * (2 / size) * (1 - 2 / size))
+      + (changes - (n - 1) * q) / sqrt((n - 1) * q * (1 - q))
+      + (0.5493061443340549 - abs(atanh(r))) * sqrt(n - 3)) / 1.7320508075688772 AS score
+  FROM (SELECT *, CASE CAST(size AS INT) WHEN 16 THEN 0.234 WHEN 32 THEN 0.152 WHEN 36 THEN 0.2 ELSE 0.32 END AS q FROM sums) JOIN squared USING (rid, start)
+), p AS (
+  SELECT rid, start, stop, (CASE WHEN score >= 0 THEN tail ELSE 1 - tail END) * avg(n) OVER (PARTITION BY rid) / n AS v
+  FROM (SELECT *, {_TAIL} AS tail FROM (SELECT *, abs(score) AS z, 1 / (1 + 0.2316419 * abs(score)) AS u FROM tests))
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY v, start) AS k, count(*) OVER (PARTITION BY rid) AS family FROM p
+), random AS (
+  SELECT rid, 3 AS kind, start, stop FROM ranked
+  QUALIFY k <= max(CASE WHEN v <= k * ({secret_scan.FALSE_DISCOVERY} / family) THEN k ELSE 0 END) OVER (PARTITION BY rid)
+), marks AS (
+  SELECT rid, kind, start, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || start || ':' || stop AS written
+  FROM (SELECT * FROM base UNION ALL SELECT rid, kind, start, stop FROM random)
+), lists AS (
+  SELECT rid, string_agg(written, ',' ORDER BY start, kind) AS spans, string_agg(written, ',' ORDER BY start, kind) FILTER (kind < 3) AS base_spans,
+    {', '.join(f'count(*) FILTER (kind = {k}) AS n_{name}' for k, name in enumerate(secret_scan.KINDS))}
+  FROM marks GROUP BY rid
+)
+SELECT doc_id, {', '.join(f'coalesce(n_{name}, 0) AS n_{name}' for name in secret_scan.KINDS)},
+  sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN lists USING (rid)"""
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
-    "op1_secret_scan": (op1_secret_scan, None),
+    "op1_secret_scan": (op1_secret_scan, SECRETS_SQL),
     "op2_token_counts": (op2_token_counts, None),
     "op3_html_extract": (op3_html_extract, None),
     "op4_decontamination": (op4_decontamination, DECONTAMINATION_SQL),
