@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int = 8, memory: str = "8g", checkpoints: str = "spark-warehouse/checkpoints") -> SparkSession:
+def local_session(cpus: int = 8, memory: str = "8g", checkpoints: str = "/tmp/tidemark-checkpoints") -> SparkSession:
     session = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tidemark")
@@ -16,7 +14,7 @@ def local_session(cpus: int = 8, memory: str = "8g", checkpoints: str = "spark-w
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", os.path.abspath(checkpoints))
+        .config("spark.checkpoint.dir", checkpoints)
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Recommended for clusters too.  HotSpot interprets methods above 8000 bytes; such stages run faster split up.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
