@@ -6,10 +6,11 @@ range joins and lateral lookups, so agreement checks the rewrite as well.
 
 from __future__ import annotations
 
+from contract.expected import (
+    DIMENSIONS, DOUBLE_SOURCES, ENTITY_ATTRIBUTES, FEATURE_COLUMNS, HISTORY_FEATURES, IDENTIFIER_SOURCES, LABEL_COLUMNS,
+    NORMALIZED_COLUMNS, POPULATION_COLUMNS, TEXT_SOURCES,
+)
 from contract.raw_view import RAW_SQL
-from tidemark.operators.events import ENTITY_ATTRIBUTES
-from tidemark.operators.normalize import _DOUBLES, _IDENTIFIERS, _TEXT, NORMALIZED_COLUMNS
-from tidemark.operators.snapshots import DIMENSIONS, FEATURE_COLUMNS, HISTORY_FEATURES, LABEL_COLUMNS, POPULATION_COLUMNS
 from tidemark.policy import INITIAL_TYPE, REINSPECTION_TYPE
 
 
@@ -26,9 +27,9 @@ def _date(src: str) -> str:
 
 
 _TYPED = (
-    {name: _text(src) for name, src in _TEXT.items()}
-    | {name: f'"{src}"' for name, src in _IDENTIFIERS.items()}
-    | {name: f'try_cast("{src}" AS DOUBLE)' for name, src in _DOUBLES.items()}
+    {name: _text(src) for name, src in TEXT_SOURCES.items()}
+    | {name: f'"{src}"' for name, src in IDENTIFIER_SOURCES.items()}
+    | {name: f'try_cast("{src}" AS DOUBLE)' for name, src in DOUBLE_SOURCES.items()}
     | {
         "inspection_date": _date("INSPECTION DATE"),
         "grade_date": _date("GRADE DATE"),

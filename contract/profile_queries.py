@@ -9,6 +9,7 @@ from contract.queries import register
 from tidemark.operators import profile
 from tidemark.policy import SENTINEL_DATE
 
+# The columns each profile covers.
 NUMERIC = (
     "prior_cycle_inspection_count", "prior_cycle_initial_count", "prior_cycle_reinspection_count",
     "prior_critical_inspection_count", "prior_critical_inspection_rate", "prior_critical_violation_count",

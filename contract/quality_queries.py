@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contract.expected import NON_NEGATIVE, PART_OF
 from contract.oracle_tables import over_stages
 from contract.queries import register, sql_rounded
 from contract.stage_queries import FEATURE_DOUBLES
@@ -222,12 +223,12 @@ _ORACLES: dict[str, str] = {
     ),
     "negative_feature_counts": _rows(
         "negative_feature_counts", _FEATURES,
-        f"least({', '.join('t.' + c for c in quality._NON_NEGATIVE)}) < 0",
+        f"least({', '.join('t.' + c for c in NON_NEGATIVE)}) < 0",
     ),
     "inconsistent_feature_counts": _rows(
         "inconsistent_feature_counts", _FEATURES,
         "t.prior_cycle_inspection_count <> t.prior_cycle_initial_count + t.prior_cycle_reinspection_count"
-        + "".join(f" OR t.{whole} < t.{part}" for part, whole in quality._PART_OF),
+        + "".join(f" OR t.{whole} < t.{part}" for part, whole in PART_OF),
     ),
     "invalid_critical_inspection_rate": _rows(
         "invalid_critical_inspection_rate", _FEATURES, "NOT coalesce(t.prior_critical_inspection_rate, -1) BETWEEN 0 AND 1"

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import days_between, depth_bucket, safe_rate
 from tidemark.policy import EventPolicy
 
+# Output columns of the snapshot tables.
 POPULATION_COLUMNS = (
     "cutoff_inspection_id", "camis", "cutoff_date", "cutoff_inspection_type",
     "cutoff_is_cycle_initial", "cutoff_is_cycle_reinspection",
