@@ -95,3 +95,25 @@ def test_null_ids_repeats_and_empty_tables(spark, tmp_path):
         (4, "response", None), (4, "response", None), (None, "response", None), (None, "revisit", 4),
     ]
     assert warc.archived(frame.limit(0), str(tmp_path / "e")).count() == 0
+
+
+def test_class_words_on_a_wrapper_do_not_cut_the_article():
+    prose = PROSE.strip()
+    comments = f"<div id=comments><article class=comment><p>{prose * 5}</p></article></div>"
+    for names in ("content with-sidebar", "post tag-alert", "site header-fixed", "article no-share", "page has-comments"):
+        for inner in (f"<article><p>{prose}</p></article>", f"<p>{prose}</p>"):
+            html = page(f"<p>Logo</p><div class='{names}'>{inner}<div class=sidebar><p>side</p></div>{comments}</div>")
+            found = html_extract.main_text(html).split("\n\n")
+            assert prose in found and "side" not in found and prose * 5 not in found, (names, inner)
+    for names in ("sidebar", "main-menu", "post-tags", "related-posts"):
+        assert html_extract.main_text(page(f"<div class=x><p>{prose}</p><p>{prose}</p></div><div class={names}><p>{prose}</p></div>")) == f"{prose}\n\n{prose}"
+
+
+def test_short_blocks_beside_the_best_container_stay():
+    prose, links = PROSE.strip(), "<p><a href=x>more</a></p>"
+    text = f"<div class=text>{f'<p>{prose}</p>' * 5}</div>"
+    want = "\n\n".join(["Short intro.", *[prose] * 5, "Sub", "item", "Short end."])
+    for top, end in (("<div>", "</div>"), ("<article>", "</article>"), ("<article><div>", "</div></article>")):
+        assert html_extract.main_text(f"{top}<p>Short intro.</p>{links}{text}<h3>Sub</h3><ul><li>item</ul>{links}<p>Short end.</p>{end}") == want
+    nested = f"<article>Loose words<p>Short intro.</p><div><div>{text}</div><div>Note</div></div></article>"
+    assert html_extract.main_text(nested) == "\n\n".join(["Loose words", "Short intro.", *[prose] * 5, "Note"])

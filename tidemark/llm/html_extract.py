@@ -4,9 +4,11 @@ Each page is parsed into a tree of elements.  Every paragraph passes points to i
 ancestors: one, one per comma and one per hundred characters (three at most), in full
 to its parent, half to the grandparent and less further up.  An element's score is
 multiplied by the share of its text that is not link text.  The best container is the
-article; siblings that score well, or are paragraphs of prose beside it, are kept with
-it.  Elements that never hold article text (menus, forms, scripts, comments and the
-like, by tag or by the words of class, id and role) are cut from the tree first.
+article; siblings that score well, and the blocks beside it that are not links, are kept
+with it.  Elements that never hold article text are cut from the tree first, by tag
+(menus, forms, scripts and the like), role or hiding.  Class and id words only raise a
+doubt: a doubted element stays if other names of it speak for article text, if it holds
+an article of weight, or if it holds more prose than all that nobody doubts.
 """
 
 from __future__ import annotations
@@ -34,34 +36,51 @@ CUT = frozenset(
 _SELF_CLOSING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPES = frozenset("ul ol dl table select div article section body td th blockquote".split())
 _PARAGRAPHS = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6".split())
+#: What stands in an article beside its main container.
+_BESIDE = _PARAGRAPHS | frozenset("ul ol dl table figure hgroup".split())
 _UNLIKELY = re.compile(
     r"\b(?:ads?|advert\w*|banner|breadcrumbs?|combx|comments?|cookie\w*|consent|disqus|disclaimer|footer|footnote|gdpr|header|menu|masthead|modal|"
     r"nav\w*|newsletter|notice|outbrain|pager|pagination|popup|promo\w*|related|replies|reply|remark|rss|share|sharing|shoutbox|sidebar|skyscraper|"
     r"social|sponsor\w*|subscribe|tags|toolbar|widget|alert)\b"
 )
+#: `with-sidebar` is not the sidebar.
+_BESIDES = re.compile(r"\b(?:with|has|no|without) .*")
+#: Words for what readers wrote; more prose than the article's does not make it the article.
+_REPLIES = re.compile(r"\b(?:comments?|disqus|replies|reply)\b")
 _LIKELY = re.compile(r"\b(?:article|body|content|main|post|entry|story|text)\b")
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
+_SENTENCES = 80
+_ARTICLE_SHARE = 0.2
 _SHARES = (1.0, 0.5, 0.25, 0.125)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "score", "cut", "length", "linked", "likely")
+    __slots__ = ("tag", "parent", "children", "score", "cut", "doubt", "length", "linked", "likely", "prose", "article")
 
-    def __init__(self, tag: str, parent: "Node | None", cut: bool = False, likely: bool = False):
-        self.tag, self.parent, self.cut, self.likely = tag, parent, cut, likely
+    def __init__(self, tag: str, parent: "Node | None", cut: bool = False, likely: bool = False, doubt: str = ""):
+        self.tag, self.parent, self.cut, self.likely, self.doubt = tag, parent, cut, likely, doubt
         self.children: list[Node | str] = []
-        self.score, self.length, self.linked = 0.0, 0, 0
+        self.score, self.length, self.linked, self.prose, self.article = 0.0, 0, 0, 0.0, 0.0
 
 
-def _cut(tag: str, attributes: dict[str, str | None]) -> tuple[bool, bool]:
-    """(whether the element never holds article text, whether its names speak for article text)."""
-    names = re.sub(r"[-_]+", " ", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{attributes.get('class') or ''} {attributes.get('id') or ''}")).lower()
+def _spoken_for(names: list[str]) -> bool:
+    """Whether one whole name, such as `content` or `main-text`, stands for article text: `post-tags` and `main-menu` do not."""
+    return any(_LIKELY.fullmatch(name.split(" ")[-1]) and not _UNLIKELY.search(name) for name in names)
+
+
+def _cut(tag: str, attributes: dict[str, str | None]) -> tuple[bool, bool, str, bool]:
+    """(whether the element never holds article text, whether its names speak for article text, the words that raise a doubt, whether it is an article by tag)."""
+    parts = f"{attributes.get('class') or ''} {attributes.get('id') or ''}".split()
+    parts = [re.sub(r"[-_]+", " ", re.sub(r"([a-z])([A-Z])", r"\1 \2", part)).strip().lower() for part in parts]
+    parts = [_BESIDES.sub("", part) for part in parts]
+    names = " ".join(parts)
     likely = bool(_LIKELY.search(names)) or tag in ("article", "main")
     hidden = "hidden" in attributes or (attributes.get("aria-hidden") or "") == "true" or "display:none" in (attributes.get("style") or "").replace(" ", "").lower()
     if tag in ("html", "body"):
-        return False, False
+        return False, False, "", False
     unlikely = tag in CUT or (attributes.get("role") or "").lower() in _ROLES or hidden
-    return unlikely or bool(_UNLIKELY.search(names)) and tag not in ("article", "main"), likely
+    doubted, article = bool(_UNLIKELY.search(names)), tag in ("article", "main")
+    return unlikely, likely, names if doubted and not article and not _spoken_for(parts) else "", article and not doubted
 
 
 class TreeBuilder(HTMLParser):
@@ -78,8 +97,9 @@ class TreeBuilder(HTMLParser):
             self.here.children.append(" ")
         if tag in VOID:
             return
-        cut, likely = _cut(tag, dict(attrs))
-        node = Node(tag, self.here, cut or self.here.cut, likely)
+        cut, likely, doubt, article = _cut(tag, dict(attrs))
+        node = Node(tag, self.here, cut or self.here.cut, likely, doubt)
+        node.article = float(article)
         self.here.children.append(node)
         self.here = node
 
@@ -111,36 +131,104 @@ class TreeBuilder(HTMLParser):
             self.here = node.parent
 
 
-def _blocks(top: Node) -> Iterator[tuple[Node, str]]:
-    """(nearest block, its text between other blocks with white space as one space), in page order."""
+def _blocks(top: Node) -> Iterator[tuple[Node, str, float]]:
+    """(nearest block, its text between other blocks with white space as one space, share of link text), in page order."""
     parts: list[str] = []
+    links: list[str] = []
     owner = top
 
-    def flush() -> Iterator[tuple[Node, str]]:
+    def flush() -> Iterator[tuple[Node, str, float]]:
         text = " ".join("".join(parts).split())
+        linked = len(" ".join("".join(links).split()))
         parts.clear()
+        links.clear()
         if text:
-            yield owner, text
+            yield owner, text, min(linked / len(text), 1.0)
 
-    stack: list[tuple[Node, int, Node]] = [(top, 0, top)]
+    stack: list[tuple[Node, int, Node, bool]] = [(top, 0, top, False)]
     while stack:
-        node, at, block = stack.pop()
+        node, at, block, linked = stack.pop()
         if at < len(node.children):
-            stack.append((node, at + 1, block))
+            stack.append((node, at + 1, block, linked))
             child = node.children[at]
             if isinstance(child, str):
                 owner = block
                 parts.append(child)
+                if linked:
+                    links.append(child)
             elif not child.cut:
                 inner = child if child.tag in BLOCKS else block
                 if inner is child:
                     yield from flush()
-                stack.append((child, 0, inner))
+                stack.append((child, 0, inner, linked or child.tag == "a"))
         elif node.tag in BLOCKS or not stack:
             owner = block
             yield from flush()
 
 
+def _points(text: str) -> float:
+    return 1 + text.count(",") + min(len(text) / 100, 3)
+
+
+def _settle_doubts(top: Node) -> None:
+    """Cuts the doubted elements that are not article text, with all they hold.
+
+    From the outside in: what a kept element holds without further doubts counts for the
+    undoubted prose that the doubted elements within it are held against.
+    """
+    order, stack = [], [top]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack += [c for c in node.children if isinstance(c, Node) and not c.cut]
+    if not any(node.doubt for node in order):
+        return
+    _measure(top)
+    blocks = [(block, text, _points(text) * (1 - _link_density(block))) for block, text, _ in _blocks(top)]
+    sentences = any(len(text) > _SENTENCES for _, text, _ in blocks)
+    for block, text, points in blocks:
+        block.prose += points if len(text) > _SENTENCES or not sentences else 0.0
+    own = {id(node): node.prose for node in order}
+    articles = {id(node) for node in order if node.article}
+    for node in order:
+        node.article = 0.0
+    for node in reversed(order):
+        if id(node) in articles:
+            node.article = max(node.article, node.prose)
+        if node.parent is not None and node is not top:
+            node.parent.prose += node.prose
+            node.parent.article = max(node.parent.article, node.article)
+    least = _ARTICLE_SHARE * top.article
+
+    def within(start: Node) -> tuple[float, list[Node]]:
+        """Prose under start without doubts, and the outermost doubted elements."""
+        clear, doubted, stack = 0.0, [], [start]
+        while stack:
+            node = stack.pop()
+            clear += own[id(node)]
+            for child in node.children:
+                if isinstance(child, Node) and not child.cut:
+                    (doubted if child.doubt else stack).append(child)
+        return clear, doubted
+
+    clear, doubted = within(top)
+    while doubted:
+        kept = [
+            node for node in doubted
+            if node.article and node.article >= least or node.prose > clear and (clear == 0 or not _REPLIES.search(node.doubt))
+        ]
+        staying = {id(node) for node in kept}
+        for node in doubted:
+            node.cut = id(node) not in staying
+        doubted = []
+        for node in kept:
+            more, inner = within(node)
+            clear += more
+            doubted += inner
+    for node in order:
+        node.length = node.linked = 0
+
+
 def _measure(top: Node) -> None:
     """Length of text and of link text of every element."""
     order, stack = [], [(top, False)]
@@ -170,13 +258,13 @@ def main_text(html: str) -> str:
     builder.feed(html)
     builder.close()
     root = builder.root
+    _settle_doubts(root)
     _measure(root)
     texts: dict[int, list[str]] = {}
     scored: dict[int, Node] = {}
-    for block, text in list(_blocks(root)):
+    for block, text, _ in list(_blocks(root)):
         texts.setdefault(id(block), []).append(text)
-        points = 1 + text.count(",") + min(len(text) / 100, 3)
-        points *= 1 - _link_density(block)
+        points = _points(text) * (1 - _link_density(block))
         holder = block.parent if block.tag in _PARAGRAPHS and block.parent is not None else block
         for share in _SHARES:
             if holder is None:
@@ -190,23 +278,43 @@ def main_text(html: str) -> str:
     best = max(scored.values(), key=worth)
     if best.tag == "p" and best.parent is not None:
         best = best.parent
-    kept = [best]
-    if best.parent is not None:
-        least = max(1.0, 0.2 * worth(best))
-        kept = [
-            child for child in best.parent.children
-            if isinstance(child, Node) and not child.cut and (child is best or _belongs(child, best, worth, least))
-        ]
-    return "\n\n".join(text for node in kept for _, text in _blocks(node))
-
-
-def _belongs(child: Node, best: Node, worth, least: float) -> bool:
-    """Whether a sibling of the article is part of it: it scores well, or is prose beside it."""
-    if best.tag in ("article", "main", "body", "html"):
-        return child.tag == best.tag and worth(child) >= least
-    if worth(child) >= least:
-        return True
-    return child.tag in _PARAGRAPHS and child.length > 80 and _link_density(child) < 0.25 or child.tag in ("h1", "h2") and _link_density(child) < 0.5
+    return "\n\n".join(_article_texts(best, worth))
+
+
+def _article_texts(best: Node, worth) -> list[str]:
+    """Texts of the best container and of what belongs to the article beside it, in page order."""
+    least = max(1.0, 0.2 * worth(best))
+    if best.parent is None or best.tag in ("article", "main", "body", "html"):
+        beside = [best] if best.parent is None else best.parent.children
+        kept = [c for c in beside if c is best or isinstance(c, Node) and not c.cut and c.tag == best.tag and worth(c) >= least]
+        return [text for node in kept for _, text, _ in _blocks(node)]
+    whole = best.parent
+    while whole is not None and whole.tag != "article":
+        whole = whole.parent
+    whole = whole or best.parent
+    loose = whole.tag in ("article", "main") or whole.likely
+    above, node = set(), best
+    while node is not whole:
+        node = node.parent
+        above.add(id(node))
+    verdict: dict[int, bool | None] = {id(best): True}
+
+    def belongs(block: Node) -> bool | None:
+        """Of the element beside the best container: True for all its text, None for what is not links, False for nothing."""
+        path = []
+        while id(block) not in verdict and id(block) not in above:
+            path.append(block)
+            block = block.parent
+        found = verdict.get(id(block))
+        if path and id(block) in above:
+            beside = path[-1]
+            found = True if worth(beside) >= least else None if loose or beside.tag in _BESIDE else False
+        for node in path:
+            verdict[id(node)] = found
+        return found
+
+    every = [(belongs(block), text, linked) for block, text, linked in _blocks(whole)]
+    return [text for found, text, linked in every if found or found is None and linked < 0.5]
 
 
 def extract(pages: DataFrame) -> DataFrame:
