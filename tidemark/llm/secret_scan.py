@@ -1,7 +1,8 @@
 """Secrets in text: fixed patterns, and a randomness test battery for everything else.
 
-A candidate is a long run of token characters with letters and digits.  Its encoding is
-inferred from its characters, and three tests ask how well it fits uniform draws from
+A candidate is a long run of token characters with letters and digits; `=` ends one unless
+it is padding, so of NAME=value the value is tested alone.  Of a run that base patterns
+cover in part, what they leave is tested.  A candidate's encoding is inferred from its characters, and three tests ask how well it fits uniform draws from
 that alphabet:
 
 * chi-squared: symbol counts against uniformity over the alphabet,
@@ -31,6 +32,8 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: The parts of a run of CANDIDATE between its equals signs, with the padding at its end.
+PARTS = r"[A-Za-z0-9+/_-]{20,}(?:=+(?![A-Za-z0-9+/_=-]))?"
 LEAST_SYMBOLS = 20
 #: Rate of false discoveries among the reported random tokens of a document.
 FALSE_DISCOVERY = 0.001
@@ -45,6 +48,7 @@ ENCODINGS = (
     ("^[0-9A-Z]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
     ("^[0-9A-Za-z+/]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
 )
+_NO_PIECES = "array<struct<hit:string,start:bigint,end:bigint>>"
 _NO_SPANS = "array<struct<start:bigint,end:bigint,kind:int>>"
 
 
@@ -72,6 +76,28 @@ def _located(df: DataFrame, pattern: str, hits: str, out: str) -> DataFrame:
     return df.withColumn(out, F.when(F.size(hits) > 0, F.transform(hits, place))).drop(hits, "pieces", "before")
 
 
+def _uncovered(token: Column, base: Column) -> Column:
+    """Pieces of a token outside the base spans (by start), without the separators at their ends; the token itself if none meets it."""
+
+    def piece(first: Column, end: Column) -> Column:
+        text = F.call_function("substring", token["hit"], (first - token["start"] + 1).cast("int"), F.greatest(end - first, F.lit(0)).cast("int"))
+
+        def trimmed(t: Column) -> Column:
+            inner = F.regexp_extract(t, r"^[-+/_=]*(.*?)[-+/_]*$", 1)
+            start = first + F.length(F.regexp_extract(t, r"^[-+/_=]*", 0))
+            return F.struct(inner.alias("hit"), start.alias("start"), (start + F.length(inner)).alias("end"))
+
+        return F.array(let(text, trimmed))
+
+    def left(spans: Column) -> Column:
+        start = F.struct(token["start"].alias("at"), F.array().cast(_NO_PIECES).alias("out"))
+        step = lambda a, b: F.struct(F.greatest(a["at"], b["end"]).alias("at"), F.concat(a["out"], piece(a["at"], b["start"])).alias("out"))
+        cut = F.aggregate(spans, start, step, lambda a: F.concat(a["out"], piece(a["at"], token["end"])))
+        return F.when(F.size(spans) > 0, F.filter(cut, lambda t: F.length(t["hit"]) >= LEAST_SYMBOLS)).otherwise(F.array(token))
+
+    return let(F.filter(base, lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"])), left)
+
+
 def _candidate(token: Column) -> Column:
     """Struct of start, end, core and alphabet; null alphabet if no encoding fits or letters or digits lack."""
 
@@ -147,12 +173,12 @@ def _discoveries(tested: Column) -> Column:
 def scanned(rows: DataFrame) -> DataFrame:
     """Adds `base` and `random` to rows (with `text`, not null): arrays of (start, end, kind number).
 
-    `random` are the method's spans; those that overlap a base span are left out.
+    `random` are the method's spans; none overlaps a base span.
     """
     df = _located(rows, ASSIGN, "hits", "assign")
     df = _located(df, ACCESS, "hits", "access")
     df = _located(df, HEX, "hits", "hexes")
-    df = _located(df, CANDIDATE, "hits", "candidates")
+    df = _located(df, PARTS, "hits", "candidates")
     span = lambda number: lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit(number).alias("kind"))
     none = F.array().cast(_NO_SPANS)
     long_enough = F.filter("assign", lambda m: F.length(F.regexp_extract(m["hit"], ASSIGN, 2)) >= 6)
@@ -166,9 +192,7 @@ def scanned(rows: DataFrame) -> DataFrame:
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")),
     )
     df = df.withColumn("base", order(base)).drop("assign", "access", "hexes")
-    free = lambda both: F.filter(
-        both["candidates"], lambda m: ~F.exists(both["base"], lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    )
+    free = lambda both: F.flatten(F.transform(both["candidates"], lambda m: _uncovered(m, both["base"])))
     fitting = F.filter(F.transform(let(F.struct("candidates", "base"), free), _candidate), lambda c: c["alphabet"].isNotNull() & (F.length(c["core"]) >= LEAST_SYMBOLS))
     df = df.withColumn("tested", fitting).drop("candidates")
     random = F.when(F.size("tested") > 0, let(F.transform("tested", _p_value), lambda t: F.sort_array(_discoveries(t))))
