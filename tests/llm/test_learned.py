@@ -40,6 +40,40 @@ def test_passages_with_substitutions_are_found(spark, documents, clashing):
     assert decontamination.contaminated_pairs(frame, benchmark.limit(0)).count() == 0
 
 
+def fewest_changes(length, masks):
+    """Fewest changed words of an item of so many words that leave no seed of (mask, span)."""
+    best = {0: 0}
+    for at in range(length):
+        after = {}
+        for state, changes in best.items():
+            for changed in (0, 1):
+                now = (state << 1 | changed) & 255
+                if all(at + 1 < span or any(now >> (span - 1 - place) & 1 for place in mask) for mask, span in masks):
+                    after[now] = min(after.get(now, length), changes + changed)
+        best = after
+    return min(best.values(), default=length + 1)
+
+
+def test_every_allowed_agreement_leaves_a_seed():
+    d = decontamination
+    for length in range(d.SPAN, 120):
+        masks = [(m, d.SPAN) for m in d.MASKS] + [(m, d.SHORT_SPAN) for m in d.SHORT_MASKS if length in d.SHORT_LENGTHS]
+        assert fewest_changes(length, masks) > length // 5, length
+
+
+def test_short_items_with_substitutions_are_found(spark, documents):
+    changed = {8: [(0,), (7,)], 10: [(1, 2)], 11: [(3, 7)], 15: [(3, 7, 11)], 12: [(0, 11)]}
+    items = {n: words(900 + n, n) for n in changed}
+    rows = []
+    for n, places in changed.items():
+        for at in places:
+            w = [f"other{k}" if k in at else word for k, word in enumerate(items[n])]
+            rows += [(len(rows) * 100 + n, " ".join(words(n, 30) + w + words(n + 1, 30))), (len(rows) * 100 + 100 + n, " ".join(w))]
+    benchmark = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()] * 2, "item_id bigint, text string")
+    found = decontamination.contaminated_pairs(documents(rows + [(99_999, " ".join(items[8][:6]))]), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == sorted((i, i % 100) for i, _ in rows)
+
+
 def test_blocks_of_items_give_the_same_pairs(spark, documents, monkeypatch):
     items = {k: words(100 + k, 30) for k in range(5)}
     benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id bigint, text string")

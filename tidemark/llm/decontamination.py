@@ -1,15 +1,17 @@
 """Benchmark decontamination by spaced seeds.
 
 A mask looks at five of eight neighbouring words and ignores the others, so a seed is
-unchanged by a substituted word at an ignored place.  Every position of every document
+unchanged by a substituted word at an ignored place.  Where items are so short that the
+allowed substitutions can touch every seed, shorter masks look besides.  Every position of every document
 is hashed under every mask and looked up among the seeds of the benchmark items.  A hit
 fixes how the item lies on the document; the whole item is then compared word by word
 along that line, and the pair is reported if enough words agree.
 
 The lookup is a broadcast join.  The benchmark's words are counted first; a benchmark
 with more than SEED_WORDS of them is looked up in blocks of items, one pass over the
-documents per block, so what is broadcast stays bounded.  Verification happens beside
-the hit, before anything is shuffled.
+documents per block, so what is broadcast stays bounded.  Seeds carry the key of their
+item only; its words are broadcast once beside them.  Verification happens beside the
+hit, before anything is shuffled.
 """
 
 from __future__ import annotations
@@ -24,12 +26,18 @@ from tidemark.llm.common import where_late
 #: Places a mask looks at; all masks span as many words.
 MASKS = ((0, 1, 2, 4, 7), (0, 1, 4, 6, 7), (0, 2, 3, 5, 7))
 SPAN = 8
+#: Item lengths at which a share of LEAST_SHARE can agree without any seed of MASKS, and the masks for them.
+SHORT_LENGTHS = (8, 10, 11, 15, 16, 17)
+SHORT_MASKS = ((0, 1, 2, 4), (0, 2, 3, 4))
+SHORT_SPAN = 5
 #: An item counts as contained if this share of its words agrees, or a stretch scores this much.
 LEAST_SHARE = 0.8
 LEAST_STRETCH = 13
 _MISMATCH = 4
-#: Words of benchmark items whose seeds are broadcast at once (about 100 bytes each).
+#: Words of benchmark items that are broadcast at once, each with three or five seeds of three numbers; a word of more
+#: than _WORD_BYTES counts as so many words as it has such parts.  One item is never split.
 SEED_WORDS = 500_000
+_WORD_BYTES = 16
 
 
 def tokens(text: Column) -> Column:
@@ -37,24 +45,29 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", -1), lambda w: w != "")
 
 
-def _seeds(hashes: Column) -> Column:
-    """Seeds under the first mask at all positions, then those under the second, and so on."""
-    last = F.size(hashes) - SPAN
+def _seeds(hashes: Column, masks: tuple, span: int, first: int) -> Column:
+    """Seeds under each mask, all positions of one after those of the other; the masks' numbers start at `first`."""
+    last = F.size(hashes) - span
     under = lambda number, mask: F.transform(
         F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.lit(number), *[F.get(hashes, i + place) for place in mask])
     )
-    return F.when(last >= 0, F.concat(*[under(number, mask) for number, mask in enumerate(MASKS)]))
+    return F.when(last >= 0, F.concat(*[under(first + number, mask) for number, mask in enumerate(masks)]))
 
 
-def _seeded(rows: DataFrame) -> DataFrame:
-    """Rows with `words`, one per seed: adds `seed` and `at`, the position of its first word."""
+def _seeded(rows: DataFrame, short: Column | None = None) -> DataFrame:
+    """Rows with `words`, one per seed: adds `seed` and `at`, the position of its first word; also by SHORT_MASKS where `short` holds."""
     hashed = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    lists = hashed.select(*rows.columns, _seeds(F.col("hashes")).alias("seeds"))
-    places = F.size("words") - SPAN + 1
+    seeds = _seeds(F.col("hashes"), MASKS, SPAN, 0)
+    if short is not None:
+        none = F.array().cast("array<bigint>")
+        more = F.when(short, _seeds(F.col("hashes"), SHORT_MASKS, SHORT_SPAN, len(MASKS)))
+        seeds = F.concat(F.coalesce(seeds, none), F.coalesce(more, none))
+    lists = hashed.select(*rows.columns, seeds.alias("seeds"))
+    places = F.greatest(F.size("words") - SPAN + 1, F.lit(0))
+    long = places * len(MASKS)
+    at = F.when(F.col("number") < long, F.col("number") % places).otherwise((F.col("number") - long) % F.greatest(F.size("words") - SHORT_SPAN + 1, F.lit(1)))
     # The outer form: for the inner one the optimizer adds a filter on `seeds` and computes them twice.
-    return lists.select(*rows.columns, F.posexplode_outer("seeds").alias("number", "seed")).select(
-        *rows.columns, "seed", F.pmod("number", places).alias("at")
-    )
+    return lists.select(*rows.columns, F.posexplode_outer("seeds").alias("number", "seed")).select(*rows.columns, "seed", at.alias("at"))
 
 
 def _stretch(agrees: Column) -> Column:
@@ -68,10 +81,11 @@ def _stretch(agrees: Column) -> Column:
     return F.aggregate(agrees, start, step, lambda a: a["best"])
 
 
-def _in_block(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Verified pairs of docs (doc_id, digest, words) and items (item_id, words), with one row or more each."""
-    seeds = _seeded(items.select("item_id", F.col("words"))).select("seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item"))
-    hits = _seeded(docs).join(F.broadcast(seeds), "seed")
+def _in_block(docs: DataFrame, items: DataFrame, short: bool) -> DataFrame:
+    """Verified pairs of docs (doc_id, digest, words) and items (item_id, key, words), with one row or more each."""
+    brief = F.size("words").isin(*SHORT_LENGTHS) if short else None
+    seeds = _seeded(items, brief).select("seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item"))
+    hits = _seeded(docs, F.lit(True) if short else None).join(F.broadcast(seeds), "seed")
     line = F.col("at") - F.col("item_at")
     # Only the words under the item go on; the lambda below names them twice, so the slice is not computed within it.
     cut = F.slice("words", F.greatest(line, F.lit(0)) + 1, F.size("item") + F.least(line, F.lit(0)))
@@ -97,10 +111,12 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("digest"), tokens(F.coalesce(docs["text"], F.lit(""))).alias("words")
     )
     items = benchmark.select("item_id", tokens(F.coalesce(benchmark["text"], F.lit(""))).alias("words")).where(F.size("words") >= SPAN)
-    total = items.agg(F.sum(F.size("words"))).first()[0] or 0
-    blocks = -(-total // SEED_WORDS) or 1
-    block = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
-    found = reduce(DataFrame.unionAll, [_in_block(rows, items.where(block == k) if blocks > 1 else items) for k in range(blocks)])
+    items = items.distinct().withColumn("key", F.xxhash64("item_id", "words"))
+    load = F.aggregate("words", F.lit(0).cast("bigint"), lambda a, w: a + F.ceil(F.octet_length(w) / _WORD_BYTES))
+    total, short = items.agg(F.sum(load), F.max(F.size("words").isin(*SHORT_LENGTHS))).first()
+    blocks = -(-(total or 0) // SEED_WORDS) or 1
+    block = F.pmod("key", F.lit(blocks))
+    found = reduce(DataFrame.unionAll, [_in_block(rows, items.where(block == k) if blocks > 1 else items, bool(short)) for k in range(blocks)])
     best = F.max(F.struct("matched_words", "stretch", (-F.col("start")).alias("back"), "item_words")).alias("best")
     return (
         found.groupBy("doc_id", "digest", "item_id").agg(best)
