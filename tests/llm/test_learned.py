@@ -74,6 +74,13 @@ def test_short_items_with_substitutions_are_found(spark, documents):
     assert sorted((r.doc_id, r.item_id) for r in found) == sorted((i, i % 100) for i, _ in rows)
 
 
+def test_seeds_are_broadcast_without_the_words_of_their_item(spark, documents):
+    benchmark = spark.createDataFrame([(1, " ".join(words(7, 30)))], "item_id bigint, text string")
+    pairs = decontamination.contaminated_pairs(documents([(1, " ".join(words(7, 30)))]), benchmark)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 2 and pairs.count() == 1
+
+
 def test_blocks_of_items_give_the_same_pairs(spark, documents, monkeypatch):
     items = {k: words(100 + k, 30) for k in range(5)}
     benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id bigint, text string")

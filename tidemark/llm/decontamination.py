@@ -84,8 +84,9 @@ def _stretch(agrees: Column) -> Column:
 def _in_block(docs: DataFrame, items: DataFrame, short: bool) -> DataFrame:
     """Verified pairs of docs (doc_id, digest, words) and items (item_id, key, words), with one row or more each."""
     brief = F.size("words").isin(*SHORT_LENGTHS) if short else None
-    seeds = _seeded(items, brief).select("seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item"))
-    hits = _seeded(docs, F.lit(True) if short else None).join(F.broadcast(seeds), "seed")
+    seeds = _seeded(items.select("key", "words"), brief).select("seed", "key", F.col("at").alias("item_at"))
+    whole = items.select("key", "item_id", F.col("words").alias("item"))
+    hits = _seeded(docs, F.lit(True) if short else None).join(F.broadcast(seeds), "seed").join(F.broadcast(whole), "key")
     line = F.col("at") - F.col("item_at")
     # Only the words under the item go on; the lambda below names them twice, so the slice is not computed within it.
     cut = F.slice("words", F.greatest(line, F.lit(0)) + 1, F.size("item") + F.least(line, F.lit(0)))
