@@ -133,3 +133,26 @@ def test_files_of_a_feed_share_one_header(spark, tmp_path):
     assert read_raw_csv(spark, f"{tmp_path}/c").first()["Location"] == "c-Location"
     with pytest.raises(Exception, match="(?i)header"):
         read_raw_csv(spark, f"{tmp_path}/[ac]").collect()
+
+
+def test_a_quoted_line_break_goes_through_the_job(spark, tmp_path, monkeypatch):
+    from tidemark.plans import jobs
+    from tidemark.sources.raw_log import RAW_COLUMNS
+
+    for column in ("DBA", "Location"):
+        folder = tmp_path / column
+        folder.mkdir()
+        cell = lambda name: f'"{name}\n2"' if name == column else f'"5"" {name}"'  # noqa: E731, B023
+        lines = [",".join(RAW_COLUMNS), ",".join(map(cell, RAW_COLUMNS)), ",".join(RAW_COLUMNS[:5])]
+        (folder / "feed.csv").write_text("\n".join(lines) + "\n")
+        seen = []
+        monkeypatch.setattr(jobs, "run_transformations", lambda raw, *_: seen.append(raw.collect()) or {"x": raw})
+        monkeypatch.setattr(jobs, "run_validations", lambda *_: (None, None))
+        monkeypatch.setattr(jobs, "write_run_artifact", lambda *_: None)
+        with pytest.raises(ValueError, match="open quote"):
+            jobs._ingest(spark, str(folder), "r", "i", None, False, None, False)
+        jobs._ingest(spark, str(folder), "r", "i", None, False, None, True)
+        assert len(seen) == 1 and len(seen[0]) == 2 and f"{column}\n2" in [r[column] for r in seen[0]]
+        (folder / "feed.csv").write_text("\n".join([lines[0], lines[2], lines[0]]) + "\n")
+        jobs._ingest(spark, str(folder), "r", "i", None, False, None, False)
+        assert len(seen[-1]) == 2

@@ -26,7 +26,7 @@ from tidemark.operators.quality import Tables, enforce, quality_rates, run_suite
 from tidemark.operators.ranking import capacity_sweep, check_capacity, priority_queue
 from tidemark.operators.splits import TARGET, assign_split, take_split, validate_splits
 from tidemark.policy import CAPACITIES, EventPolicy, SplitBounds
-from tidemark.sources.raw_log import read_raw_csv
+from tidemark.sources.raw_log import check_unbroken, read_raw_csv
 from tidemark.sources.tables import pin, read_stage, write_csv, write_json, write_run_artifact, write_stage
 
 CONTEXT_COLUMNS = (
@@ -239,9 +239,11 @@ def previous_row_count(spark: SparkSession, root: str) -> int | None:
     return last and last["source_row_count"]
 
 
-def _ingest(spark, raw_path, root, run_id, policy, gate, previous_rows) -> dict[str, DataFrame]:
+def _ingest(spark, raw_path, root, run_id, policy, gate, previous_rows, multi_line) -> dict[str, DataFrame]:
     """Transformations and validations of one feed; checks and rates are kept per run."""
-    tables = run_transformations(read_raw_csv(spark, raw_path), f"{root}/stages", policy)
+    if not multi_line:
+        check_unbroken(spark, raw_path)
+    tables = run_transformations(read_raw_csv(spark, raw_path, multi_line), f"{root}/stages", policy)
     checks, rates = run_validations(tables, gate, previous_rows)
     write_run_artifact(checks, root, "checks", run_id)
     write_run_artifact(rates, root, "rates", run_id)
@@ -301,16 +303,18 @@ def run_pipeline(
     gate: bool = False,
     run_id: str | None = None,
     previous_rows: int | None = None,
+    multi_line: bool = False,
 ) -> dict[str, DataFrame]:
     """Ingest, transform and validate, with a run record of its own.
 
     `previous_rows` is what the row-count change is measured against; by default that of the
-    latest successful run.
+    latest successful run.  `multi_line` says that quoted fields of the feed hold line breaks;
+    without it a feed with such a field fails.
     """
     run_id = run_id or _new_run_id()
     with _Run(spark, root, "pipeline", run_id) as run:
         before = previous_rows if previous_rows is not None else previous_row_count(spark, root)
-        tables = _ingest(spark, raw_path, root, run_id, policy, gate, before)
+        tables = _ingest(spark, raw_path, root, run_id, policy, gate, before, multi_line)
         run.rows = tables["deduplication_audit"].first()["input_row_count"]
     return tables
 
@@ -338,16 +342,18 @@ def run_batch(
     gate: bool = False,
     run_id: str | None = None,
     previous_rows: int | None = None,
+    multi_line: bool = False,
 ) -> BatchResult:
     """Ingest, transform, validate, score, write artifacts and metrics.
 
-    A failed run leaves a FAILED record under `runs` and raises.
+    A failed run leaves a FAILED record under `runs` and raises.  `multi_line` says that
+    quoted fields of the feed hold line breaks; without it a feed with such a field fails.
     """
     check_capacity(capacity)
     run_id = run_id or _new_run_id()
     with _Run(spark, root, "batch", run_id, capacity) as run:
         before = previous_rows if previous_rows is not None else previous_row_count(spark, root)
-        tables = _ingest(spark, raw_path, root, run_id, policy, gate, before)
+        tables = _ingest(spark, raw_path, root, run_id, policy, gate, before, multi_line)
         run.rows = tables["deduplication_audit"].first()["input_row_count"]
         stored, queue = _publish(spark, tables["scoring_population"], model_path, root, run_id, capacity)
         run.scored = stored

@@ -41,5 +41,18 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     return reader.option("enforceSchema", False).schema(schema).csv(path).select(*[raw_col(n) for n in RAW_COLUMNS])
 
 
+def check_unbroken(spark: SparkSession, path: str) -> None:
+    """Fails if, read line by line, the feed has malformed rows with an open quote: fields with line breaks in them."""
+    reader = spark.read.option("header", True).option("escape", '"').option("columnPruning", False)
+    header = reader.option("inferSchema", False).csv(path).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, "_malformed"]])
+    rows = reader.option("columnNameOfCorruptRecord", "_malformed").schema(schema).csv(path)
+    quotes = F.length("_malformed") - F.length(F.replace("_malformed", F.lit('"'), F.lit("")))
+    # The first column is counted too: Spark refuses a query of the malformed rows alone.
+    broken = rows.agg(F.count(F.when(quotes % 2 == 1, 1)), F.count(raw_col(header[0]))).first()[0]
+    if broken:
+        raise ValueError(f"{broken} malformed rows of the feed have an open quote; quoted line breaks need multi_line=True")
+
+
 def landing_count(raw: DataFrame) -> DataFrame:
     return raw.agg(F.count(F.lit(1)).alias("raw_row_count"))
