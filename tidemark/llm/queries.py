@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    bpe_automaton, decontamination, html_extract, licenses, quality_rules, secret_scan, simhash, token_counts, toxicity, warc,
+    bpe_automaton, decontamination, html_extract, lexical_search, licenses, quality_rules, secret_scan, simhash, token_counts,
+    token_files, toxicity, warc,
 )
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +61,14 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.stored(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+
+
 _TOKENS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
 _SEEDED = " OR ".join(
     f"len(list_filter(places, lambda p: {' AND '.join(f'list_contains(places, p + {k})' for k in mask)} AND p + {decontamination.SPAN} <= item_words)) > 0"
@@ -148,6 +158,23 @@ SELECT doc_id, {', '.join(f'coalesce(n_{name}, 0) AS n_{name}' for name in secre
   sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM t LEFT JOIN lists USING (rid)"""
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_TERMS = rf"list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+#: Every document against every item by a join on terms, without index or heaps.
+SEARCH_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS words FROM documents),
+q AS (SELECT DISTINCT item, item_id, unnest(words) AS term FROM (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS words FROM benchmark)),
+s AS (SELECT count(*) FILTER (len(words) > 0) AS docs, CAST(sum(len(words)) AS BIGINT) AS terms FROM d),
+tf AS (SELECT rid, doc_id, n, term, count(*) AS times FROM (SELECT rid, doc_id, len(words) AS n, unnest(words) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM tf, s GROUP BY term),
+scored AS (
+  SELECT item, item_id, rid, doc_id, CAST(sum(weight * ((1000000000 * times) // (1000 * times + 8 * (100 - 90 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term), s GROUP BY ALL
+), placed AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= {lexical_search.TOP}"""
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_secret_scan": (op1_secret_scan, SECRETS_SQL),
     "op2_token_counts": (op2_token_counts, None),
@@ -159,4 +186,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_bpe_automaton": (op8_bpe_automaton, None),
     "op9_license_scan": (op9_license_scan, None),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
+    "op12_lexical_search": (op12_lexical_search, SEARCH_SQL),
+    "op13_token_files": (op13_token_files, None),
 }
