@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    bpe_automaton, decontamination, html_extract, lexical_search, licenses, quality_rules, secret_scan, simhash, token_counts,
-    token_files, toxicity, warc,
+    bpe_automaton, decontamination, html_extract, lexical_search, licenses, prefix_trie, quality_rules, secret_scan, simhash,
+    token_counts, token_files, toxicity, warc,
 )
 from tidemark.llm.common import table
 
@@ -61,6 +61,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -175,6 +179,36 @@ scored AS (
 )
 SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= {lexical_search.TOP}"""
 
+#: CRC-32 of a decimal number, bit by bit.
+_CRC = """xor(4294967295, list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, CAST(4294967295 AS BIGINT)))"""
+#: Nodes by the digests of whole prefixes; subtrees by all pairs of a node and those above it.
+TRIE_SQL = f"""
+WITH t AS (
+  SELECT conv_id, digest, size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS pos
+  FROM (SELECT conv_id, turn, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest, length(coalesce(text, '')) AS size
+    FROM conversations WHERE conv_id IS NOT NULL)
+), c AS (SELECT conv_id, conv_id - conv_id % {prefix_trie.GROUP} AS base, {_CRC} % {prefix_trie.MOST_SHARED} AS taken FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (SELECT conv_id AS base, count(*) AS had FROM t GROUP BY 1),
+r AS (
+  SELECT c.conv_id, pos AS depth, digest, size FROM c JOIN t ON t.conv_id = c.base AND pos <= taken
+  UNION ALL SELECT conv_id, pos - taken + least(taken, coalesce(had, 0)), digest, size FROM c JOIN t USING (conv_id) LEFT JOIN b USING (base) WHERE pos > taken
+), p AS (SELECT conv_id, depth, size, md5(string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS node FROM r),
+l AS (
+  SELECT *, coalesce(lag(node) OVER w, 'root') AS above, lead(node) OVER w IS NULL AS ends FROM p WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+  UNION ALL SELECT conv_id, 0, 0, 'root', NULL, conv_id NOT IN (SELECT conv_id FROM p) FROM c
+), n AS (
+  SELECT node, depth, any_value(size) AS size, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM l GROUP BY node, depth
+), k AS (SELECT above AS node, count(*) AS n_children FROM n WHERE above IS NOT NULL GROUP BY above),
+s AS (
+  SELECT u.node, CAST(sum((v.n_convs - 1) * v.size) AS BIGINT) AS saved_tokens, count(*) FILTER (k.node IS NULL) AS n_leaves
+  FROM n v LEFT JOIN k ON k.node = v.node JOIN l u ON u.conv_id = v.conv_id AND u.depth <= v.depth GROUP BY u.node
+)
+SELECT n.conv_id, n.depth, a.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM n LEFT JOIN n a ON a.node = n.above LEFT JOIN k ON k.node = n.node JOIN s ON s.node = n.node"""
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_secret_scan": (op1_secret_scan, SECRETS_SQL),
     "op2_token_counts": (op2_token_counts, None),
@@ -186,6 +220,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_bpe_automaton": (op8_bpe_automaton, None),
     "op9_license_scan": (op9_license_scan, None),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
+    "op11_prefix_trie": (op11_prefix_trie, TRIE_SQL),
     "op12_lexical_search": (op12_lexical_search, SEARCH_SQL),
     "op13_token_files": (op13_token_files, None),
 }
