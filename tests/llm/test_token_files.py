@@ -1,3 +1,4 @@
+import glob
 import random
 import zlib
 
@@ -19,7 +20,7 @@ def library():
 
 def fuzz():
     draw = random.Random(11)
-    parts = ["a", "The", " ", "  ", "\n", "é", "é", "́", "日本", "😀", "'s", "'S", "22", "<|endoftext|>", "<|startoftext|>", "İ", "Σ", "ΑΣ", "\x1c", "\x85", "\xa0", " ", "​", "ing", "\x00", "\t", "\x0b", "#!"]
+    parts = ["a", "The", " ", "  ", "\n", "é", "é", "́", "日本", "😀", "'s", "'S", "22", "<|endoftext|>", "<|startoftext|>", "İ", "Σ", "ΑΣ", "\x1c", "\x85", "\xa0", " ", "​", "ing", "É", "Ü", "ß", "×", "÷", "²", "µ", "ÿ", "'LL", "ª", "\x00", "\t", "\x0b", "#!"]
     return [*EDGE, *("".join(draw.choices(parts, k=draw.randint(0, 50))) for _ in range(2000))]
 
 
@@ -74,6 +75,11 @@ def test_words_encode_as_the_whole_text(library, monkeypatch):
     encoder = token_files.WordEncoder(PATH)
     for text in fuzz():
         assert encoder.encode(text.encode()).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text[:60])
+    draw = random.Random(3)
+    plain = ["a", "É", "ß", "×", "÷", "Þ", "ÿ", " ", "\n", "'s", "'RE", "'", "7", "x1", ".", "\x1f", "\x7f", "-", "<", "|"]
+    for _ in range(2000):
+        text = "".join(draw.choices(plain, k=draw.randint(0, 40)))
+        assert encoder.encode(text.encode()).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
     monkeypatch.setattr(token_files, "_PART", 5)
     monkeypatch.setattr(token_files, "REMEMBERED_WORDS", 3)
     for text in fuzz()[::10]:
@@ -91,17 +97,24 @@ def test_stored_equals_the_library(spark, documents, clashing, library, monkeypa
     got = sorted(found.collect(), key=lambda r: r.start)
     coded = [(d, [*library.encode(t or "", add_special_tokens=False).ids, 1]) for d, t in rows]
     crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
-    want, start = [], 0
-    for doc_id, ids in sorted(coded, key=lambda r: (r[0] is not None, r[0] or 0, crc(r[1]))):
-        want.append((doc_id, start, len(ids), crc(ids)))
-        start += len(ids)
-    assert list(map(tuple, got)) == want
+    order = lambda d: (d is not None, d or 0)
+    assert sorted([(order(r.doc_id), r.n_tokens, r.ids_crc32) for r in got]) == sorted((order(d), len(ids), crc(ids)) for d, ids in coded)
+    assert [order(r.doc_id) for r in got] == sorted(order(d) for d, _ in coded)
+    ends = [0, *(r.start + r.n_tokens for r in got)]
+    assert [r.start for r in got] == ends[:-1]
 
 
-def test_empty_table_and_hot_id(spark, documents):
+def test_empty_table_and_hot_id(spark, documents, tmp_path):
     assert token_files.stored(documents([]), PATH).count() == 0
-    rows = [(1, f"copy {k % 3}") for k in range(300)] + [(k, "x") for k in range(2, 50)]
-    got = token_files.stored(documents(rows).repartition(6), PATH).collect()
-    assert len(got) == len(rows)
-    ends = sorted((r.start, r.start + r.n_tokens) for r in got)
-    assert all(a[1] == b[0] for a, b in zip(ends, ends[1:])) and ends[0][0] == 0
+    rows = [(1, f"copy {k % 3}") for k in range(300)] + [(k, "x") for k in range(2, 50)] + [(None, "none")] * 100
+    path = str(tmp_path / "files")
+    token_files.write_files(documents(rows).repartition(6), path, PATH)
+    got = sorted(token_files.read_files(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * 100 + [1] * 300 + list(range(2, 50))
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:])) and got[0].start == 0
+    parts = {}
+    for name in glob.glob(f"{path}/part-*"):
+        file = token_files.TokenFile(open(name, "rb").read())
+        for d in file.doc_ids:
+            parts.setdefault(d, set()).add(file.part)
+    assert len(parts[1]) > 1

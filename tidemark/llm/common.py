@@ -7,7 +7,6 @@ import uuid
 from collections.abc import Callable, Iterator
 from typing import TypeVar
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,17 +75,6 @@ def exact_id(name: str = "doc_id") -> list[Column]:
     return [F.coalesce(F.col(name), F.lit(0)).alias("id"), F.col(name).isNotNull().alias("known")]
 
 
-def nullable(ids: pd.Series, known: pd.Series) -> pd.array:
-    """The id column again."""
-    return pd.arrays.IntegerArray(ids.to_numpy("int64", copy=True), ~known.to_numpy(bool))
-
-
-def removed(spark: SparkSession, path: str) -> None:
-    """Delete a scratch path whose rows have been written elsewhere."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
 def word_blocks(text: str, size: int = 4_000_000) -> Iterator[list[bytes]]:
     """Words of the text with A-Z lower-cased, in UTF-8, some megabytes of text at a time.
 

@@ -22,6 +22,7 @@ again; the line break it adds after the footer is not part of the format.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import exact_id, once, removed, scratch_path
+from tidemark.llm.common import exact_id, once, scratch_path
 
 MAGIC = b"PFORIDS1"
 BLOCK = 128
@@ -43,7 +44,7 @@ FILE_IDS = 4_000_000
 #: Id of the mark that ends a document.
 END = 1
 #: Encoded words remembered per Python process, and the longest of them in bytes.
-REMEMBERED_WORDS, _LONGEST = 300_000, 64
+REMEMBERED_WORDS, _LONGEST = 600_000, 64
 _HEAD, _PART = 6, 4_000_000
 _FOOTER, _FOOTER_BYTES = "<5Q3I4x8s", 64
 #: Files whose ids are summed by one task for the starts of the documents.
@@ -53,6 +54,12 @@ _FILES_TOGETHER = 1000
 # ---- blocks ---------------------------------------------------------------------------
 
 
+def _some(chosen: np.ndarray) -> list[np.ndarray]:
+    """The places that are chosen, a bounded number at a time."""
+    places = np.flatnonzero(chosen)
+    return np.array_split(places, len(places) // 4096 + 1)
+
+
 def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     """Blocks of the ids (unsigned 32-bit), one after the other, and the start of each.
 
@@ -64,8 +71,9 @@ def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     rows = np.concatenate([ids, np.full(count * BLOCK - len(ids), ids[-1])]).astype(np.uint32).reshape(count, BLOCK)
     least = rows.min(1)
     rest = rows - least[:, None]
-    bits = np.frexp(rest.astype(np.float64))[1]  # of the binary form of each difference
-    width = np.sort(bits, 1)[:, -(-PERCENT * BLOCK // 100) - 1]
+    bits = np.frexp(rest.astype(np.float64))[1].astype(np.uint8)  # of the binary form of each difference
+    fits = -(-PERCENT * BLOCK // 100) - 1
+    width = np.partition(bits, fits, 1)[:, fits].astype(np.int64)
     beyond = bits > width[:, None]
     exceptions = beyond.sum(1)
     packed = width * (BLOCK // 8)
@@ -75,11 +83,10 @@ def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     out[starts[:, None] + np.arange(4)] = least.astype("<u4").view(np.uint8).reshape(count, 4)
     out[starts + 4], out[starts + 5] = width, exceptions
     for w in np.unique(width[width > 0]).tolist():
-        for some in np.array_split(here := np.flatnonzero(width == w), len(here) // 4096 + 1):
-            each = (rest[some, :, None] >> np.arange(w, dtype=np.uint32)) & 1
-            out[(starts[some] + _HEAD)[:, None] + np.arange(w * BLOCK // 8)] = np.packbits(
-                each.astype(np.uint8).reshape(len(some), -1), axis=1, bitorder="little"
-            )
+        for some in _some(width == w):
+            bits = np.unpackbits(rest[some].astype("<u4").view(np.uint8).reshape(-1, BLOCK, 4), axis=2, bitorder="little")
+            each = np.packbits(bits[:, :, :w].reshape(len(some), -1), axis=1, bitorder="little")
+            out[(starts[some] + _HEAD)[:, None] + np.arange(w * BLOCK // 8)] = each
     block, place = np.nonzero(beyond)
     nth = np.arange(len(block)) - (np.cumsum(exceptions) - exceptions)[block]
     lists = (starts + _HEAD + packed)[block]
@@ -96,10 +103,11 @@ def unpack(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     width, exceptions = data[starts + 4].astype(np.int64), data[starts + 5].astype(np.int64)
     rows = np.zeros((len(starts), BLOCK), np.uint32)
     for w in np.unique(width[width > 0]).tolist():
-        for some in np.array_split(here := np.flatnonzero(width == w), len(here) // 4096 + 1):
+        for some in _some(width == w):
             each = np.unpackbits(data[(starts[some] + _HEAD)[:, None] + np.arange(w * BLOCK // 8)], axis=1, bitorder="little")
-            places = np.uint32(1) << np.arange(w, dtype=np.uint32)
-            rows[some] = (each.reshape(len(some), BLOCK, w) * places).sum(2, dtype=np.uint32)
+            bits = np.zeros((len(some), BLOCK, 32), np.uint8)
+            bits[:, :, :w] = each.reshape(len(some), BLOCK, w)
+            rows[some] = np.packbits(bits, axis=2, bitorder="little").view("<u4")[:, :, 0]
     block = np.repeat(np.arange(len(starts)), exceptions)
     nth = np.arange(len(block)) - np.repeat(np.cumsum(exceptions) - exceptions, exceptions)
     lists = (starts + _HEAD + width * (BLOCK // 8))[block]
@@ -114,7 +122,7 @@ def unpack(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def file_of(doc_ids: list[int | None], ids: list[np.ndarray], part: int = 0, number: int = 0) -> bytes:
     """One file with the given documents in order."""
-    whole = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+    whole = np.concatenate(ids).astype(np.uint32) if ids else np.zeros(0, np.uint32)
     blocks, starts = pack(whole)
     head = MAGIC + blocks
     lengths = np.array([len(x) for x in ids], "<u4").tobytes()
@@ -157,11 +165,20 @@ class TokenFile:
 # ---- encoding -------------------------------------------------------------------------
 
 
+#: Lower-casing in Latin-1, and the pre-tokens of lower-cased text of ASCII and Latin-1 letters.
+_LOWER = bytes(b + 32 if 65 <= b <= 90 or 0xC0 <= b <= 0xDE and b != 0xD7 else b for b in range(256))
+_PLAIN = bytes([*range(0x80), *range(0xC0, 0x100)])
+_UNITS = rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+"
+
+
 class WordEncoder:
-    """Whole texts by the vocabulary file's library, with a memory of encoded words.
+    """Whole texts by the vocabulary file's library, with a memory of encoded pieces.
 
-    For a vocabulary whose normaliser and pre-tokeniser treat ASCII white space as nothing but
-    a boundary, as those with word ends do: the ids of a text are those of its words.
+    For the vocabulary with word ends, whose normaliser composes characters (NFC) and lower-cases,
+    and whose pre-tokeniser takes contractions, runs of letters, single digits and runs of
+    other characters and drops white space.  So the ids of a text are those of its words between ASCII
+    white space; and where a line has only ASCII and Latin-1 letters, which NFC leaves alone, and
+    no mark of a special token, those of its pre-tokens, of which far fewer differ.
     """
 
     def __init__(self, path: str):
@@ -169,39 +186,85 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memory: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        size = 1 + max(vocabulary.values())
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends_word = np.zeros(size, bool)
+        self.ends_word[[n for token, n in vocabulary.items() if token.endswith(suffix)]] = True
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.units = re.compile(_UNITS).findall
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
 
     def encode(self, text: bytes) -> np.ndarray:
+        """The ids, of the type `kind`."""
         at, parts = 0, []
         while at < len(text):
             end = at + _PART
             while end < len(text) and text[end] not in b" \t\n\v\f\r":
                 end += 1
-            parts.append(self._words(text[at:end].split()))
+            part = text[at:end]
+            parts += [self._part(part)] if (plain := self._plain(part)) is None else [plain]
             at = end
-        return np.frombuffer(b"".join(parts), "<u4")
-
-    def _words(self, words: list[bytes]) -> bytes:
-        memory = self.memory
-        if len(memory) > REMEMBERED_WORDS:
-            memory.clear()
-        fresh = list(set(words).difference(memory))
-        long = {w for w in fresh if len(w) > _LONGEST}
-        coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)
-        found = {w: np.array(c.ids, "<u4").tobytes() for w, c in zip(fresh, coded)}
-        memory.update((w, ids) for w, ids in found.items() if w not in long)
-        if long:
-            return b"".join([found[w] if w in long else memory[w] for w in words])
-        return b"".join(map(memory.__getitem__, words))
-
-
-def _encoded(tokenizer_path: str, end: int) -> Callable:
+        return np.frombuffer(b"".join(parts), self.kind)
+
+    def _part(self, text: bytes) -> bytes:
+        lines = text.split(b"\n")
+        if len(lines) == 1:
+            return self._coded(text.split(), self.words, self._word_ids)
+        return b"".join([self._coded(line.split(), self.words, self._word_ids) if (plain := self._plain(line)) is None else plain for line in lines])
+
+    def _plain(self, text: bytes) -> bytes | None:
+        if b"<|" in text:
+            return None
+        try:
+            single = text.decode("utf-8").encode("latin-1")
+        except UnicodeError:
+            return None
+        if single.translate(None, _PLAIN):
+            return None
+        return self._coded(self.units(single.translate(_LOWER)), self.pieces, self._piece_ids)
+
+    def _coded(self, words: list[bytes], memory: dict[bytes, bytes], fresh_ids: Callable) -> bytes:
+        """Joined ids of words; fresh_ids gives those of the ones not remembered."""
+        found = list(map(memory.get, words))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        if missing:
+            fresh = list({words[k] for k in missing})
+            new = dict(zip(fresh, fresh_ids(fresh)))
+            for k in missing:
+                found[k] = new[words[k]]
+            if len(memory) > REMEMBERED_WORDS:
+                memory.clear()
+            memory.update((w, ids) for w, ids in new.items() if len(w) <= _LONGEST)
+        return b"".join(found)
+
+    def _word_ids(self, words: list[bytes]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        return [np.array(c.ids, self.kind).tobytes() for c in coded]
+
+    def _piece_ids(self, pieces: list[bytes]) -> list[bytes]:
+        """Of pre-tokens, encoded as one text; the last id of each ends a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(pieces).decode("latin-1")], add_special_tokens=False)[0].ids, self.kind)
+        ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * self.kind.itemsize).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _encoded(tokenizer_path: str, end: int, bounds: np.ndarray, unknown: int) -> Callable:
+    """Ids of each text, and the part its row goes to: one of those between whose bounds its id lies."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = once(f"words {tokenizer_path}", lambda: WordEncoder(tokenizer_path))
-        mark = np.array([end], "<u4")
+        mark = np.array([end], encoder.kind)
         for batch in batches:
-            ids = [np.concatenate([encoder.encode(text), mark]).astype("<u4").tobytes() for text in batch["text"]]
-            yield batch[["id", "known", "row"]].assign(tie=[zlib.crc32(x) for x in ids], ids=ids)
+            ids, known, row = batch["id"].to_numpy(np.int64), batch["known"].to_numpy(bool), batch["row"].to_numpy(np.int64)
+            low, high = np.searchsorted(bounds, ids, "left"), np.searchsorted(bounds, ids, "right")
+            dealt = np.array([zlib.crc32(r.tobytes()) for r in row], np.int64)
+            part = np.where(known, unknown + low + dealt % (high - low + 1), dealt % max(1, unknown))
+            coded = [np.concatenate([encoder.encode(text), mark]) for text in batch["text"]]
+            width = encoder.kind.itemsize
+            yield batch[["id", "known", "row"]].assign(part=part.astype(np.int32), width=width, ids=[x.tobytes() for x in coded])
 
     return run
 
@@ -211,12 +274,12 @@ def _files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     doc_ids: list[int | None] = []
     ids: list[np.ndarray] = []
     for batch in batches:
-        for doc_id, known, packed in zip(batch["id"], batch["known"], batch["ids"]):
+        for doc_id, known, width, packed in zip(batch["id"], batch["known"], batch["width"], batch["ids"]):
             if held >= FILE_IDS:
                 yield pd.DataFrame({"content": [file_of(doc_ids, ids, part, number)]})
                 number, held, doc_ids, ids = number + 1, 0, [], []
             doc_ids.append(int(doc_id) if known else None)
-            ids.append(np.frombuffer(packed, "<u4"))
+            ids.append(np.frombuffer(packed, f"<u{width}"))
             held += len(ids[-1])
     if ids:
         yield pd.DataFrame({"content": [file_of(doc_ids, ids, part, number)]})
@@ -225,21 +288,24 @@ def _files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def write_files(docs: DataFrame, path: str, tokenizer_path: str, end: int = END) -> None:
     """The ids of every row of docs (doc_id, text), each followed by `end`, into new files under `path`.
 
-    Files stand in ascending doc_id order, null ids first; rows of one id in an order of
-    their ids' check sums.  A row is its id's whole text; null counts as empty and has the end mark alone.
-    Texts are encoded once; their ids alone are then dealt to ranges, in which a hot id is
-    split by its rows.
+    Files stand in ascending doc_id order, null ids first; rows of one id stand together, in no
+    particular order.  A null text is empty and has the end mark alone.  Rows are dealt to ranges
+    of ids whose bounds come from a sketch of all ids; an id on which several bounds fall,
+    as null ids, is spread over the ranges between them.  Texts stay where they are
+    read: their ids move.
     """
     spark = docs.sparkSession
+    parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shares = [k / parts for k in range(1, parts)]
+    total, known, bounds = docs.agg(F.count("*"), F.count("doc_id"), F.percentile_approx("doc_id", shares, 20 * parts)).first()
+    unknown = -(-parts * (total - known) // max(1, total))
     text = F.coalesce(docs["text"], F.lit("")).cast("binary").alias("text")
     rows = docs.select(*exact_id(), text, F.monotonically_increasing_id().alias("row"))
-    scratch = scratch_path(spark, "ids")
-    rows.mapInPandas(_encoded(tokenizer_path, end), "id bigint, known boolean, row bigint, tie bigint, ids binary").write.parquet(scratch)
-    order = ["known", "id", "tie", "row"]
-    placed = spark.read.parquet(scratch).repartitionByRange(*order).sortWithinPartitions(*order)
-    files = placed.select("id", "known", "ids").mapInPandas(_files, "content binary")
+    encode = _encoded(tokenizer_path, end, np.array(bounds or [], np.int64), unknown)
+    coded = rows.mapInPandas(encode, "id bigint, known boolean, row bigint, part int, width int, ids binary")
+    placed = coded.repartitionById(unknown + parts, F.col("part")).sortWithinPartitions("known", "id", "row")
+    files = placed.select("id", "known", "width", "ids").mapInPandas(_files, "content binary")
     files.select(F.col("content").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
-    removed(spark, scratch)
 
 
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
