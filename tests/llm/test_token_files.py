@@ -86,7 +86,7 @@ def test_words_encode_as_the_whole_text(library, monkeypatch):
         assert encoder.encode(text.encode()).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("file_ids", [4_000_000, 300])
+@pytest.mark.parametrize("file_ids", [2_000_000, 300])
 def test_stored_equals_the_library(spark, documents, clashing, library, monkeypatch, file_ids):
     monkeypatch.setattr(token_files, "FILE_IDS", file_ids)
     texts = fuzz()[:300]

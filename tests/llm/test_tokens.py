@@ -86,3 +86,18 @@ def test_repeated_rows_and_blocks(spark, documents, library, monkeypatch):
         assert sorted((r.doc_id, r.n_tokens) for r in found) == want
     assert token_counts.token_counts(documents([]), PATH).count() == 0
     assert bpe_automaton.encode_and_decode(documents([]), PATH).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [64, 128, 211])
+def test_hot_pre_tokens_and_own_rows_spread_over_buckets(spark, documents, monkeypatch, buckets):
+    """Blocks are numbered by their first row: a multiple of 2 ** 33 where a partition begins."""
+    monkeypatch.setattr(spark.conf, "get", lambda key, *d, f=spark.conf.get: str(buckets) if key == "spark.sql.shuffle.partitions" else f(key, *d))
+    rows = documents([(k, "the common" + " rare" * (k % 400 == 3)) for k in range(1600)]).repartition(16)
+    indexed = token_counts.keyed_text(rows).select(
+        "doc_id", "text", token_counts.F.monotonically_increasing_id().alias("row"), token_counts.F.lit(1).cast("bigint").alias("size")
+    ).mapInPandas(token_counts._index(PATH, buckets), token_counts._INDEX).collect()
+    blocks = {r.block for r in indexed}
+    assert len(blocks) == 16
+    assert len({r.bucket for r in indexed if r.doc_ids is not None}) >= 10
+    assert len({r.bucket for r in indexed if "the" in r.pieces}) >= 10
+    assert len({r.bucket for r in indexed if " rare" in r.pieces}) == 1

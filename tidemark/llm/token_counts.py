@@ -5,10 +5,12 @@ distinct pre-token of the block, the documents it is in and how often.  Pre-toke
 dealt into buckets by their hash, and a block sends one packed row to each bucket.
 There each distinct pre-token is counted once, its count meets its frequencies, and
 a packed row of sums per block goes back to the block's documents.  Rows are
-as many as blocks times buckets, and no token id is ever made.
+as many as blocks times buckets; the library makes ids of the distinct pre-tokens of a
+bucket, of which only their number is kept, and none of any text.
 
 A pre-token found in many documents of a block is dealt to one of a fixed number of
-shares of its bucket by block, so the very common ones do not meet in one task.
+shares by a hash of the block, so the very common ones do not meet in one task; such a
+pre-token is counted once in each share, up to `SHARES` times.
 """
 
 from __future__ import annotations
@@ -40,6 +42,11 @@ _INDEX = "block bigint, bucket int, pieces array<string>, lengths binary, postin
 _REPLY = np.dtype([("document", "<u2"), ("tokens", "<u4")])
 
 
+def mixed(block: int) -> int:
+    """A hash of a block's number, which is a row number: its low bits are those of few partitions."""
+    return zlib.crc32(block.to_bytes(8, "little"))
+
+
 def _dealt(rows: list[Counter], block: int, buckets: int) -> Iterator[tuple[int, list[str], bytes, bytes]]:
     """(bucket, its pre-tokens, number of postings of each, packed postings) of a block's counted documents."""
     pieces = list(itertools.chain.from_iterable(rows))
@@ -51,7 +58,7 @@ def _dealt(rows: list[Counter], block: int, buckets: int) -> Iterator[tuple[int,
     times = np.fromiter(itertools.chain.from_iterable(c.values() for c in rows), np.int64, len(pieces))
     hashes = np.fromiter((zlib.crc32(p.encode()) for p in distinct), np.int64, len(distinct))
     hot = np.bincount(codes, minlength=len(distinct)) * HOT_FRACTION > max(len(rows), HOT_FRACTION)
-    bucket = np.where(hot, hashes + block % SHARES * 7919, hashes) % buckets
+    bucket = np.where(hot, hashes + mixed(block) % SHARES * 7919, hashes) % buckets
     # A posting holds at most 255 times; larger numbers take several postings.
     copies = np.maximum(1, -(-times // 255))
     by_bucket = np.lexsort((codes, bucket[codes]))
@@ -98,7 +105,7 @@ def _index(tokenizer_path: str, buckets: int):
         dealt = [(block, *d, None, None, None) for d in _dealt(counted, block, buckets)]
         # The documents themselves travel once, so that those without any pre-token have a row too.
         ids = [None if pd.isna(x) else int(x) for x in rows["doc_id"]]
-        own = (block, block % buckets, [], b"", b"", ids, rows["size"].tolist(), specials)
+        own = (block, mixed(block) % buckets, [], b"", b"", ids, rows["size"].tolist(), specials)
         return pd.DataFrame([*dealt, own], columns=["block", "bucket", "pieces", "lengths", "postings", "doc_ids", "sizes", "specials"])
 
     return blocks

@@ -40,12 +40,12 @@ MAGIC = b"PFORIDS1"
 BLOCK = 128
 PERCENT = 90
 #: A file is closed once it has so many ids; a document is never split.
-FILE_IDS = 4_000_000
+FILE_IDS = 2_000_000
 #: Id of the mark that ends a document.
 END = 1
 #: Encoded words remembered per Python process, and the longest of them in bytes.
-REMEMBERED_WORDS, _LONGEST = 600_000, 64
-_HEAD, _PART = 6, 4_000_000
+REMEMBERED_WORDS, _LONGEST = 400_000, 64
+_HEAD, _PART, _ROWS = 6, 4_000_000, 1_000
 _FOOTER, _FOOTER_BYTES = "<5Q3I4x8s", 64
 #: Files whose ids are summed by one task for the starts of the documents.
 _FILES_TOGETHER = 1000
@@ -256,15 +256,16 @@ def _encoded(tokenizer_path: str, end: int, bounds: np.ndarray, unknown: int) ->
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = once(f"words {tokenizer_path}", lambda: WordEncoder(tokenizer_path))
-        mark = np.array([end], encoder.kind)
+        mark = np.array([end], encoder.kind).tobytes()
         for batch in batches:
             ids, known, row = batch["id"].to_numpy(np.int64), batch["known"].to_numpy(bool), batch["row"].to_numpy(np.int64)
             low, high = np.searchsorted(bounds, ids, "left"), np.searchsorted(bounds, ids, "right")
             dealt = np.array([zlib.crc32(r.tobytes()) for r in row], np.int64)
             part = np.where(known, unknown + low + dealt % (high - low + 1), dealt % max(1, unknown))
-            coded = [np.concatenate([encoder.encode(text), mark]) for text in batch["text"]]
-            width = encoder.kind.itemsize
-            yield batch[["id", "known", "row"]].assign(part=part.astype(np.int32), width=width, ids=[x.tobytes() for x in coded])
+            rows = batch[["id", "known", "row"]].assign(part=part.astype(np.int32), width=encoder.kind.itemsize)
+            for at in range(0, len(rows), _ROWS):
+                coded = [encoder.encode(text).tobytes() + mark for text in batch["text"].iloc[at : at + _ROWS]]
+                yield rows.iloc[at : at + _ROWS].assign(ids=coded)
 
     return run
 
