@@ -93,6 +93,42 @@ def test_one_plan_ranks_any_capacity(spark, capacity, ascending):
     assert [r["rank"] for r in got] == list(range(1, min(capacity, 201) + 1))
 
 
+@pytest.mark.parametrize("capacity", [1, 90, 1001, 1500, 2200, 5000])
+def test_groups_are_ranked_at_any_capacity(spark, capacity):
+    """Two policies over 2,000 rows: beyond Spark's own pruning, above half the table, above all of it."""
+    rows, df = frame(spark, 2000, 7)
+    extra = [("zz1", None, 0, "1"), ("zz2", None, 1, None), ("aa0", float("nan"), 1, "1")]
+    df = df.unionByName(spark.createDataFrame(extra, df.schema)).withColumn("n", -F.col("p"))
+    scores = {"up": "p", "down": "n"}
+    got = ranking._by_policy(df, scores, capacity, keep=["camis"]).collect()
+    everything = rows + extra
+    nan_first = lambda p: (p is None, not (p != p) if p is not None else True, -p if p == p and p is not None else 0)
+    for policy, sign in (("up", 1), ("down", -1)):
+        best = sorted(everything, key=lambda r: (*nan_first(None if r[1] is None else sign * r[1]), r[0]))
+        mine = sorted((r for r in got if r["policy"] == policy), key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == list(range(1, min(capacity, len(everything)) + 1))
+        assert [r["camis"] for r in mine] == [r[0] for r in best[:capacity]]
+
+
+def test_the_cut_leaves_little_and_no_window_over_a_policy(spark):
+    df = spark.range(300_000).selectExpr("cast(id AS string) AS camis", "pmod(id * 7919, 300007) / 300007D AS p", "1 AS target_high_severity")
+    assert 1001 <= ranking._near_top(df, "p", 1001).count() < 3000
+    plan = ranking._by_policy(df, {"a": "p", "b": "p"}, 1001)._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan
+    small = ranking._by_policy(df, {"a": "p", "b": "p"}, 100)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in small
+
+
+def test_nan_scores_take_no_part_in_bins_and_cells(spark):
+    rows, df = frame(spark, 50, 3)
+    more = df.unionByName(spark.createDataFrame([("a", None, 1, "0"), ("b", float("nan"), 1, "0")], df.schema))
+    for report in (metrics.calibration_curve, metrics.confusion_counts, metrics.high_confidence_errors):
+        assert sorted(map(tuple, report(more, "p").collect()), key=str) == sorted(map(tuple, report(df, "p").collect()), key=str)
+    assert metrics.worst_errors(more, "p", "false_positive", 100).count() == metrics.worst_errors(df, "p", "false_positive", 100).count()
+    kinds = {r["camis"]: r["error_type"] for r in metrics.error_types(more, "p").collect()}
+    assert kinds["a"] == kinds["b"] == "Unknown"
+
+
 def test_rows_without_a_score_take_no_part(spark):
     rows, df = frame(spark, 200, 8)
     more = spark.createDataFrame([("a", None, 1, "0"), ("b", float("nan"), 1, "0")], df.schema)

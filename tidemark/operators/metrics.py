@@ -110,7 +110,7 @@ def calibration_curve(df: DataFrame, score: str, bins: int = 10, by: Sequence[st
     p = F.col(score)
     bin_number = sum(((p > F.lit(i * (1.0 / bins))).cast("int") for i in range(1, bins)), F.lit(0))
     return (
-        df.where(p.isNotNull())
+        with_scores(df, score)
         .groupBy(*by, bin_number.cast("bigint").alias("bin"))
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -121,8 +121,8 @@ def calibration_curve(df: DataFrame, score: str, bins: int = 10, by: Sequence[st
 
 
 def error_types(df: DataFrame, score: str, threshold: float = 0.50) -> DataFrame:
-    """Confusion cell of each row as `error_type`."""
-    hit, truth = F.col(score) >= threshold, F.col(TARGET)
+    """Confusion cell of each row as `error_type`; a row without a score or outcome is Unknown."""
+    hit, truth = F.when(~F.isnan(F.col(score).cast("double")), F.col(score) >= threshold), F.col(TARGET)
     kind = (
         F.when(hit & (truth == 1), "True Positive")
         .when(hit & (truth == 0), "False Positive")
@@ -134,7 +134,7 @@ def error_types(df: DataFrame, score: str, threshold: float = 0.50) -> DataFrame
 
 
 def confusion_counts(df: DataFrame, score: str, threshold: float = 0.50) -> DataFrame:
-    return error_types(df, score, threshold).groupBy("error_type").agg(F.count(F.lit(1)).alias("n"))
+    return error_types(with_scores(df, score), score, threshold).groupBy("error_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def worst_errors(
@@ -155,12 +155,12 @@ def worst_errors(
         order = F.asc(score)
     else:
         raise ValueError(f"Unknown error kind: {kind}")
-    return df.where(wrong).orderBy(order, *ids).limit(limit)
+    return with_scores(df, score).where(wrong).orderBy(order, *ids).limit(limit)
 
 
 def high_confidence_errors(df: DataFrame, score: str, high: float = 0.80, low: float = 0.20) -> DataFrame:
     p, truth = F.col(score), F.col(TARGET)
-    return df.agg(
+    return with_scores(df, score).agg(
         F.count_if((p >= high) & (truth == 0)).alias("high_confidence_false_positives"),
         F.count_if((p <= low) & (truth == 1)).alias("high_confidence_false_negatives"),
     )

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.prefix import global_rank, running_totals
+from tidemark.operators.prefix import global_rank
 from tidemark.operators.splits import TARGET
 from tidemark.policy import CAPACITIES
 
@@ -29,33 +30,62 @@ def best_first(score: str, *ties: str, ascending: bool = False) -> list[Column]:
     return [first, *[F.asc_nulls_last(t) for t in ties]]
 
 
-def _at_or_above_cut(df: DataFrame, score: str, capacity: int, ascending: bool) -> DataFrame:
-    """The rows whose score is at least that of the k-th; all rows if fewer have a score.
+#: Relative rank error of the sketch that places a cut, as its inverse.
+SKETCH_ACCURACY = 20_000
+#: Shares of the rows, from all down to a millionth, above whose scores a cut may be placed.
+_SHARES = [2.0 ** (-i / 2) for i in range(41)]
 
-    The cut comes from exact running counts per distinct score, so no task ever holds
-    the k rows.
+
+def _descending(score: str, ascending: bool) -> Column:
+    """A number that falls from the best score to the worst; NaN counts as the largest score."""
+    value = F.col(score).cast("double")
+    value = F.when(F.isnan(value), F.lit(float("inf"))).otherwise(value)
+    return -value if ascending else value
+
+
+def _near_top(df: DataFrame, score: str, capacity: int, ascending: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    """A superset of the k best rows (of every group of `by`), larger by a bounded share of the rows and the ties at its end.
+
+    One aggregate sketches the scores, combined map-side.  A share is taken that holds k rows
+    even if the sketch is off by its full error, so the cut needs no exact counts.  Where no
+    share is large enough, all rows stay.  The sketches have one row per group; groups are
+    the caller's policies or parameters.
     """
-    counts = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("_score")).agg(F.count(F.lit(1)).alias("n"))
-    placed = running_totals(counts, "_score", ["n"], descending=not ascending)
-    edge = F.max if ascending else F.min
-    before = F.col("cum_n") - F.col("n")
-    cut = placed.agg(F.struct(edge(F.when(before < capacity, F.col("_score"))).alias("at"), F.max("cum_n").alias("n")).alias("c")).scalar()
-    limited = df.withColumn("_cut", cut)
-    inside = F.col(score) <= F.col("_cut.at") if ascending else F.col(score) >= F.col("_cut.at")
-    return limited.where(inside | (F.coalesce(F.col("_cut.n"), F.lit(0)) < capacity)).drop("_cut")
+    key = _descending(score, ascending)
+    at = F.percentile_approx(key, [1.0 - share for share in _SHARES], SKETCH_ACCURACY)
+    needed = F.lit(float(capacity)) + F.count(key) * (2.0 / SKETCH_ACCURACY)
+    large_enough = F.zip_with(at, F.array(*[F.lit(x) for x in _SHARES]), lambda cut, share: F.when(share * F.count(key) >= needed, cut))
+    cut = F.array_max(large_enough).alias("_cut")
+    if not by:
+        limited = df.withColumn("_cut", df.agg(cut).scalar())
+        return limited.where(F.col("_cut").isNull() | (key >= F.col("_cut"))).drop("_cut")
+    cuts = df.groupBy(*[F.col(b).alias(f"_by_{b}") for b in by]).agg(cut)
+    same = reduce(lambda x, y: x & y, [F.col(b).eqNullSafe(F.col(f"_by_{b}")) for b in by])
+    below = F.col("_cut").isNotNull() & F.coalesce(key < F.col("_cut"), F.lit(True))
+    return df.join(F.broadcast(cuts), same).where(~below).select(*df.columns)
+
+
+def _pruned_by_spark(df: DataFrame, capacity: int) -> bool:
+    """Whether Spark prunes a row_number window to the first k rows of a group in every task before the shuffle."""
+    return capacity <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
 
 
 def ranked_top(df: DataFrame, score: str, capacity: int, *ties: str, ascending: bool = False, rank: str = "rank") -> DataFrame:
     """The k best rows with their 1..k rank; ties at the boundary go to the lowest id.
 
-    One plan for every k: rows below the k-th score go, the rest are ranked over range
-    partitions.
+    Rows that cannot be among the k best go first.  A few are then ranked in one window,
+    which Spark prunes to k per task before its shuffle; for a larger k the rest is ranked
+    over range partitions, so no task ever holds the k rows.
     """
     ties = ties or ("camis",)
     check_capacity(capacity)
     check_columns(df, score, *ties)
-    rows = _at_or_above_cut(df, score, capacity, ascending)
-    return global_rank(rows, *best_first(score, *ties, ascending=ascending), rank=rank).where(F.col(rank) <= capacity)
+    rows, order = _near_top(df, score, capacity, ascending), best_first(score, *ties, ascending=ascending)
+    if _pruned_by_spark(df, capacity):
+        ranked = rows.withColumn(rank, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    else:
+        ranked = global_rank(rows, *order, rank=rank)
+    return ranked.where(F.col(rank) <= capacity)
 
 
 def top_k(df: DataFrame, score: str, capacity: int, *ties: str, ascending: bool = False) -> DataFrame:
@@ -64,11 +94,22 @@ def top_k(df: DataFrame, score: str, capacity: int, *ties: str, ascending: bool
 
 
 def ranked_top_by(df: DataFrame, by: str, score: str, capacity: int, *ties: str, rank: str = "rank") -> DataFrame:
-    """The k best rows of each group.  Spark prunes to k per group before the shuffle."""
+    """The k best rows of each group, for few groups of any size.
+
+    As `ranked_top`: beyond what Spark prunes, the rows left of all groups are put in one order over range
+    partitions, in which a group's ranks count from its first place.
+    """
     check_capacity(capacity)
     ties = ties or ("camis",)
-    window = Window.partitionBy(by).orderBy(*best_first(score, *ties))
-    return df.withColumn(rank, F.row_number().over(window).cast("bigint")).where(F.col(rank) <= capacity)
+    rows, order = _near_top(df, score, capacity, by=[by]), best_first(score, *ties)
+    if _pruned_by_spark(df, capacity):
+        window = Window.partitionBy(by).orderBy(*order)
+        return rows.withColumn(rank, F.row_number().over(window).cast("bigint")).where(F.col(rank) <= capacity)
+    placed = global_rank(rows, F.asc_nulls_first(by), *order, rank="_place")
+    first = placed.groupBy(F.col(by).alias("_group")).agg(F.min("_place").alias("_first"))
+    ranked = placed.join(F.broadcast(first), F.col(by).eqNullSafe(F.col("_group")))
+    ranked = ranked.withColumn(rank, F.col("_place") - F.col("_first") + 1).where(F.col(rank) <= capacity)
+    return ranked.drop("_place", "_first", "_group")
 
 
 def _capacity_rows(capacities: Sequence[int]) -> Column:
@@ -271,12 +312,9 @@ def policy_comparison(
 
 
 def priority_queue(scored: DataFrame, capacity: int, score: str = "calibrated_high_severity_probability") -> DataFrame:
-    """Top-k queue with ranks; refused if there are fewer than k entities.
-
-    The ranked rows are pinned, so counting them reads no more than the queue itself.
-    """
+    """Top-k queue with ranks; refused if there are fewer than k entities."""
     queue = ranked_top(scored, score, capacity, rank="priority_rank")
-    size = queue.count()
+    size = scored.limit(capacity).count()
     if size < capacity:
         raise ValueError(f"A queue of {capacity} needs more entities than the {size} there are.")
     return queue
