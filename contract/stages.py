@@ -91,13 +91,13 @@ class StoredStages(Stages):
     the cluster's shared folder.
     """
 
-    def _stored(self, name: str, df_of) -> DataFrame:
+    def _stored(self, name: str, df_of, key: str | None = None, placed: bool = True) -> DataFrame:
         application = self.spark.sparkContext.applicationId
         place = (application, self.sf_dir, name)
         if place not in _WRITTEN:
             tag = hashlib.md5(self.sf_dir.encode()).hexdigest()[:8]
             root = f"{shared_folder(self.spark)}/tidemark-{application}-{tag}"
-            _WRITTEN[place] = write_stage(df_of(), root, name)
+            _WRITTEN[place] = write_stage(df_of(), root, name, key, placed)
         return _WRITTEN[place]
 
     @cached_property
@@ -106,15 +106,15 @@ class StoredStages(Stages):
 
     @cached_property
     def entities(self) -> DataFrame:
-        return self._stored("entities", lambda: events.latest_entities(self.unique))
+        return self._stored("entities", lambda: events.latest_entities(self.unique), "camis")
 
     @cached_property
     def wide_events(self) -> DataFrame:
-        return self._stored("events", lambda: events.roll_up_events(self.unique))
+        return self._stored("events", lambda: events.roll_up_events(self.unique), "camis", placed=False)
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        return self._stored("snapshots", lambda: snapshots.decision_snapshots(self.wide_events))
+        return self._stored("snapshots", lambda: snapshots.decision_snapshots(self.wide_events), "camis")
 
     @cached_property
     def population(self) -> DataFrame:
@@ -122,4 +122,4 @@ class StoredStages(Stages):
 
     @cached_property
     def scoring(self) -> DataFrame:
-        return self._stored("scoring", lambda: snapshots.current_population(self.wide_events, self.entities))
+        return self._stored("scoring", lambda: snapshots.current_population(self.wide_events, self.entities), "camis")

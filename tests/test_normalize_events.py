@@ -1,3 +1,4 @@
+import os
 import datetime as dt
 
 import pytest
@@ -135,8 +136,9 @@ def test_files_of_a_feed_share_one_header(spark, tmp_path):
         read_raw_csv(spark, f"{tmp_path}/[ac]").collect()
 
 
-def test_a_quoted_line_break_goes_through_the_job(spark, tmp_path, monkeypatch):
+def test_a_quoted_line_break_goes_through_the_job(spark, tmp_path):
     from tidemark.plans import jobs
+    from tidemark.policy import EventPolicy
     from tidemark.sources.raw_log import RAW_COLUMNS
 
     for column in ("DBA", "Location"):
@@ -145,14 +147,12 @@ def test_a_quoted_line_break_goes_through_the_job(spark, tmp_path, monkeypatch):
         cell = lambda name: f'"{name}\n2"' if name == column else f'"5"" {name}"'  # noqa: E731, B023
         lines = [",".join(RAW_COLUMNS), ",".join(map(cell, RAW_COLUMNS)), ",".join(RAW_COLUMNS[:5])]
         (folder / "feed.csv").write_text("\n".join(lines) + "\n")
-        seen = []
-        monkeypatch.setattr(jobs, "run_transformations", lambda raw, *_: seen.append(raw.collect()) or {"x": raw})
-        monkeypatch.setattr(jobs, "run_validations", lambda *_: (None, None))
-        monkeypatch.setattr(jobs, "write_run_artifact", lambda *_: None)
+        root = str(tmp_path / f"root-{column}")
+        ingest = lambda multi_line: jobs._ingest(spark, str(folder), root, "i", EventPolicy(), False, None, multi_line)  # noqa: E731, B023
         with pytest.raises(ValueError, match="open quote"):
-            jobs._ingest(spark, str(folder), "r", "i", None, False, None, False)
-        jobs._ingest(spark, str(folder), "r", "i", None, False, None, True)
-        assert len(seen) == 1 and len(seen[0]) == 2 and f"{column}\n2" in [r[column] for r in seen[0]]
+            ingest(False)
+        assert not os.path.exists(f"{root}/stages/current.json")
+        whole = ingest(True)["raw_inspection"].collect()
+        assert len(whole) == 2 and f"{column}\n2" in [r[column] for r in whole]
         (folder / "feed.csv").write_text("\n".join([lines[0], lines[2], lines[0]]) + "\n")
-        jobs._ingest(spark, str(folder), "r", "i", None, False, None, False)
-        assert len(seen[-1]) == 2
+        assert ingest(False)["raw_inspection"].count() == 2

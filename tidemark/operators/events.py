@@ -125,6 +125,13 @@ def violation_rows(rows: DataFrame, policy: EventPolicy = EventPolicy()) -> Data
     )
 
 
+def violation_counts(violations: DataFrame) -> DataFrame:
+    """Detail rows and critical ones per event: what joins need of them, one row however hot the event."""
+    return violations.groupBy("camis", "inspection_id").agg(
+        F.count(F.lit(1)).alias("violation_rows"), F.count_if("is_critical_violation").alias("critical_rows")
+    )
+
+
 def latest_entities(rows: DataFrame) -> DataFrame:
     """Attributes of each entity's latest row.
 

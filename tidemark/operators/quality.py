@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import to_date_safe
 from tidemark.functions.rates import DEPTH_BUCKETS
+from tidemark.operators.events import violation_counts
 from tidemark.operators.splits import TARGET
 from tidemark.policy import SENTINEL_DATE, QualityThresholds
 
@@ -33,6 +34,9 @@ class Tables:
     scoring: DataFrame
     previous_rows: int | None = None
     thresholds: QualityThresholds = field(default_factory=QualityThresholds)
+    violation_counts: DataFrame | None = None
+    #: Counts known from the writes, by table and name of `FACTS`; those not here are counted.
+    facts: Mapping[str, Mapping[str, int]] = field(default_factory=dict)
 
 
 # --- check shapes -----------------------------------------------------------
@@ -51,13 +55,6 @@ def failing_rows(name: str, df: DataFrame, broken: Column) -> DataFrame:
     return _named(name, df.where(broken))
 
 
-def none_match(name: str, df: DataFrame, broken: Column, counted: str) -> DataFrame:
-    """PASS when no row matches, with the number that do."""
-    return df.agg(F.count_if(broken).alias(counted)).select(
-        F.lit(name).alias("check_name"), _passed(F.col(counted) == 0), counted
-    )
-
-
 def duplicates(name: str, df: DataFrame, key: str, counted: str) -> DataFrame:
     """Keys that occur more than once."""
     return _named(name, df.groupBy(key).agg(F.count(F.lit(1)).alias(counted)).where(F.col(counted) > 1))
@@ -70,23 +67,43 @@ def unique_key(name: str, df: DataFrame, key: str, total: str, distinct: str, ex
     )
 
 
-def counts_match(name: str, left: DataFrame, right: DataFrame, a: str, b: str, difference: str, swap: bool = False) -> DataFrame:
+def counted(t: Tables, table: str, *names: str) -> DataFrame:
+    """One row with counts of `FACTS`: those the write of the table has noted, else from one pass over it."""
+    known = (getattr(t, "facts", None) or {}).get(table, {})
+    if set(names) <= set(known):
+        return t.events.sparkSession.range(1).select(*[F.lit(known[n]).cast("bigint").alias(n) for n in names])
+    return getattr(t, table).agg(*[FACTS[table][n]().alias(n) for n in names])
+
+
+def counts_match(name: str, t: Tables, left: str, right: str, a: str, b: str, difference: str, swap: bool = False) -> DataFrame:
     """Row counts of two tables side by side."""
-    one = left.agg(F.count(F.lit(1)).alias(a)).withColumn(b, right.agg(F.count(F.lit(1)).alias("n")).scalar())
+    one = counted(t, left, "rows").withColumnRenamed("rows", a).withColumn(b, counted(t, right, "rows").scalar())
     gap = F.col(b) - F.col(a) if swap else F.col(a) - F.col(b)
     return one.select(F.lit(name).alias("check_name"), _passed(gap == 0), a, b, gap.alias(difference))
 
 
 def orphans(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
-    """Rows whose key the other table lacks."""
-    known = other.select(F.col(other_key or key).alias(key)).distinct()
-    return df.join(known, key, "left_anti").select(*df.columns)
+    """Rows whose key the other table lacks.
 
+    Keys are event ids.  Most rows find theirs with their entity, by which stored tables lie;
+    the few left are looked up by the key alone.
+    """
+    known = other.select("camis", F.col(other_key or key).alias(key))
+    left = df.join(known, ["camis", key], "left_anti")
+    return left.join(known.select(key), key, "left_anti").select(*df.columns)
+
+
+def lost_violations(t: Tables) -> DataFrame:
+    """One row with the number of detail rows whose event is missing."""
+    per_event = getattr(t, "violation_counts", None)
+    per_event = violation_counts(t.violations) if per_event is None else per_event
+    lost = orphans(per_event, t.events, "inspection_id")
+    return lost.agg(F.coalesce(F.sum("violation_rows"), F.lit(0)).alias("n"))
 
-def no_orphans(name: str, df: DataFrame, other: DataFrame, key: str, counted: str) -> DataFrame:
-    return orphans(df, other, key).agg(F.count(F.lit(1)).alias(counted)).select(
-        F.lit(name).alias("check_name"), _passed(F.col(counted) == 0), counted
-    )
+
+def none_lost(name: str, number: DataFrame, column: str) -> DataFrame:
+    """PASS when the number of a one-row table is 0."""
+    return number.toDF(column).select(F.lit(name).alias("check_name"), _passed(F.col(column) == 0), column)
 
 
 def share_by(name: str, df: DataFrame, group: str, counted: str, share: str, *extra: Column) -> DataFrame:
@@ -241,10 +258,10 @@ def _row_check(name: str) -> _Check:
 
 CHECKS: dict[str, _Check] = {
     "normalization_row_count": lambda t: counts_match(
-        "normalization_row_count", t.raw, t.rows, "raw_row_count", "normalized_row_count", "row_count_difference", swap=True
+        "normalization_row_count", t, "raw", "rows", "raw_row_count", "normalized_row_count", "row_count_difference", swap=True
     ),
-    "unexpected_critical_flag": lambda t: none_match(
-        "unexpected_critical_flag", t.rows, F.col("critical_flag") == "Unexpected", "unexpected_row_count"
+    "unexpected_critical_flag": lambda t: none_lost(
+        "unexpected_critical_flag", counted(t, "rows", "unexpected_flags"), "unexpected_row_count"
     ),
     "deduplication_audit": lambda t: t.audit.select(
         F.lit("deduplication_audit").alias("check_name"), F.lit("INFO").alias("status"), "*"
@@ -252,14 +269,14 @@ CHECKS: dict[str, _Check] = {
     "restaurant_camis_uniqueness": lambda t: unique_key(
         "restaurant_camis_uniqueness", t.entities, "camis", "restaurant_rows", "unique_camis", "duplicate_camis"
     ),
-    "sentinel_dates_excluded_from_events": lambda t: none_match(
-        "sentinel_dates_excluded_from_events", t.events, F.col("inspection_date") == F.lit(SENTINEL_DATE), "sentinel_event_count"
+    "sentinel_dates_excluded_from_events": lambda t: none_lost(
+        "sentinel_dates_excluded_from_events", counted(t, "events", "sentinel_dates"), "sentinel_event_count"
     ),
     "duplicate_inspection_id": lambda t: duplicates(
         "duplicate_inspection_id", t.events, "inspection_id", "duplicate_count"
     ),
-    "violations_map_to_inspections": lambda t: no_orphans(
-        "violations_map_to_inspections", t.violations, t.events, "inspection_id", "violations_without_matching_inspection"
+    "violations_map_to_inspections": lambda t: none_lost(
+        "violations_map_to_inspections", lost_violations(t), "violations_without_matching_inspection"
     ),
     "inspection_type_policy_audit": lambda t: policy_audit(t.events),
     "event_attribute_conflicts": lambda t: attribute_conflicts(t.events),
@@ -274,7 +291,7 @@ CHECKS: dict[str, _Check] = {
         "invalid_cutoff_event_type", t.population, t.events, "cutoff_inspection_id", "is_eligible_historical_event"
     ),
     "prediction_label_count_match": lambda t: counts_match(
-        "prediction_label_count_match", t.population, t.labels, "prediction_rows", "label_rows", "difference"
+        "prediction_label_count_match", t, "population", "labels", "prediction_rows", "label_rows", "difference"
     ),
     "duplicate_label": lambda t: duplicates("duplicate_label", t.labels, "cutoff_inspection_id", "label_count"),
     "label_target_not_after_cutoff": _row_check("label_target_not_after_cutoff"),
@@ -290,10 +307,11 @@ CHECKS: dict[str, _Check] = {
         "duplicate_feature_rows", t.features, "cutoff_inspection_id", "row_count"
     ),
     "feature_label_count_match": lambda t: counts_match(
-        "feature_label_count_match", t.features, t.labels, "feature_rows", "label_rows", "difference"
+        "feature_label_count_match", t, "features", "labels", "feature_rows", "label_rows", "difference"
     ),
-    "features_map_to_prediction_population": lambda t: no_orphans(
-        "features_map_to_prediction_population", t.features, t.population, "cutoff_inspection_id",
+    "features_map_to_prediction_population": lambda t: none_lost(
+        "features_map_to_prediction_population",
+        orphans(t.features, t.population, "cutoff_inspection_id").agg(F.count(F.lit(1))),
         "features_without_prediction_population",
     ),
     "future_event_in_feature_history": _row_check("future_event_in_feature_history"),
@@ -346,11 +364,6 @@ def run_suite(tables: Tables, names: Sequence[str] | None = None) -> DataFrame:
 # --- thresholds ---------------------------------------------------------------
 
 
-def _share(broken: Column) -> Column:
-    """Share of rows with the fault; 0 for an empty table."""
-    return F.coalesce(F.avg(F.coalesce(broken, F.lit(False)).cast("double")), F.lit(0.0))
-
-
 def _repeats(key: str) -> Column:
     n = F.count(F.lit(1))
     return F.coalesce(F.try_divide((n - F.count_distinct(key)).cast("double"), n), F.lit(0.0))
@@ -361,42 +374,68 @@ def _unreadable_date() -> Column:
     return text.isNotNull() & to_date_safe(text).isNull()
 
 
-#: Aggregates per table; each table is read once for all of its rates.
-_RATES: dict[str, dict[str, Callable[[], Column]]] = {
-    "raw": {"unparseable_inspection_date_rate": lambda: _share(_unreadable_date()), "_raw_rows": lambda: F.count(F.lit(1))},
-    "rows": {
-        "unexpected_critical_flag_rate": lambda: _share(F.col("critical_flag") == "Unexpected"),
-        "missing_borough_rate": lambda: _share(F.col("borough").isNull()),
-        "missing_cuisine_rate": lambda: _share(F.col("cuisine_description").isNull()),
-        "missing_location_rate": lambda: _share(F.col("location").isNull()),
-    },
-    "entities": {"duplicate_restaurant_rate": lambda: _repeats("camis")},
-    "events": {
-        "duplicate_inspection_event_rate": lambda: _repeats("inspection_id"),
-        "event_attribute_conflict_rate": lambda: _share(_conflicting()),
-    },
-    "violations": {"_violation_rows": lambda: F.count(F.lit(1))},
-    "population": {"invalid_target_date_rate": lambda: _share(F.col("target_inspection_date") <= F.col("cutoff_date"))},
-    "labels": {"invalid_label_rate": lambda: _share(F.col(TARGET).isNull() | ~F.col(TARGET).isin(0, 1))},
-    "features": {"feature_future_date_rate": lambda: _share(F.col("last_cycle_inspection_date") > F.col("cutoff_date"))},
+def _when(condition: Callable[[], Column]) -> Callable[[], Column]:
+    return lambda: F.count_if(condition())
+
+
+#: Counts per table, for checks and rates; the job's writes count them as they go.
+FACTS: dict[str, dict[str, Callable[[], Column]]] = {
+    table: {"rows": lambda: F.count(F.lit(1))} | {name: _when(condition) for name, condition in faults.items()}
+    for table, faults in {
+        "raw": {"unreadable_dates": lambda: _unreadable_date()},
+        "rows": {
+            "unexpected_flags": lambda: F.col("critical_flag") == "Unexpected",
+            "missing_boroughs": lambda: F.col("borough").isNull(),
+            "missing_cuisines": lambda: F.col("cuisine_description").isNull(),
+            "missing_locations": lambda: F.col("location").isNull(),
+        },
+        "unique": {},
+        "events": {
+            "sentinel_dates": lambda: F.col("inspection_date") == F.lit(SENTINEL_DATE),
+            "conflicts": lambda: _conflicting(),
+        },
+        "violations": {},
+        "population": {"targets_not_after": lambda: F.col("target_inspection_date") <= F.col("cutoff_date")},
+        "labels": {"invalid_labels": lambda: F.col(TARGET).isNull() | ~F.col(TARGET).isin(0, 1)},
+        "features": {"future_history": lambda: F.col("last_cycle_inspection_date") > F.col("cutoff_date")},
+    }.items()
+}
+
+#: Rate -> (table, count among its rows).
+_SHARES = {
+    "unparseable_inspection_date_rate": ("raw", "unreadable_dates"),
+    "unexpected_critical_flag_rate": ("rows", "unexpected_flags"),
+    "missing_borough_rate": ("rows", "missing_boroughs"),
+    "missing_cuisine_rate": ("rows", "missing_cuisines"),
+    "missing_location_rate": ("rows", "missing_locations"),
+    "event_attribute_conflict_rate": ("events", "conflicts"),
+    "invalid_target_date_rate": ("population", "targets_not_after"),
+    "invalid_label_rate": ("labels", "invalid_labels"),
+    "feature_future_date_rate": ("features", "future_history"),
 }
+#: Rate -> (table, key that should be unique).
+_UNIQUE_KEYS = {"duplicate_restaurant_rate": ("entities", "camis"), "duplicate_inspection_event_rate": ("events", "inspection_id")}
+
+
+def _rate(part: Column, whole: Column) -> Column:
+    """A share of rows; 0 for an empty table."""
+    return F.coalesce(F.try_divide(part.cast("double"), whole), F.lit(0.0))
 
 
 def quality_rates(tables: Tables) -> DataFrame:
-    """Observed rate, limit and breach per configured threshold."""
+    """Observed rate, limit and breach per configured threshold; a table is read once for all its counts, if at all."""
     t = tables
-    one, observed = t.raw.sparkSession.range(1), {}
-    for table, rates in _RATES.items():
-        cell = getattr(t, table).agg(F.struct(*[rate().alias(name) for name, rate in rates.items()]).alias("c")).scalar()
+    one, observed = t.events.sparkSession.range(1), {}
+    for table in dict.fromkeys([*(table for table, _ in _SHARES.values()), "violations"]):
+        cell = counted(t, table, *FACTS[table]).select(F.struct(*FACTS[table]).alias("c")).scalar()
         one = one.withColumn(f"_{table}", cell)
-        observed |= {name: F.col(f"_{table}.{name}") for name in rates}
-    lost = orphans(t.violations, t.events, "inspection_id").agg(F.count(F.lit(1)).alias("n")).scalar()
-    observed["orphan_violation_rate"] = F.coalesce(F.try_divide(lost.cast("double"), observed.pop("_violation_rows")), F.lit(0.0))
-    now = observed.pop("_raw_rows")
+    for rate, (table, fault) in _SHARES.items():
+        observed[rate] = _rate(F.col(f"_{table}.{fault}"), F.col(f"_{table}.rows"))
+    for rate, (table, key) in _UNIQUE_KEYS.items():
+        observed[rate] = getattr(t, table).agg(_repeats(key).alias("c")).scalar()
+    observed["orphan_violation_rate"] = _rate(lost_violations(t).scalar(), F.col("_violations.rows"))
     if t.previous_rows is not None:
-        observed["source_row_count_change_rate"] = F.coalesce(
-            F.try_divide(F.abs(now - F.lit(t.previous_rows)).cast("double"), F.lit(t.previous_rows)), F.lit(0.0)
-        )
+        observed["source_row_count_change_rate"] = _rate(F.abs(F.col("_raw.rows") - F.lit(t.previous_rows)), F.lit(t.previous_rows))
     entries = [
         F.struct(
             F.lit(name).alias("rate_name"), F.lit(kind).alias("severity"), observed[name].alias("rate"),

@@ -278,8 +278,9 @@ def with_detail_counts(events: DataFrame, violations: DataFrame) -> DataFrame:
 
 def modeling_set(features: DataFrame, labels: DataFrame) -> DataFrame:
     """Features with the label columns that modelling reads."""
-    keep = [c for c in LABEL_COLUMNS if c not in ("camis", "cutoff_date")]
-    return features.join(labels.select(*keep), "cutoff_inspection_id")
+    keep = [c for c in LABEL_COLUMNS if c != "cutoff_date"]
+    # An event's id holds its entity, and the stored tables lie by the entity.
+    return features.join(labels.select(*keep), ["camis", "cutoff_inspection_id"])
 
 
 def current_population(

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.model.calibration import add_calibrated, fit_calibrator
@@ -22,12 +22,13 @@ from tidemark.operators.baselines import smoothed_risk
 from tidemark.operators.metrics import ranking_metrics
 from tidemark.operators.prefix import global_rank
 from tidemark.operators.profile import category_share_map, monitoring_metrics
-from tidemark.operators.quality import Tables, enforce, quality_rates, run_suite
+from tidemark.operators.quality import FACTS, Tables, enforce, quality_rates, run_suite
 from tidemark.operators.ranking import capacity_sweep, check_capacity, priority_queue
 from tidemark.operators.splits import TARGET, assign_split, take_split, validate_splits
 from tidemark.policy import CAPACITIES, EventPolicy, SplitBounds
-from tidemark.sources.raw_log import check_unbroken, read_raw_csv
-from tidemark.sources.tables import pin, read_stage, write_csv, write_json, write_run_artifact, write_stage
+from tidemark.sources.raw_log import MALFORMED, RAW_COLUMNS, check_unbroken, open_quotes, read_raw_csv
+from tidemark.sources.stage_store import StageStore
+from tidemark.sources.tables import pin, read_stage, write_csv, write_json, write_run_artifact
 
 CONTEXT_COLUMNS = (
     "camis", "restaurant_name", "borough", "cuisine_description", "cutoff_date", "history_depth_bucket",
@@ -46,13 +47,10 @@ def stage_list(policy: EventPolicy) -> list[Stage]:
     return [
         ("normalized_inspection_rows", lambda t: normalize.normalize_rows(t["raw_inspection"])),
         ("deduplicated_inspection_rows", lambda t: normalize.deduplicate(t["normalized_inspection_rows"])),
-        (
-            "deduplication_audit",
-            lambda t: _audit(t["normalized_inspection_rows"], t["deduplicated_inspection_rows"]),
-        ),
         ("restaurants", lambda t: events.latest_entities(t["deduplicated_inspection_rows"])),
         ("inspections", lambda t: events.roll_up_events(t["deduplicated_inspection_rows"], policy)),
         ("violations", lambda t: events.violation_rows(t["deduplicated_inspection_rows"], policy)),
+        ("violation_counts", lambda t: events.violation_counts(t["violations"])),
         ("snapshots", lambda t: snapshots.decision_snapshots(t["inspections"], policy)),
         ("prediction_population", lambda t: snapshots.population_of(t["snapshots"])),
         ("labels", lambda t: snapshots.labels_of(t["snapshots"])),
@@ -64,29 +62,64 @@ def stage_list(policy: EventPolicy) -> list[Stage]:
     ]
 
 
-def _audit(rows: DataFrame, unique: DataFrame) -> DataFrame:
-    """Both sides are stored, so two metadata-cheap counts replace a second dedup."""
-    before = rows.agg(F.count(F.lit(1)).alias("input_row_count"))
-    after = unique.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return before.withColumn("output_row_count", after).withColumn(
-        "exact_duplicates_removed", F.col("input_row_count") - F.col("output_row_count")
-    )
+#: Stages bucketed by entity, and whether their rows already lie so when they are written.  Rows
+#: of details are not: one entity may have any number of them.
+_BY_ENTITY = {
+    "restaurants": True, "inspections": False, "violation_counts": False, "snapshots": True, "prediction_population": True,
+    "labels": True, "features": True, "scoring_population": True,
+}
+#: Stage -> table of the quality checks, whose facts its write counts.
+_CHECKED = {
+    "normalized_inspection_rows": "rows", "deduplicated_inspection_rows": "unique", "restaurants": "entities", "inspections": "events",
+    "violations": "violations", "prediction_population": "population", "labels": "labels", "features": "features",
+}
+
+
+def write_stages(raw: DataFrame, store: StageStore, policy: EventPolicy = EventPolicy()) -> dict[str, DataFrame]:
+    """Write every stage table of a run, not yet published; the feed is read once and counted on the way."""
+    spark, seen = raw.sparkSession, Observation()
+    counts = {name: fact() for name, fact in FACTS["raw"].items()} | ({"open_quotes": open_quotes()} if MALFORMED in raw.columns else {})
+    tables = {"raw_inspection": raw.observe(seen, *[fact.alias(name) for name, fact in counts.items()])}
+    for name, build in stage_list(policy):
+        facts = {n: fact() for n, fact in FACTS.get(_CHECKED.get(name), {}).items() if n != "rows"}
+        key = "camis" if name in _BY_ENTITY else None
+        tables[name] = store.write(name, build(tables), key, _BY_ENTITY.get(name, False), facts)
+        if name == "normalized_inspection_rows":
+            check_unbroken(seen.get.get("open_quotes", 0))
+            store.note("raw_inspection", seen.get)
+        if name == "deduplicated_inspection_rows":
+            before, after = (store.facts(n)["rows"] for n in ("normalized_inspection_rows", name))
+            audit = spark.range(1).select(
+                F.lit(before).cast("bigint").alias("input_row_count"),
+                F.lit(after).cast("bigint").alias("output_row_count"),
+                F.lit(before - after).cast("bigint").alias("exact_duplicates_removed"),
+            )
+            tables["deduplication_audit"] = store.write("deduplication_audit", audit)
+    return tables | {"raw_inspection": raw.select(*RAW_COLUMNS)}
 
 
 def run_transformations(raw: DataFrame, root: str, policy: EventPolicy = EventPolicy()) -> dict[str, DataFrame]:
-    """Write every stage table under `root` and return them as read back."""
-    tables = {"raw_inspection": raw}
-    for name, build in stage_list(policy):
-        tables[name] = write_stage(build(tables), root, name)
+    """Write every stage table under `root`, publish them together and return them as read back."""
+    store = StageStore(raw.sparkSession, root)
+    tables = write_stages(raw, store, policy)
+    store.publish()
     return tables
 
 
 def stage_tables(spark: SparkSession, root: str, raw: DataFrame, policy: EventPolicy = EventPolicy()) -> dict[str, DataFrame]:
     """The stored stage tables."""
-    return {"raw_inspection": raw} | {name: read_stage(spark, root, name) for name, _ in stage_list(policy)}
+    names = ["deduplication_audit", *(name for name, _ in stage_list(policy))]
+    return {"raw_inspection": raw} | {name: read_stage(spark, root, name) for name in names}
+
 
+def stage_facts(store: StageStore) -> dict[str, dict[str, int]]:
+    """The counts of the stored tables by the names the checks use."""
+    return {"raw": store.facts("raw_inspection")} | {table: store.facts(name) for name, table in _CHECKED.items()}
 
-def as_check_tables(tables: dict[str, DataFrame], previous_rows: int | None = None) -> Tables:
+
+def as_check_tables(
+    tables: dict[str, DataFrame], previous_rows: int | None = None, facts: dict[str, dict[str, int]] | None = None
+) -> Tables:
     return Tables(
         raw=tables["raw_inspection"],
         rows=tables["normalized_inspection_rows"],
@@ -99,15 +132,20 @@ def as_check_tables(tables: dict[str, DataFrame], previous_rows: int | None = No
         features=tables["features"],
         scoring=tables["scoring_population"],
         previous_rows=previous_rows,
+        violation_counts=tables.get("violation_counts"),
+        facts=facts or {},
     )
 
 
 def run_validations(
-    tables: dict[str, DataFrame], gate: bool = False, previous_rows: int | None = None
+    tables: dict[str, DataFrame], gate: bool = False, previous_rows: int | None = None, facts: dict[str, dict[str, int]] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Check results and threshold rates; with `gate` a breached hard limit raises."""
-    checked = as_check_tables(tables, previous_rows)
-    rates = quality_rates(checked)
+    """Check results and threshold rates; with `gate` a breached hard limit raises.
+
+    Counts that `facts` holds are not taken again.
+    """
+    checked = as_check_tables(tables, previous_rows, facts)
+    rates = pin(quality_rates(checked))
     if gate:
         enforce(rates)
     return run_suite(checked), rates
@@ -240,13 +278,16 @@ def previous_row_count(spark: SparkSession, root: str) -> int | None:
 
 
 def _ingest(spark, raw_path, root, run_id, policy, gate, previous_rows, multi_line) -> dict[str, DataFrame]:
-    """Transformations and validations of one feed; checks and rates are kept per run."""
-    if not multi_line:
-        check_unbroken(spark, raw_path)
-    tables = run_transformations(read_raw_csv(spark, raw_path, multi_line), f"{root}/stages", policy)
-    checks, rates = run_validations(tables, gate, previous_rows)
+    """Transformations and validations of one feed; checks and rates are kept per run.
+
+    Readers see the new stage tables once all of that has passed, and the old ones until then.
+    """
+    store = StageStore(spark, f"{root}/stages")
+    tables = write_stages(read_raw_csv(spark, raw_path, multi_line, keep_malformed=not multi_line), store, policy)
+    checks, rates = run_validations(tables, gate, previous_rows, stage_facts(store))
     write_run_artifact(checks, root, "checks", run_id)
     write_run_artifact(rates, root, "rates", run_id)
+    store.publish()
     return tables
 
 
@@ -257,7 +298,8 @@ def _publish(spark, population, model_path, root, run_id, capacity) -> tuple[Dat
     stored = spark.read.parquet(path).where(F.col("run_id") == run_id).drop("run_id")
     queue = stored.where(F.col("priority_rank") <= capacity).orderBy("priority_rank")
     write_run_artifact(queue, root, "queues", run_id)
-    write_csv(stored.orderBy("priority_rank"), f"{root}/latest/scores")
+    # Ranked rows lie in ranges of ranks already.
+    write_csv(scored, f"{root}/latest/scores")
     write_csv(queue, f"{root}/latest/priority_queue")
     return stored, queue
 

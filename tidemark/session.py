@@ -18,6 +18,8 @@ def local_session(cpus: int = 8, memory: str = "8g", checkpoints: str = "/tmp/ti
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Recommended for clusters too.  HotSpot interprets methods above 8000 bytes; such stages run faster split up.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Stages bucketed by entity then also meet without an exchange where a join adds the event's id.
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

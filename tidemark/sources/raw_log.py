@@ -23,14 +23,19 @@ def raw_col(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+#: Column of `read_raw_csv` that holds the text of rows which do not fit the header.
+MALFORMED = "_malformed"
+
+
+def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False, keep_malformed: bool = False) -> DataFrame:
     """Scan the feed as text.
 
     No inference pass over the files: every column is a string and typing is the
     normaliser's job.  The header may hold more columns and in another order, but all files
     of a feed share it; a file with another header fails the scan.  Files are split
     among tasks unless `multi_line` says that quoted fields hold line breaks, for which
-    Spark must read each file in one task.
+    Spark must read each file in one task.  `keep_malformed` adds the text of rows that do not
+    fit the header as a column.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     header = reader.option("inferSchema", False).csv(path).columns
@@ -38,18 +43,21 @@ def read_raw_csv(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     if missing:
         raise ValueError(f"Raw feed lacks columns: {', '.join(missing)}")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    return reader.option("enforceSchema", False).schema(schema).csv(path).select(*[raw_col(n) for n in RAW_COLUMNS])
+    reader, kept = reader.option("enforceSchema", False), list(RAW_COLUMNS)
+    if keep_malformed:
+        # Rows are held against the whole header, whatever columns are read.
+        schema = schema.add(MALFORMED, T.StringType())
+        reader, kept = reader.option("columnPruning", False).option("columnNameOfCorruptRecord", MALFORMED), [*kept, MALFORMED]
+    return reader.schema(schema).csv(path).select(*[raw_col(n) for n in kept])
 
 
-def check_unbroken(spark: SparkSession, path: str) -> None:
-    """Fails if, read line by line, the feed has malformed rows with an open quote: fields with line breaks in them."""
-    reader = spark.read.option("header", True).option("escape", '"').option("columnPruning", False)
-    header = reader.option("inferSchema", False).csv(path).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in [*header, "_malformed"]])
-    rows = reader.option("columnNameOfCorruptRecord", "_malformed").schema(schema).csv(path)
-    quotes = F.length("_malformed") - F.length(F.replace("_malformed", F.lit('"'), F.lit("")))
-    # The first column is counted too: Spark refuses a query of the malformed rows alone.
-    broken = rows.agg(F.count(F.when(quotes % 2 == 1, 1)), F.count(raw_col(header[0]))).first()[0]
+def open_quotes() -> Column:
+    """Number of malformed rows with an open quote: read line by line, fields with line breaks in them make such rows."""
+    quotes = F.length(MALFORMED) - F.length(F.replace(F.col(MALFORMED), F.lit('"'), F.lit("")))
+    return F.count(F.when(quotes % 2 == 1, 1))
+
+
+def check_unbroken(broken: int) -> None:
     if broken:
         raise ValueError(f"{broken} malformed rows of the feed have an open quote; quoted line breaks need multi_line=True")
 

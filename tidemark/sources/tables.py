@@ -5,11 +5,15 @@ Paths are Hadoop URIs throughout, so local folders and object stores look alike.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.files import replace_folder
+from tidemark.sources.stage_store import StageStore
+
 MONITORING_COLUMNS = ("camis", "calibrated_high_severity_probability", "priority_rank")
 SCORED_COLUMNS = (
     "camis", "restaurant_name", "borough", "cuisine_description", "cutoff_date",
@@ -25,15 +29,16 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "Table")
     return df
 
 
-def write_stage(df: DataFrame, root: str, name: str) -> DataFrame:
-    """Create or replace a stage table and read it back, which cuts the lineage."""
-    path = f"{root.rstrip('/')}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def write_stage(df: DataFrame, root: str, name: str, key: str | None = None, placed: bool = False) -> DataFrame:
+    """Create or replace one stage table and read it back; readers see the old one until it is whole."""
+    store = StageStore(df.sparkSession, root)
+    stored = store.write(name, df, key, placed)
+    store.publish()
+    return stored
 
 
 def read_stage(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    return StageStore(spark, root).read(name)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,7 +59,10 @@ def pin(df: DataFrame) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Create or replace a CSV export; the old one stays until the new one is whole."""
+    new = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    df.write.option("header", True).csv(new)
+    replace_folder(df.sparkSession, new, path.rstrip("/"))
 
 
 def write_json(df: DataFrame, path: str) -> None:
