@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from llm_samples import EDGE, words
-from tidemark.llm import decontamination, toxicity
+from tidemark.llm import decontamination, quality_rules, toxicity
 
 
 def embedded(item, seed, swap=0):
@@ -155,3 +155,16 @@ def test_the_pipeline_keeps_clean_documents(spark, documents, tmp_path):
     assert docs.where("doc_id = 103").first().text.endswith(" [SECRET]")
     final = corpus_pipeline.STAGES[-1][1](spark, docs, root).collect()
     assert len(final) == 41 and all(r.round_trip and len(r.ids) == 4 * r.n_tokens for r in final)
+
+
+def test_one_row_of_a_sampled_id_counts(spark, documents, monkeypatch):
+    """A hot id sends one row to the driver, and does not outweigh the others."""
+    docs = [(k, f"word{k} " * 40 + "more words of this text") for k in range(60)] + [(7, f"copy number {k} of a hot id") for k in range(500)]
+    labels = spark.createDataFrame([(k, k % 2, int(k % 3 == 0)) for k in range(60)], "doc_id bigint, quality int, toxic int")
+    seen = {}
+    monkeypatch.setattr(quality_rules, "learn_list", lambda x, y: seen.setdefault("quality", len(y)) and [])
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, held: seen.setdefault("toxic", len(texts)))
+    quality_rules.fit(documents(docs), labels)
+    toxicity.fit(documents(docs), labels)
+    assert seen["quality"] == 60
+    assert 0 < seen["toxic"] <= 60

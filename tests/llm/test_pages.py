@@ -3,6 +3,8 @@
 import base64
 import hashlib
 
+import pytest
+
 from tidemark.llm import html_extract, warc
 
 PROSE = "This sentence, which is part of the article, goes on for a while, and says little. " * 3
@@ -117,3 +119,42 @@ def test_short_blocks_beside_the_best_container_stay():
         assert html_extract.main_text(f"{top}<p>Short intro.</p>{links}{text}<h3>Sub</h3><ul><li>item</ul>{links}<p>Short end.</p>{end}") == want
     nested = f"<article>Loose words<p>Short intro.</p><div><div>{text}</div><div>Note</div></div></article>"
     assert html_extract.main_text(nested) == "\n\n".join(["Loose words", "Short intro.", *[prose] * 5, "Note"])
+
+
+_BODY = "<p>" + "A sentence of the article, long enough to count, with commas, and so on. " * 4 + "</p>"
+
+
+@pytest.mark.parametrize("wrapper", ['<form id="aspnetForm" method="post">{}</form>', '<div aria-hidden="true">{}</div>', '<form><div class="content">{}</div></form>'])
+def test_a_page_within_a_form_or_a_hidden_wrapper_is_kept(wrapper):
+    body = f"<h1>Title</h1><nav><a href='/'>menu</a></nav><article>{_BODY * 3}</article><form><p>Your name, please.</p><input></form>"
+    text = html_extract.main_text(f"<html><body>{wrapper.format(body)}</body></html>")
+    assert text.count("A sentence of the article") == 12 and "Your name" not in text and "menu" not in text
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+
+    for hostile in (lambda n: "<b>" * n + "</i>" * n, lambda n: "<div>" * n + "</section>" * n, lambda n: "<i><div>" + "<b>" * n + "</i>" * n, lambda n: "<p>" + "<b>x" * n + "<div>" * 3):
+        taken = []
+        for n in (20_000, 40_000):
+            start = time.process_time()
+            html_extract.TreeBuilder().feed(hostile(n))
+            taken.append(time.process_time() - start)
+        assert taken[1] < 3 * taken[0] + 0.1
+
+
+def test_archives_of_either_version_are_read(spark, tmp_path):
+    pages = [(k, f"u{k}", f"<p>{k}</p> WARC/1.{k % 3}\r\n WARC/1.1\r\nContent-Length: 3\r\n\r\nabc") for k in range(9)]
+    frame = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    want = None
+    for version in "10":
+        path = str(tmp_path / version)
+        warc.write_archives(frame.coalesce(1), path, compression="none")
+        part = next((tmp_path / version).glob("part-*"))
+        text = part.read_bytes()
+        (tmp_path / version / f".{part.name}.crc").unlink(missing_ok=True)
+        part.write_bytes(text.replace(b"WARC/1.1\r\nWARC-Type", f"WARC/1.{version}\r\nWARC-Type".encode()))
+        found = sorted(warc.read_archives(spark, path).collect(), key=str)
+        assert len(found) == 9
+        want = want or found
+        assert found == want

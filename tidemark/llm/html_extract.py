@@ -29,12 +29,13 @@ BLOCKS = frozenset(
     "thead tr ul".split()
 )
 CUT = frozenset(
-    "script style noscript template nav header footer aside form button select textarea input svg canvas iframe object embed "
+    "script style noscript template nav header footer aside button select textarea input svg canvas iframe object embed "
     "dialog menu head title video audio map search".split()
 )
 #: Start tags that close an open paragraph, and elements that close an open one of their kind.
 _SELF_CLOSING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPES = frozenset("ul ol dl table select div article section body td th blockquote".split())
+_ENDS_PARAGRAPH = BLOCKS - {"p"}
 _PARAGRAPHS = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6".split())
 #: What stands in an article beside its main container.
 _BESIDE = _PARAGRAPHS | frozenset("ul ol dl table figure hgroup".split())
@@ -75,18 +76,23 @@ def _cut(tag: str, attributes: dict[str, str | None]) -> tuple[bool, bool, str,
     parts = [_BESIDES.sub("", part) for part in parts]
     names = " ".join(parts)
     likely = bool(_LIKELY.search(names)) or tag in ("article", "main")
-    hidden = "hidden" in attributes or (attributes.get("aria-hidden") or "") == "true" or "display:none" in (attributes.get("style") or "").replace(" ", "").lower()
+    hidden = "hidden" in attributes or "display:none" in (attributes.get("style") or "").replace(" ", "").lower()
     if tag in ("html", "body"):
         return False, False, "", False
+    # Some pages stand in one form, or are hidden from readers aloud while a dialog is open.
+    wrapper = tag == "form" or (attributes.get("aria-hidden") or "") == "true"
     unlikely = tag in CUT or (attributes.get("role") or "").lower() in _ROLES or hidden
     doubted, article = bool(_UNLIKELY.search(names)), tag in ("article", "main")
-    return unlikely, likely, names if doubted and not article and not _spoken_for(parts) else "", article and not doubted
+    doubt = names if doubted and not article and not _spoken_for(parts) else ""
+    return unlikely, likely, f"{doubt} wrapper" if wrapper else doubt, article and not doubted
 
 
 class TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.here = Node("#root", None)
+        # The open elements from the root down, and for each tag the places of its own among them.
+        self.path, self.places = [self.root], {}
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
@@ -102,6 +108,8 @@ class TreeBuilder(HTMLParser):
         node.article = float(article)
         self.here.children.append(node)
         self.here = node
+        self.places.setdefault(tag, []).append(len(self.path))
+        self.path.append(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -119,16 +127,17 @@ class TreeBuilder(HTMLParser):
 
     def _close_paragraph(self) -> None:
         """A paragraph ends at the next block; inline elements left open in it end too."""
-        self._close("p", BLOCKS - {"p"})
+        self._close("p", _ENDS_PARAGRAPH)
 
     def _close(self, tag: str, barriers: frozenset[str]) -> None:
-        node = self.here
-        while node is not None and node.tag != tag:
-            if node.tag in barriers:
-                return
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.here = node.parent
+        """End the innermost open element of the tag, unless one of the barriers is open within it."""
+        own = self.places.get(tag)
+        if not own or any(self.places[b][-1] > own[-1] for b in barriers if self.places.get(b)):
+            return
+        for node in self.path[own[-1] :][::-1]:
+            self.places[node.tag].pop()
+            self.path.pop()
+        self.here = self.path[-1]
 
 
 def _blocks(top: Node) -> Iterator[tuple[Node, str, float]]:

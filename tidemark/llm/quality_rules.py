@@ -182,7 +182,8 @@ def learn_list(values: np.ndarray, label: np.ndarray, names: tuple[str, ...] = L
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> list[Rule]:
     """Learn from the statistics of at most `rows` labelled documents, whose values alone come to the driver.
 
-    Labels without an id or a quality are left out, and ids with contradicting labels too.
+    Labels without an id or a quality are left out, and ids with contradicting labels too.  Of
+    the rows that share an id one counts, that with the smallest values.
     """
     sample = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
@@ -190,9 +191,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> list[Rule]:
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("doc_id", "quality")
     )
     chosen = docs.join(F.broadcast(sample), "doc_id").select("doc_id", "quality", F.coalesce(docs["text"], F.lit("")).alias("text"))
+    values = F.struct("quality", *dict.fromkeys([*BASE, *LEARNED_FROM]))
     found = (
-        statistics(chosen).orderBy(F.xxhash64("doc_id"), "doc_id", *BASE)
-        .select("quality", *[F.col(c).cast("double") for c in LEARNED_FROM]).collect()
+        statistics(chosen).groupBy("doc_id").agg(F.min(values).alias("v")).orderBy(F.xxhash64("doc_id"), "doc_id")
+        .select("v.quality", *[F.col(f"v.{c}").cast("double") for c in LEARNED_FROM]).collect()
     )
     if not found:
         return []

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import pinned, scratch_path
 
-MAGIC = "WARC/1.1\r\n"
+#: What records begin with, and the versions that are read; 1.1 is written.
+MAGIC, VERSIONS = "WARC/1.", "[01]"
 GAP = "\r\n\r\n"
 #: Payloads of fewer bytes are always written as responses.
 LEAST_REVISITED = 0
@@ -63,7 +64,7 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_REVISITED, co
     block = F.concat("http", F.when(F.col("revisit"), "").otherwise(F.col("html")))
     only = lambda value: F.when(F.col("revisit"), value)
     record = F.concat(
-        F.lit(MAGIC),
+        F.lit(f"{MAGIC}1\r\n"),
         field("WARC-Type", F.when(F.col("revisit"), "revisit").otherwise("response")),
         field("WARC-Record-ID", _record_id("page_id", "digest")),
         field("WARC-Date", F.lit(date)),
@@ -102,7 +103,8 @@ def _parsed(pieces: DataFrame, *keys: str) -> DataFrame:
         *keys,
         F.octet_length("value").cast("bigint").alias("held"),
         F.octet_length("header").cast("bigint").alias("header_bytes"),
-        named("Content-Length").try_cast("bigint").alias("content"),
+        # A piece without a version and the end of its line is no record.
+        F.when(F.col("header").rlike(rf"^{VERSIONS}\r\n"), named("Content-Length").try_cast("bigint")).alias("content"),
         named("WARC-Type").alias("record_type"),
         named("X-Page-Id").try_cast("bigint").alias("page_id"),
         named("X-Refers-To-Page-Id").try_cast("bigint").alias("refers_to"),
@@ -159,8 +161,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     cut = marked.where("real IS NULL").select("file", "record").distinct()
     result = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     whole = marked.where("real").join(cut.withColumnRenamed("record", "at"), ["file", "at"], "left_anti").select(*result)
-    places = marked.join(cut, ["file", "record"]).select("file", "block", "number", "record", "at")
-    texts = _pieces(spark, path).join(places, ["file", "block", "number"])
+    places = marked.join(cut, ["file", "record"]).select("file", "block", "number", "record", "at", "held")
+    # Pieces of cut records are read again.  They are numbered as before unless the cluster has grown or shrunk meanwhile.
+    texts = places.join(_pieces(spark, path), ["file", "block", "number"], "left")
+    same = F.octet_length("value").cast("bigint").eqNullSafe(F.col("held"))
+    changed = F.raise_error(F.lit("The archives were split in another way at the second reading; run the job again.")).cast("string")
+    texts = texts.withColumn("value", F.when(same, F.col("value")).otherwise(changed))
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "value"))), lambda p: p["value"]), MAGIC)
     mended = _parsed(texts.groupBy("file", "record").agg(joined.alias("value"))).select(*result)
     return whole.unionAll(mended)
