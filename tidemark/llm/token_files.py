@@ -44,7 +44,7 @@ FILE_IDS = 2_000_000
 #: Id of the mark that ends a document.
 END = 1
 #: Encoded words remembered per Python process, and the longest of them in bytes.
-REMEMBERED_WORDS, _LONGEST = 400_000, 64
+REMEMBERED_WORDS, _LONGEST = 600_000, 64
 _HEAD, _PART, _ROWS = 6, 4_000_000, 1_000
 _FOOTER, _FOOTER_BYTES = "<5Q3I4x8s", 64
 #: Files whose ids are summed by one task for the starts of the documents.
@@ -54,6 +54,9 @@ _FILES_TOGETHER = 1000
 # ---- blocks ---------------------------------------------------------------------------
 
 
+_DIGITS = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
 def _some(chosen: np.ndarray) -> list[np.ndarray]:
     """The places that are chosen, a bounded number at a time."""
     places = np.flatnonzero(chosen)
@@ -71,7 +74,8 @@ def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     rows = np.concatenate([ids, np.full(count * BLOCK - len(ids), ids[-1])]).astype(np.uint32).reshape(count, BLOCK)
     least = rows.min(1)
     rest = rows - least[:, None]
-    bits = np.frexp(rest.astype(np.float64))[1].astype(np.uint8)  # of the binary form of each difference
+    # Binary digits of each difference; those of up to sixteen are looked up.
+    bits = _DIGITS[rest] if rest.max() < len(_DIGITS) else np.frexp(rest.astype(np.float64))[1].astype(np.uint8)
     fits = -(-PERCENT * BLOCK // 100) - 1
     width = np.partition(bits, fits, 1)[:, fits].astype(np.int64)
     beyond = bits > width[:, None]
@@ -168,7 +172,7 @@ class TokenFile:
 #: Lower-casing in Latin-1, and the pre-tokens of lower-cased text of ASCII and Latin-1 letters.
 _LOWER = bytes(b + 32 if 65 <= b <= 90 or 0xC0 <= b <= 0xDE and b != 0xD7 else b for b in range(256))
 _PLAIN = bytes([*range(0x80), *range(0xC0, 0x100)])
-_UNITS = rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+"
+_UNITS = rb"[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-z0-9\xdf-\xf6\xf8-\xff]+"
 
 
 class WordEncoder:
