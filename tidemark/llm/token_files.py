@@ -44,7 +44,7 @@ FILE_IDS = 2_000_000
 #: Id of the mark that ends a document.
 END = 1
 #: Encoded words remembered per Python process, and the longest of them in bytes.
-REMEMBERED_WORDS, _LONGEST = 600_000, 64
+REMEMBERED_WORDS, _LONGEST = 1_000_000, 64
 _HEAD, _PART, _ROWS = 6, 4_000_000, 1_000
 _FOOTER, _FOOTER_BYTES = "<5Q3I4x8s", 64
 #: Files whose ids are summed by one task for the starts of the documents.
