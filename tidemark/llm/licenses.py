@@ -1,23 +1,25 @@
 """License detection by ordered signature rules.
 
-Rules are regular expressions over the lower-case words of a text joined by single
-spaces.  They are generated from a table of license families and a list of phrasings,
-each with its priority and weight; explicit identifiers come first, bare mentions last.
-A text is scanned only if it has a keyword, and by a rule only if it has the rule's own.
-Detections are intervals of words.  In order of priority, then length, a detection is
-suppressed if an interval of another label already kept contains it.
+Rules are hand-written regular expressions over the lower-case words of a text joined by
+single spaces (`license_signatures`), each with a tier: identifiers come first, bare
+mentions and hints last.  A block of rules is tried only on texts with one of its keywords.
+Detections are intervals of words; one is suppressed if an interval of its own or an
+earlier tier contains it (of equal ones the first label by name stays).  Finding and
+suppressing take time in proportion to the text, but for sorting the detections.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import keyed_text, once
+from tidemark.llm.license_signatures import FRAGMENTS, SIGNATURES, TIERS
 
 #: The base phrases and their labels.
 BASE_PHRASES = (
@@ -26,130 +28,77 @@ BASE_PHRASES = (
     ("cc by nc", "cc-by-nc"),
 )
 
-#: label: (names, as regular expressions over words; keyword every match of the family contains).
-FAMILIES = {
-    "mit": (r"mit|expat", ("mit", "expat")),
-    "apache-2": (r"apache(?: software)?(?: license)?(?: version)?(?: v)? ?2(?: 0)?", ("apache",)),
-    "apache-1": (r"apache(?: software)?(?: license)?(?: version)?(?: v)? ?1 [01]", ("apache",)),
-    "gpl-2": (r"(?:gnu )?(?:general public license|gpl)(?: version)? ?v?2(?: 0)?", ("gpl", "general public")),
-    "gpl-3": (r"(?:gnu )?(?:general public license|gpl)(?: version)? ?v?3(?: 0)?", ("gpl", "general public")),
-    "lgpl-2.1": (r"(?:gnu )?(?:lesser general public license|library general public license|lgpl)(?: version)? ?v?2 1", ("lgpl", "general public")),
-    "lgpl-3": (r"(?:gnu )?(?:lesser general public license|lgpl)(?: version)? ?v?3(?: 0)?", ("lgpl", "general public")),
-    "agpl-3": (r"(?:gnu )?(?:affero general public license|agpl)(?: version)? ?v?3(?: 0)?", ("agpl", "affero")),
-    "bsd-2": (r"(?:bsd 2(?: clause)?|2 clause bsd|simplified bsd|freebsd)", ("bsd",)),
-    "bsd-3": (r"(?:bsd 3(?: clause)?|3 clause bsd|new bsd|modified bsd|revised bsd)", ("bsd",)),
-    "bsd-4": (r"(?:bsd 4(?: clause)?|4 clause bsd|original bsd)", ("bsd",)),
-    "isc": (r"isc", ("isc",)),
-    "mpl-1.1": (r"(?:mozilla public license|mpl)(?: version)? ?1 1", ("mozilla", "mpl")),
-    "mpl-2": (r"(?:mozilla public license|mpl)(?: version)? ?2(?: 0)?", ("mozilla", "mpl")),
-    "epl-1": (r"(?:eclipse public license|epl)(?: version)?(?: v)? ?1(?: 0)?", ("eclipse", "epl")),
-    "epl-2": (r"(?:eclipse public license|epl)(?: version)?(?: v)? ?2(?: 0)?", ("eclipse", "epl")),
-    "cddl-1": (r"(?:common development and distribution license|cddl)(?: version)? ?1(?: 0)?", ("cddl", "common development")),
-    "eupl-1.2": (r"(?:european union public licence|eupl)(?: version)?(?: v)? ?1 2", ("eupl", "european union")),
-    "artistic-2": (r"artistic(?: license)?(?: version)? ?2(?: 0)?", ("artistic",)),
-    "zlib": (r"zlib", ("zlib",)),
-    "boost-1": (r"(?:boost software|bsl)(?: license)?(?: version)? ?1(?: 0)?", ("boost", "bsl")),
-    "unlicense": (r"unlicense", ("unlicense",)),
-    "wtfpl": (r"(?:wtfpl|do what the fuck you want to public license)", ("wtfpl", "do what the")),
-    "ofl-1.1": (r"(?:sil open font|ofl)(?: license)?(?: version)? ?1 1", ("ofl", "open font")),
-    "odbl": (r"(?:open database license|odbl)", ("odbl", "open database")),
-    "ms-pl": (r"(?:microsoft public license|ms pl)", ("microsoft public", "ms pl")),
-    "python-2": (r"(?:python software foundation license|psf(?: license)?)(?: version)? ?2", ("python", "psf")),
-    "postgresql": (r"postgresql", ("postgresql",)),
-    "cc0": (r"(?:cc0(?: 1 0)?|creative commons zero)", ("cc0", "creative commons")),
-    "cc-by": (r"(?:cc by|creative commons attribution)(?: [1-4] 0)?", ("cc by", "creative commons")),
-    "cc-by-sa": (r"(?:cc by sa|creative commons attribution share ?alike)(?: [1-4] 0)?", ("cc by", "creative commons")),
-    "cc-by-nd": (r"(?:cc by nd|creative commons attribution no ?deriv(?:ative)?s)(?: [1-4] 0)?", ("cc by", "creative commons")),
-    "cc-by-nc": (r"(?:cc by nc|creative commons attribution non ?commercial)(?: [1-4] 0)?", ("cc by", "creative commons")),
-    "cc-by-nc-sa": (r"(?:cc by nc sa|creative commons attribution non ?commercial share ?alike)(?: [1-4] 0)?", ("cc by", "creative commons")),
-    "cc-by-nc-nd": (r"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s)(?: [1-4] 0)?", ("cc by", "creative commons")),
-    "proprietary": (r"(?:proprietary|commercial)", ("proprietary", "commercial")),
-}
-
-#: (priority, weight, phrasing); {} stands for the family's names.  Lower priorities come first.
-PHRASINGS = (
-    (0, 1.0, r"spdx license identifier {}"),
-    (1, 0.95, r"(?:is |are )?(?:licensed|released|distributed|available|made available|published|provided) under (?:the )?(?:terms of (?:the )?)?{}(?: license| licence)?"),
-    (1, 0.95, r"(?:under|subject to) (?:the )?(?:terms|conditions)(?: and conditions)? of (?:the )?{}(?: license| licence)?"),
-    (2, 0.9, r"licen[sc]e {}"),
-    (2, 0.9, r"under (?:the )?{} licen[sc]e"),
-    (3, 0.8, r"(?:see|read) (?:the )?{} licen[sc]e"),
-    (3, 0.8, r"permission is granted under (?:the )?{}"),
-    (4, 0.7, r"{} licen[sc]ed"),
-    (4, 0.7, r"(?:the )?{} licen[sc]e"),
-)
-#: Names that are plain words elsewhere: a bare mention says nothing.
-_ORDINARY = {"mit", "isc", "zlib", "artistic-2", "postgresql", "proprietary", "python-2", "unlicense"}
-#: (label, priority, weight, pattern, keywords): sentences of license texts.
-TEXTS = (
-    ("mit", 1, 0.95, r"permission is hereby granted free of charge to any person obtaining a copy", ("hereby granted",)),
-    ("isc", 1, 0.95, r"permission to use copy modify and or distribute this software for any purpose", ("permission to use",)),
-    ("bsd-3", 1, 0.9, r"neither the name of .{1,80}? nor the names of its contributors", ("neither the name",)),
-    ("bsd-2", 2, 0.7, r"redistribution and use in source and binary forms with or without modification", ("redistribution and use",)),
-    ("unlicense", 1, 0.95, r"this is free and unencumbered software released into the public domain", ("unencumbered",)),
-    ("zlib", 1, 0.9, r"this software is provided as is without any express or implied warranty in no event", ("without any express",)),
-    ("apache-2", 1, 0.95, r"www apache org licenses license 2 0", ("apache org",)),
-    ("gpl-3", 2, 0.8, r"www gnu org licenses gpl 3 0", ("gnu org",)),
-    ("public-domain", 3, 0.7, r"(?:released into|dedicated to|in) the public domain", ("public domain",)),
-    ("all-rights-reserved", 5, 0.5, r"all rights reserved", ("rights reserved",)),
-)
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
 @dataclass(frozen=True)
 class Signature:
     label: str
-    priority: int
+    tier: int
     weight: float
     pattern: re.Pattern[str]
-    keywords: tuple[str, ...]
+    keywords: frozenset[str]
 
 
 def signatures() -> list[Signature]:
-    """All rules, by priority."""
-    whole = lambda body: re.compile(rf"(?<![^ ]){body}(?![^ ])")
-    rules = [Signature(label, priority, weight, whole(body), keys) for label, priority, weight, body, keys in TEXTS]
-    for label, (names, keys) in FAMILIES.items():
-        rules += [Signature(label, p, w, whole(phrase.replace("{}", f"(?:{names})")), keys) for p, w, phrase in PHRASINGS]
-        if label not in _ORDINARY:
-            rules.append(Signature(label, 6, 0.5, whole(f"(?:{names})"), keys))
-    return sorted(rules, key=lambda r: r.priority)
+    """All rules, by tier."""
+    fragment = re.compile(r"\{([a-z]+)\}")
+    rules, label, keywords = [], "", frozenset()
+    for line in SIGNATURES.strip().splitlines():
+        if line.startswith("="):
+            label, words = line[1:].strip().split(" : ")
+            keywords = frozenset(words.split())
+        else:
+            tier, body = line.split(" ", 1)
+            body = fragment.sub(lambda m: FRAGMENTS[m[1]], body)
+            rules.append(Signature(label, int(tier), TIERS[int(tier)], re.compile(rf"(?<![^ ])(?:{body})(?![^ ])"), keywords))
+    return sorted(rules, key=lambda r: r.tier)
+
+
+def word_numbers(joined: str) -> Callable[[int], int]:
+    """The number of the word at, or ending at, a place of words joined by spaces."""
+    gaps = [m.start() for m in re.finditer(" ", joined)]
+    return lambda place: bisect_left(gaps, place)
 
 
 class Scanner:
     def __init__(self):
         self.rules = signatures()
-        self.keywords = sorted({k for r in self.rules for k in r.keywords})
-        self.gate = re.compile("|".join(map(re.escape, [*self.keywords, *(p for p, _ in BASE_PHRASES)])))
+        self.keywords = frozenset().union(*(r.keywords for r in self.rules))
         self.base = [(re.compile(rf"(?<![^ ]){phrase}(?![^ ])"), label) for phrase, label in BASE_PHRASES]
 
-    def detections(self, joined: str) -> list[tuple[int, int, str, float]]:
+    def detections(self, joined: str, words: Sequence[str] | None = None) -> list[tuple[int, int, str, float]]:
         """(first word, end word, label, weight) kept after suppression, of words joined by spaces."""
-        word = lambda at: joined.count(" ", 0, at)
+        present = self.keywords.intersection(joined.split(" ") if words is None else words)
         found = []
-        present = {k for k in self.keywords if k in joined}
         for rule in self.rules:
             if not present.isdisjoint(rule.keywords):
-                for m in rule.pattern.finditer(joined):
-                    found.append((rule.priority, m.start() - m.end(), m.start(), m.end(), rule.label, rule.weight))
-        kept: list[tuple[int, int, str, float]] = []
-        for _, _, start, end, label, weight in sorted(found):
-            if not any(a <= start and end <= b for a, b, _, _ in kept):
-                kept.append((start, end, label, weight))
-        return sorted((word(a), word(a) + joined.count(" ", a, b) + 1, label, weight) for a, b, label, weight in kept)
+                found += [(m.start(), -m.end(), rule.tier, rule.label, rule.weight) for m in rule.pattern.finditer(joined)]
+        # Containment is transitive, so an interval goes exactly if one of its own or an earlier
+        # tier that starts no later ends no earlier: one sweep that keeps the furthest end of each tier.
+        furthest, kept = dict.fromkeys(TIERS, -1), []
+        for start, end, tier, label, weight in sorted(found):
+            if max(furthest[t] for t in TIERS if t <= tier) < -end:
+                kept.append((start, -end, label, weight))
+            furthest[tier] = max(furthest[tier], -end)
+        word = word_numbers(joined) if kept else None
+        return [(word(a), word(b) + 1, label, weight) for a, b, label, weight in kept]
 
     def scan(self, text: str) -> dict:
         words = _WORD.findall(text.encode().lower())
         out = {"n_words": len(words), "n_base": 0, "first_word": None, "last_word": None, "base_labels": "", "labels": "", "score": 0.0, "detections": ""}
-        joined = b" ".join(words).decode()
-        if not self.gate.search(joined):
+        words = [w.decode() for w in words]
+        # Every base phrase holds a keyword as a word.
+        if self.keywords.isdisjoint(words):
             return out
+        joined = " ".join(words)
+        number = word_numbers(joined)
         places, base = [], set()
         for pattern, label in self.base:
             starts = [m.start() for m in pattern.finditer(joined)]
-            places += [joined.count(" ", 0, s) for s in starts]
+            places += [number(s) for s in starts]
             base |= {label} if starts else set()
-        found = self.detections(joined)
+        found = self.detections(joined, words)
         unsure = 0.0 if base else 1.0
         for _, _, _, weight in found:
             unsure *= 1 - weight
