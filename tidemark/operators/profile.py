@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -85,12 +86,26 @@ def unpivot_row(one: DataFrame, name: str = "metric", value: str = "value") -> D
     return one.select(F.inline(F.array(*cells)))
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (column_name, n, nulls): distinct values, and 1 where NULL occurs.
+
+    Several distinct counts in one aggregate, or in scalar subqueries (which Spark merges into
+    one), copy every row once per column.  As branches of a union each column is read alone,
+    combined map-side and spread by value.
+    """
+    absent = lambda c: F.coalesce(F.max(F.col(c).isNull().cast("bigint")), F.lit(0)).alias("nulls")
+    alone = [df.agg(F.count_distinct(c).alias("n"), absent(c)).select(F.lit(c).alias("column_name"), "n", "nulls") for c in columns]
+    return reduce(DataFrame.unionAll, alone)
+
+
 def dataset_card(df: DataFrame) -> DataFrame:
+    distinct = {
+        "unique_restaurants": "camis",
+        "unique_cutoff_inspections": "cutoff_inspection_id",
+        "unique_target_inspections": "target_inspection_id",
+    }
     one = df.agg(
         count_rows().alias("prediction_examples"),
-        F.count_distinct("camis").alias("unique_restaurants"),
-        F.count_distinct("cutoff_inspection_id").alias("unique_cutoff_inspections"),
-        F.count_distinct("target_inspection_id").alias("unique_target_inspections"),
         F.min("cutoff_date").alias("earliest_cutoff_date"),
         F.max("cutoff_date").alias("latest_cutoff_date"),
         F.min("target_inspection_date").alias("earliest_target_date"),
@@ -99,7 +114,9 @@ def dataset_card(df: DataFrame) -> DataFrame:
         F.concat(F.format_string("%.2f", 100 * F.avg(TARGET)), F.lit("%")).alias("high_severity_prevalence"),
         F.median("days_to_target").cast("bigint").alias("median_days_to_target"),
     )
-    return unpivot_row(one)
+    label = F.create_map(*[F.lit(x) for name, c in distinct.items() for x in (c, name)])
+    ids = distinct_counts(df, list(distinct.values())).select(label[F.col("column_name")].alias("metric"), F.col("n").cast("string").alias("value"))
+    return unpivot_row(one).unionAll(ids)
 
 
 def validity_counts(df: DataFrame) -> DataFrame:
@@ -242,11 +259,7 @@ def value_counts(df: DataFrame, column: str, limit: int = 15) -> DataFrame:
 
 def cardinality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct values per column, NULL counted as one."""
-    one = df.agg(
-        *[(F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).cast("bigint").alias(c) for c in columns]
-    )
-    cells = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("unique_values")) for c in columns]
-    return one.select(F.inline(F.array(*cells)))
+    return distinct_counts(df, columns).select("column_name", (F.col("n") + F.col("nulls")).alias("unique_values"))
 
 
 # --- batch monitoring ----------------------------------------------------------
