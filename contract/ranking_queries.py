@@ -402,7 +402,7 @@ _POINTS = (0.01, 0.05, 0.10, 0.25, 0.50, 0.75, 0.90, 0.95, 0.99)
     ),
 )
 def _(s):
-    from tidemark.operators.prefix import exact_quantiles
+    from tidemark.operators.selection import exact_quantiles
 
     return exact_quantiles(scored(s), [FITTED], _POINTS)
 

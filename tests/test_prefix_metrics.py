@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import metrics, ranking
 from tidemark.operators.baselines import smoothed_risk
-from tidemark.operators.prefix import exact_quantiles, global_rank
+from tidemark.operators.prefix import global_rank
+from tidemark.operators.selection import exact_quantiles
 
 
 def frame(spark, n=400, seed=1, hot=0.4):

@@ -1,4 +1,4 @@
-"""Running totals, exact quantiles and global ranks without a one-task window.
+"""Running totals and global ranks without a one-task window.
 
 A window ordered over the whole table would pull every row into one task.  Here
 rows are range-partitioned along the ordered axis, each partition is summed on its
@@ -9,7 +9,6 @@ the same size for any number of partitions.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,69 +54,6 @@ def running_totals(
     return joined.drop("_offset_slice", *[f"_before_{t}" for t in totals], *[f"_by_{b}" for b in by])
 
 
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    by: Sequence[str] = (),
-) -> DataFrame:
-    """Exact, linearly interpolated quantiles: rows (by, column_name, probability, value).
-
-    Values collapse to counts per distinct value map-side; running counts then
-    locate the two neighbours of every position.  NULL and NaN are left out.
-    """
-    melted = df.select(
-        *by,
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value"))
-                    for c in columns
-                ]
-            )
-        ).alias("_cell"),
-    ).select(*by, "_cell.column_name", "_cell.value")
-    counted = melted.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy(*by, "column_name", "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    keys = [*by, "column_name"]
-    placed = running_totals(counted, "value", ["n"], keys, descending=False)
-    # Positions are first located among the slices (few rows per key); only then do
-    # they meet the values, keyed by slice, so no key gathers all its values in a task.
-    spans = placed.groupBy(*keys, "_slice").agg(
-        F.min(F.col("cum_n") - F.col("n")).alias("_from"), F.max("cum_n").alias("_to")
-    )
-    points = spans.groupBy(*keys).agg(F.max("_to").alias("_total")).withColumn(
-        "probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-    )
-    position = (F.col("_total") - 1) * F.col("probability")
-    points = points.withColumns(
-        {"_lo": F.floor(position), "_hi": F.ceil(position), "_part": position - F.floor(position)}
-    ).withColumnsRenamed({k: f"_p_{k}" for k in keys})
-
-    def inside(name: str, start: Column, end: Column) -> Column:
-        return (F.col(name) >= start) & (F.col(name) < end)
-
-    def same(prefix: str) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
-
-    span = (F.col("_from"), F.col("_to"))
-    located = (
-        spans.join(points, same("_p_"))
-        .where(inside("_lo", *span) | inside("_hi", *span))
-        .select(*[F.col(k).alias(f"_l_{k}") for k in keys], F.col("_slice").alias("_l_slice"), "probability", "_lo", "_hi", "_part")
-    )
-    here = (F.col("cum_n") - F.col("n"), F.col("cum_n"))
-    hits = placed.join(located, same("_l_") & (F.col("_slice") == F.col("_l_slice")))
-    lower = F.max(F.when(inside("_lo", *here), F.col("value")))
-    upper = F.max(F.when(inside("_hi", *here), F.col("value")))
-    return (
-        hits.where(inside("_lo", *here) | inside("_hi", *here))
-        .groupBy(*keys, "probability")
-        .agg((lower + (upper - lower) * F.max("_part")).alias("value"))
-    )
-
-
 def global_rank(df: DataFrame, *order: Column, rank: str = "priority_rank") -> DataFrame:
     """1..n along a total order of the whole table.
 

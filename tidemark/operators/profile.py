@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import bin_label, year_quarter
-from tidemark.operators.prefix import exact_quantiles
+from tidemark.operators.selection import exact_quantiles
 from tidemark.operators.splits import TARGET
 
 INF = float("inf")
