@@ -29,7 +29,7 @@ def test_passages_with_substitutions_are_found(spark, documents, clashing):
     rows += [(64, " ".join(items[5][4:])), (10, rows[0][1])] + [(70 + k, t) for k, t in enumerate(EDGE)]
     frame = clashing(documents(rows))
     found = decontamination.contaminated_pairs(frame, benchmark).collect()
-    want = {(10 + k, k) for k in range(6)} | {(20 + k, k) for k in range(6)} | {(61, 1), (64, 5)}
+    want = {(10 + k, k) for k in range(6)} | {(20 + k, k) for k in range(6)} | {(61, 1), (63, 6), (64, 5)}
     assert {(r.doc_id, r.item_id) for r in found} == want and len(found) == len(want)
     exact = next(r for r in found if r.doc_id == 10)
     assert (exact.similarity, exact.start, exact.matched_words) == (1.0, 40, 25)
@@ -74,6 +74,31 @@ def test_short_items_with_substitutions_are_found(spark, documents):
     assert sorted((r.doc_id, r.item_id) for r in found) == sorted((i, i % 100) for i, _ in rows)
 
 
+def test_items_below_the_span_of_a_mask_count_where_all_their_words_agree(spark, documents):
+    """Every length from one word on, next to longer items; the pairs are those of the SQL, which knows no seeds."""
+    import duckdb
+
+    from tidemark.llm.queries import DECONTAMINATION_SQL
+
+    items = {n: words(700 + n, n, 10_000) for n in (1, 2, 3, 5, 7, 8, 11, 30)}
+    rows = [(n, embedded(w, 800 + n)) for n, w in items.items()]
+    rows += [(100 + n, " ".join(w)) for n, w in items.items()]
+    rows += [(200 + n, " ".join([*w[:-1], "other"])) for n, w in items.items() if n > 1]
+    rows += [(300 + n, " ".join(w[:-1])) for n, w in items.items() if n < 8] + [(400, f"{items[1][0]}, " * 50), (401, None), (402, " .")]
+    table = [(n, " ".join(w)) for n, w in items.items()] + [(50, None), (51, "?!")]
+    found = decontamination.contaminated_pairs(documents(rows), spark.createDataFrame(table, "item_id bigint, text string")).collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", table)
+    columns = "doc_id, item_id, item_words, matched_words, similarity, start"
+    assert sorted(tuple(r[c] for c in columns.split(", ")) for r in found) == sorted(con.execute(f"SELECT {columns} FROM ({DECONTAMINATION_SQL})").fetchall())
+    pairs = {(r.doc_id, r.item_id) for r in found}
+    whole = {(k + n, n) for k in (0, 100) for n in items} | {(400, 1)} | {(200 + n, n) for n in (8, 11, 30)}
+    assert pairs == whole
+
+
 def test_seeds_are_broadcast_without_the_words_of_their_item(spark, documents):
     benchmark = spark.createDataFrame([(1, " ".join(words(7, 30)))], "item_id bigint, text string")
     pairs = decontamination.contaminated_pairs(documents([(1, " ".join(words(7, 30)))]), benchmark)

@@ -2,7 +2,8 @@
 
 A mask looks at five of eight neighbouring words and ignores the others, so a seed is
 unchanged by a substituted word at an ignored place.  Where items are so short that the
-allowed substitutions can touch every seed, shorter masks look besides.  Every position of every document
+allowed substitutions can touch every seed, shorter masks look besides; an item of fewer
+words than a mask spans is looked up by the hash of all its words.  Every position of every document
 is hashed under every mask and looked up among the seeds of the benchmark items.  A hit
 fixes how the item lies on the document; the whole item is then compared word by word
 along that line, and the pair is reported if enough words agree.
@@ -17,6 +18,7 @@ hit, before anything is shuffled.
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,29 +47,53 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", -1), lambda w: w != "")
 
 
-def _seeds(hashes: Column, masks: tuple, span: int, first: int) -> Column:
-    """Seeds under each mask, all positions of one after those of the other; the masks' numbers start at `first`."""
-    last = F.size(hashes) - span
+class _Masks(NamedTuple):
+    """Masks of one span, numbered from `first`; of the items they take those for which `items` holds."""
+
+    masks: tuple
+    span: int
+    first: int
+    items: Column
+
+
+def _mask_groups(sizes: list[int]) -> list[_Masks]:
+    """The masks that items of these sizes call for; items below SPAN words have one mask, of all their words."""
+    size = F.size("words")
+    groups = [_Masks(MASKS, SPAN, 0, size >= SPAN)]
+    if any(n in SHORT_LENGTHS for n in sizes):
+        groups.append(_Masks(SHORT_MASKS, SHORT_SPAN, len(MASKS), size.isin(*SHORT_LENGTHS)))
+    whole = len(MASKS) + len(SHORT_MASKS)
+    return groups + [_Masks((tuple(range(n)),), n, whole + n, size == n) for n in sizes if n < SPAN]
+
+
+def _seeds(hashes: Column, group: _Masks) -> Column:
+    """Seeds under each mask, all positions of one after those of the other."""
+    last = F.size(hashes) - group.span
     under = lambda number, mask: F.transform(
         F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.lit(number), *[F.get(hashes, i + place) for place in mask])
     )
-    return F.when(last >= 0, F.concat(*[under(first + number, mask) for number, mask in enumerate(masks)]))
+    return F.when(last >= 0, F.concat(*[under(group.first + number, mask) for number, mask in enumerate(group.masks)]))
 
 
-def _seeded(rows: DataFrame, short: Column | None = None) -> DataFrame:
-    """Rows with `words`, one per seed: adds `seed` and `at`, the position of its first word; also by SHORT_MASKS where `short` holds."""
+def _seeded(rows: DataFrame, groups: list[_Masks], items: bool = False) -> DataFrame:
+    """Rows with `words`, one per seed: adds `seed` and `at`, the position of its first word; of items by their own masks only."""
     hashed = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    seeds = _seeds(F.col("hashes"), MASKS, SPAN, 0)
-    if short is not None:
-        none = F.array().cast("array<bigint>")
-        more = F.when(short, _seeds(F.col("hashes"), SHORT_MASKS, SHORT_SPAN, len(MASKS)))
-        seeds = F.concat(F.coalesce(seeds, none), F.coalesce(more, none))
-    lists = hashed.select(*rows.columns, seeds.alias("seeds"))
-    places = F.greatest(F.size("words") - SPAN + 1, F.lit(0))
-    long = places * len(MASKS)
-    at = F.when(F.col("number") < long, F.col("number") % places).otherwise((F.col("number") - long) % F.greatest(F.size("words") - SHORT_SPAN + 1, F.lit(1)))
+    none = F.array().cast("array<bigint>")
+    lists, at, before = [], F.lit(None), F.lit(0)
+    for group in groups:
+        seeds = _seeds(F.col("hashes"), group)
+        places = F.greatest(F.size("words") - group.span + 1, F.lit(0))
+        if items:
+            seeds, places = F.when(group.items, seeds), F.when(group.items, places).otherwise(0)
+        lists.append(F.coalesce(seeds, none))
+        number = F.col("number") - before
+        # Of the groups a number lies beyond the beginning of, the last one with any place holds it.
+        at = F.when((number >= 0) & (places > 0), number % F.greatest(places, F.lit(1))).otherwise(at)
+        before = before + places * len(group.masks)
+    seeds = F.concat(*lists) if len(lists) > 1 else lists[0]
     # The outer form: for the inner one the optimizer adds a filter on `seeds` and computes them twice.
-    return lists.select(*rows.columns, F.posexplode_outer("seeds").alias("number", "seed")).select(*rows.columns, "seed", at.alias("at"))
+    found = hashed.select(*rows.columns, seeds.alias("seeds")).select(*rows.columns, F.posexplode_outer("seeds").alias("number", "seed"))
+    return found.select(*rows.columns, "seed", at.cast("int").alias("at"))
 
 
 def _stretch(agrees: Column) -> Column:
@@ -81,12 +107,11 @@ def _stretch(agrees: Column) -> Column:
     return F.aggregate(agrees, start, step, lambda a: a["best"])
 
 
-def _in_block(docs: DataFrame, items: DataFrame, short: bool) -> DataFrame:
+def _in_block(docs: DataFrame, items: DataFrame, groups: list[_Masks]) -> DataFrame:
     """Verified pairs of docs (doc_id, digest, words) and items (item_id, key, words), with one row or more each."""
-    brief = F.size("words").isin(*SHORT_LENGTHS) if short else None
-    seeds = _seeded(items.select("key", "words"), brief).select("seed", "key", F.col("at").alias("item_at"))
+    seeds = _seeded(items.select("key", "words"), groups, items=True).select("seed", "key", F.col("at").alias("item_at"))
     whole = items.select("key", "item_id", F.col("words").alias("item"))
-    hits = _seeded(docs, F.lit(True) if short else None).join(F.broadcast(seeds), "seed").join(F.broadcast(whole), "key")
+    hits = _seeded(docs, groups).join(F.broadcast(seeds), "seed").join(F.broadcast(whole), "key")
     line = F.col("at") - F.col("item_at")
     # Only the words under the item go on; the lambda below names them twice, so the slice is not computed within it.
     cut = F.slice("words", F.greatest(line, F.lit(0)) + 1, F.size("item") + F.least(line, F.lit(0)))
@@ -102,7 +127,8 @@ def _in_block(docs: DataFrame, items: DataFrame, short: bool) -> DataFrame:
         F.size(F.filter("agrees", lambda ok: ok)).alias("matched_words"),
         _stretch(F.col("agrees")).alias("stretch"),
     )
-    enough = (F.col("matched_words") >= LEAST_SHARE * F.col("item_words")) | (F.col("stretch") >= LEAST_STRETCH)
+    share = F.when(F.col("item_words") < SPAN, 1.0).otherwise(LEAST_SHARE)
+    enough = (F.col("matched_words") >= share * F.col("item_words")) | (F.col("stretch") >= LEAST_STRETCH)
     return where_late(scored, enough)
 
 
@@ -111,13 +137,15 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select(
         "doc_id", F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("digest"), tokens(F.coalesce(docs["text"], F.lit(""))).alias("words")
     )
-    items = benchmark.select("item_id", tokens(F.coalesce(benchmark["text"], F.lit(""))).alias("words")).where(F.size("words") >= SPAN)
+    items = benchmark.select("item_id", tokens(F.coalesce(benchmark["text"], F.lit(""))).alias("words")).where(F.size("words") > 0)
     items = items.distinct().withColumn("key", F.xxhash64("item_id", "words"))
     load = F.aggregate("words", F.lit(0).cast("bigint"), lambda a, w: a + F.ceil(F.octet_length(w) / _WORD_BYTES))
-    total, short = items.agg(F.sum(load), F.max(F.size("words").isin(*SHORT_LENGTHS))).first()
+    # Sizes that call for masks of their own: there are only so many of them.
+    listed = F.when(F.size("words").isin(*range(1, SPAN), *SHORT_LENGTHS), F.size("words"))
+    total, sizes = items.agg(F.sum(load), F.array_sort(F.collect_set(listed))).first()
     blocks = -(-(total or 0) // SEED_WORDS) or 1
     block = F.pmod("key", F.lit(blocks))
-    found = reduce(DataFrame.unionAll, [_in_block(rows, items.where(block == k) if blocks > 1 else items, bool(short)) for k in range(blocks)])
+    found = reduce(DataFrame.unionAll, [_in_block(rows, items.where(block == k) if blocks > 1 else items, _mask_groups(sizes)) for k in range(blocks)])
     best = F.max(F.struct("matched_words", "stretch", (-F.col("start")).alias("back"), "item_words")).alias("best")
     return (
         found.groupBy("doc_id", "digest", "item_id").agg(best)
@@ -131,8 +159,8 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Words are compared in lower case without ASCII punctuation.  `start` is the word of the
     document under the item's first word (negative if the document begins within the
     item).  A pair counts if at least 0.8 of the item's words agree in place, or a
-    stretch of the item scores 13 at 1 per agreeing word and -4 per other.  Items of
-    fewer than 8 words fix no seed and are never reported; null and empty texts match
+    stretch of the item scores 13 at 1 per agreeing word and -4 per other.  An item of
+    fewer than 8 words counts only where all its words agree; null and empty texts match
     nothing; repeated rows of a document give one row; an empty table gives no rows.
     """
     best = F.max_by(F.struct("item_words", "matched_words", "start"), F.struct("matched_words", "digest")).alias("best")

@@ -74,10 +74,6 @@ def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TOKENS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
-_SEEDED = " OR ".join(
-    f"len(list_filter(places, lambda p: {' AND '.join(f'list_contains(places, p + {k})' for k in mask)} AND p + {decontamination.SPAN} <= item_words)) > 0"
-    for mask in decontamination.MASKS
-)
 #: Counts agreeing words on every line of every pair, without seeds or hashes in the join.
 DECONTAMINATION_SQL = f"""
 WITH d AS (
@@ -85,20 +81,20 @@ WITH d AS (
   FROM (SELECT DISTINCT doc_id, {_TOKENS} AS words FROM documents)
 ), i AS (
   SELECT item_id, len(words) AS item_words, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS at
-  FROM (SELECT item_id, {_TOKENS} AS words FROM benchmark) WHERE len(words) >= {decontamination.SPAN}
+  FROM (SELECT item_id, {_TOKENS} AS words FROM benchmark) WHERE len(words) > 0
 ), lines AS (
   SELECT doc_id, item_id, item_words, d.at - i.at AS start, list(i.at) AS places
-  FROM d JOIN i USING (word) GROUP BY ALL HAVING count(*) >= 5
+  FROM d JOIN i USING (word) GROUP BY ALL HAVING count(*) >= least(5, item_words)
 ), scored AS (
   SELECT *, len(places) AS matched_words,
     list_reduce(list_transform(range(item_words), lambda k: {{'here': if(list_contains(places, k), 1, -4), 'best': 0}}),
       lambda a, x: {{'here': greatest(0, a.here + x.here), 'best': greatest(a.best, a.here + x.here)}}, {{'here': 0, 'best': 0}}).best AS stretch
-  FROM lines WHERE {_SEEDED}
+  FROM lines
 )
 SELECT doc_id, item_id, CAST(arg_max(item_words, (matched_words, stretch, -start)) AS INT) AS item_words,
   CAST(max(matched_words) AS INT) AS matched_words, max(matched_words) / CAST(any_value(item_words) AS DOUBLE) AS similarity,
   CAST(arg_max(start, (matched_words, stretch, -start)) AS INT) AS start
-FROM scored WHERE matched_words >= {decontamination.LEAST_SHARE} * item_words OR stretch >= {decontamination.LEAST_STRETCH}
+FROM scored WHERE matched_words >= if(item_words < {decontamination.SPAN}, 1.0, {decontamination.LEAST_SHARE}) * item_words OR stretch >= {decontamination.LEAST_STRETCH}
 GROUP BY doc_id, item_id"""
 
 _SYMBOLS = " ".join(f"WHEN regexp_matches(core, '{pattern}') THEN '{symbols}'" for pattern, symbols in secret_scan.ENCODINGS)
