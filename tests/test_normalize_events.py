@@ -5,9 +5,10 @@ import pytest
 from helpers import AGAIN, INITIAL, raw_rows
 from pyspark.sql import functions as F
 
-from tidemark.operators.events import latest_entities, roll_up_events, violation_rows
+from tidemark.operators.events import distinct_violations, latest_entities, roll_up_events, roll_up_feed, violation_rows
 from tidemark.operators.normalize import dedup_audit, deduplicate, normalize_rows
 from tidemark.sources.raw_log import read_raw_csv
+from tidemark.sources.stage_store import StageStore
 
 
 def one(spark, **cells):
@@ -156,3 +157,35 @@ def test_a_quoted_line_break_goes_through_the_job(spark, tmp_path):
         assert len(whole) == 2 and f"{column}\n2" in [r[column] for r in whole]
         (folder / "feed.csv").write_text("\n".join([lines[0], lines[2], lines[0]]) + "\n")
         assert ingest(False)["raw_inspection"].count() == 2
+
+
+def shuffled(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_events_and_details_of_rows_with_copies_need_no_wide_shuffle(spark):
+    """Copies count once, NULLs and blanks stay apart, and the rows move once, without the columns no event needs."""
+    base = {"CAMIS": "1", "INSPECTION DATE": "6/7/2024", "INSPECTION TYPE": INITIAL, "VIOLATION CODE": "10F", "CRITICAL FLAG": "Critical", "SCORE": "12"}
+    rows = [base, base, dict(base, DBA="a"), dict(base, PHONE="a"), dict(base, Latitude="0"), dict(base, Latitude="-0.0"), dict(base, NTA="a|1:b")]
+    rows += [dict(base, NTA="a", Location="b"), dict(base, GRADE="A", SCORE="7"), dict(base, **{"VIOLATION CODE": ""}), dict(base, **{"INSPECTION TYPE": None})]
+    rows += [dict(base, **{"INSPECTION DATE": "01/01/1900"}), dict(base, CAMIS=None), {"CAMIS": "2", "INSPECTION DATE": "2024-06-07"}] * 2
+    typed = normalize_rows(raw_rows(spark, rows))
+    unique = deduplicate(typed)
+    events = roll_up_feed(typed)
+    assert sorted(map(str, events.collect())) == sorted(map(str, roll_up_events(unique).collect()))
+    details = violation_rows(distinct_violations(typed))
+    assert sorted(map(str, details.collect())) == sorted(map(str, violation_rows(unique).collect()))
+    events = roll_up_feed(typed)
+    assert shuffled(events) == 1
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert "_row" in plan and "restaurant_name" not in plan.split("RepartitionByExpression")[0]
+
+
+def test_stages_are_written_in_small_tasks(spark, tmp_path):
+    """Exchange partitions no longer follow the session's few; afterwards its settings are as before."""
+    names = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(n, None) for n in names]
+    store = StageStore(spark, str(tmp_path))
+    store.write("wide", spark.range(200_000).select("id", F.concat(*[F.sha2(F.concat(F.lit(str(k)), F.col("id")), 256) for k in range(16)]).alias("text")).repartition("id"))
+    assert len(list((tmp_path / "versions" / store.version / "wide").glob("*.parquet"))) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert [spark.conf.get(n, None) for n in names] == before
