@@ -193,3 +193,25 @@ def test_one_row_of_a_sampled_id_counts(spark, documents, monkeypatch):
     toxicity.fit(documents(docs), labels)
     assert seen["quality"] == 60
     assert 0 < seen["toxic"] <= 60
+
+
+def test_every_labelled_row_counts_in_several_shards(spark, documents, clashing, monkeypatch):
+    """A word whose rows all lie beyond a bounded sample is learnt; texts of any length take part."""
+    monkeypatch.setattr(toxicity, "train", None)
+    rows, labels = [], []
+    for k in range(900):
+        toxic = int(k % 3 == 0)
+        insult = ["grobnak", "vileth", "scumwort"][k // 3 % 3]
+        rows.append((k, " ".join(words(k, 40 if k % 50 else 8000) + [insult] * (4 * toxic))))
+        labels.append((k, 1, toxic))
+    known = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    docs = documents(rows)
+    model = toxicity.fit(clashing(docs), known, rows=60)
+    found = {r.doc_id: r for r in toxicity.scored(docs, model).collect()}
+    held = [k for k in range(900) if zlib.crc32(str(k).encode()) % 5 == 0]
+    assert sum(found[k].predicted == labels[k][2] for k in held) / len(held) >= 0.95
+    # What no row of the fit holds keeps its first embedding; a word of any row has moved.
+    leaning = [model.tables[0][toxicity._BUCKETS[0](toxicity.word_hashes(w))[0], 0] for w in ("grobnak", "vileth", "scumwort")]
+    assert min(leaning) > 0.2
+    one_class = known.withColumn("toxic", F.lit(1))
+    assert toxicity.fit(docs, one_class, rows=60).weights.any() == False  # noqa: E712

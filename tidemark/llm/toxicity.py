@@ -26,12 +26,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed_text
+from tidemark.llm.common import keyed_text, pinned
 
-#: The fit reads at most so many labelled rows of each class, those with the smallest hash of
-#: their text, and only texts of at most so many characters.
+#: Labelled rows are dealt into shards of about twice so many, by the hash of their id; every row is in one.
 FIT_ROWS = 2_000
-FIT_CHARACTERS = 20_000
+#: A single shard is trained on the driver if its word hashes have at most so many bytes.
+DRIVER_BYTES = 64_000_000
 FOLDS = 5
 #: Of the training rows, this fold calibrates the thresholds.
 CALIBRATION_FOLD = 1
@@ -39,6 +39,10 @@ CALIBRATION_FOLD = 1
 _BITS, _DIM, _FILTERS, _WIDTHS, _TOP, _STEM = 17, 8, 16, (1, 2, 3), 3, 6
 _ROWS = 1 << _BITS
 _EPOCHS, _BATCH, _RATE, _DECAY = 6, 32, 0.01, 1e-5
+#: Passes over the rows where several shards train side by side.
+_ROUNDS = 3
+#: Logits of held-back rows are counted to this part of one.
+_LOGIT_PART = 1024
 _SEGMENT = 16_384
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -139,25 +143,68 @@ def _leaning(texts: list[np.ndarray], toxic: np.ndarray, bucket) -> np.ndarray:
     for hashes, y in zip(texts, toxic):
         counts[int(y), np.unique(bucket(hashes))] += 1
     n = np.array([(toxic == 0).sum(), (toxic == 1).sum()])
+    return _z_scores(counts, n)
+
+
+def _z_scores(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
     pooled = np.clip(counts.sum(axis=0) / n.sum(), 1e-9, 1 - 1e-9)
     z = (counts[1] / n[1] - counts[0] / n[0]) / np.sqrt(pooled * (1 - pooled) * (1 / n[0] + 1 / n[1]))
     return np.clip(z / 5, -1, 3)
 
 
-def train(texts: list[np.ndarray], toxic: np.ndarray, held: np.ndarray, seed: int = 7) -> Model:
-    """Fit on the rows that are not `held`, calibrate on those that are.
-
-    Without both classes the model knows nothing: its score is the share of label 1.
-    """
-    rng = np.random.default_rng(seed)
+def _start(rng: np.random.Generator) -> Model:
     depth = len(_BUCKETS) * _DIM
-    model = Model(
+    return Model(
         [rng.normal(0, 0.02, (_ROWS, _DIM)).astype(np.float32) for _ in _BUCKETS],
         [rng.normal(0, 0.2, (w, depth, _FILTERS)).astype(np.float32) for w in _WIDTHS],
         [np.zeros(_FILTERS, np.float32) for _ in _WIDTHS],
         rng.normal(0, 0.1, (len(_WIDTHS), _TOP, _FILTERS)).astype(np.float32), 0.0,
         np.zeros(len(LANGUAGES)),
     )
+
+
+def _constant(model: Model, share: float) -> Model:
+    model.weights[:] = 0
+    model.bias = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
+    return model
+
+
+def _descend(model: Model, adam: _Adam, texts: list[np.ndarray], toxic: np.ndarray, balance: np.ndarray) -> None:
+    """One step down the slope of a batch."""
+    dense = [*model.filters, *model.biases, model.weights]
+    slopes = [np.zeros(v.shape, np.float32) for v in dense]
+    bias_slope = 0.0
+    moved: list[tuple[np.ndarray, np.ndarray]] = []
+    for hashes, y, weight in zip(texts, toxic, balance):
+        features, places = model.pooled(hashes)
+        p = 1 / (1 + np.exp(-float((features * model.weights).sum() + model.bias)))
+        error = (p - y) * weight / len(texts)
+        bias_slope += error
+        slopes[-1] += error * features
+        for k, width in enumerate(_WIDTHS):
+            top, of = np.nonzero(places[k] >= 0)
+            gain = (error * model.weights[k])[top, of]
+            np.add.at(slopes[len(_WIDTHS) + k], of, gain)
+            for d in range(width):
+                at = places[k][top, of] + d
+                inside = at < len(hashes)
+                met, filters, gains = hashes[at[inside]], of[inside], gain[inside][:, None]
+                np.add.at(slopes[k][d].T, filters, model.embedded(met) * gains)
+                moved.append((met, gains * model.filters[k][d].T[filters]))
+    adam.step(dense, [s + _DECAY * v for s, v in zip(slopes, dense)])
+    model.bias -= _RATE * bias_slope
+    for met, slope in moved:
+        for number, (values, bucket) in enumerate(zip(model.tables, _BUCKETS)):
+            np.subtract.at(values, bucket(met), _RATE * slope[:, number * _DIM : (number + 1) * _DIM])
+
+
+def train(texts: list[np.ndarray], toxic: np.ndarray, held: np.ndarray, seed: int = 7) -> Model:
+    """Fit on the rows that are not `held`, calibrate on those that are.
+
+    Without both classes the model knows nothing: its score is the share of label 1.
+    """
+    rng = np.random.default_rng(seed)
+    model = _start(rng)
     # Some clean texts also give a short cut of themselves, so that a short text alone is no sign.
     cuts = []
     for i in np.flatnonzero(~held & (toxic == 0))[::10]:
@@ -168,67 +215,43 @@ def train(texts: list[np.ndarray], toxic: np.ndarray, held: np.ndarray, seed: in
     held = np.concatenate([held, np.zeros(len(cuts), bool)])
     fit = np.flatnonzero(~held)
     if len(set(toxic[fit].tolist())) < 2:
-        share = float(toxic.mean()) if len(toxic) else 0.0
-        model.weights[:] = 0
-        model.bias = float(np.log((share + 1e-3) / (1 - share + 1e-3)))
-        return model
+        return _constant(model, float(toxic.mean()) if len(toxic) else 0.0)
     for values, bucket in zip(model.tables, _BUCKETS):
         values[:, 0] = _leaning([texts[i] for i in fit], toxic[fit], bucket)
-    dense = [*model.filters, *model.biases, model.weights]
-    adam = _Adam([v.shape for v in dense])
+    adam = _Adam([v.shape for v in (*model.filters, *model.biases, model.weights)])
     balance = np.where(toxic == 1, 0.5 / max(1, (toxic[fit] == 1).sum()), 0.5 / max(1, (toxic[fit] == 0).sum())) * len(fit)
     for _ in range(_EPOCHS):
         for batch in np.array_split(rng.permutation(fit), max(1, len(fit) // _BATCH)):
-            slopes = [np.zeros(v.shape, np.float32) for v in dense]
-            bias_slope = 0.0
-            moved: list[tuple[np.ndarray, np.ndarray]] = []
-            for i in batch:
-                hashes = texts[i]
-                features, places = model.pooled(hashes)
-                p = 1 / (1 + np.exp(-float((features * model.weights).sum() + model.bias)))
-                error = (p - toxic[i]) * balance[i] / len(batch)
-                bias_slope += error
-                slopes[-1] += error * features
-                for k, width in enumerate(_WIDTHS):
-                    top, of = np.nonzero(places[k] >= 0)
-                    gain = (error * model.weights[k])[top, of]
-                    np.add.at(slopes[len(_WIDTHS) + k], of, gain)
-                    for d in range(width):
-                        at = places[k][top, of] + d
-                        inside = at < len(hashes)
-                        met, filters, gains = hashes[at[inside]], of[inside], gain[inside][:, None]
-                        np.add.at(slopes[k][d].T, filters, model.embedded(met) * gains)
-                        moved.append((met, gains * model.filters[k][d].T[filters]))
-            adam.step(dense, [s + _DECAY * v for s, v in zip(slopes, dense)])
-            model.bias -= _RATE * bias_slope
-            for met, slope in moved:
-                for number, (values, bucket) in enumerate(zip(model.tables, _BUCKETS)):
-                    np.subtract.at(values, bucket(met), _RATE * slope[:, number * _DIM : (number + 1) * _DIM])
-    _calibrate(model, [texts[i] for i in np.flatnonzero(held)], toxic[held])
+            _descend(model, adam, [texts[i] for i in batch], toxic[batch], balance[batch])
+    kept, table = [texts[i] for i in np.flatnonzero(held)], _language_table()
+    logits, languages = np.array([model.logit(t) for t in kept]), np.array([language_of(t, table) for t in kept], int)
+    _calibrate(model, logits, languages, toxic[held], np.ones(len(kept), int))
     return model
 
 
-def _calibrate(model: Model, texts: list[np.ndarray], toxic: np.ndarray) -> None:
+def _calibrate(model: Model, logits: np.ndarray, languages: np.ndarray, toxic: np.ndarray, counts: np.ndarray) -> None:
     """Per language the logit with the fewest errors on held-back rows, drawn towards that of all languages."""
     if len(set(toxic.tolist())) < 2:
         return
-    table = _language_table()
-    logits = np.array([model.logit(t) for t in texts])
-    languages = np.array([language_of(t, table) for t in texts])
 
     def best(rows: np.ndarray) -> float:
-        values = np.sort(logits[rows])
-        edges = np.concatenate([[values[0] - 1], (values[1:] + values[:-1]) / 2, [values[-1] + 1]])
-        wrong = np.array([((logits[rows] >= e) != (toxic[rows] == 1)).sum() for e in edges])
+        values, of = np.unique(logits[rows], return_inverse=True)
+        n = np.array([np.bincount(of, counts[rows] * (toxic[rows] == y), len(values)) for y in (0, 1)])
+        # An edge stands below its value: toxic rows under it and clean ones from it on are errors.
+        wrong = np.concatenate([[0], n[1].cumsum()]) + np.concatenate([n[0][::-1].cumsum()[::-1], [0]])
+        middle = (values[1:] + values[:-1]) / 2
+        edges = np.concatenate([[values[0] - 1], middle, [values[-1] + 1]])
+        shared = n.sum(axis=0) > 1
+        edges, wrong = np.concatenate([edges, values[shared]]), np.concatenate([wrong, wrong[:-1][shared]])
         good = edges[wrong == wrong.min()]
         return float((good.min() + good.max()) / 2)
 
-    overall = best(np.arange(len(texts)))
+    overall = best(np.arange(len(logits)))
     model.thresholds[:] = overall
     for number in range(1, len(LANGUAGES)):
         rows = np.flatnonzero(languages == number)
         if len(rows) and len(set(toxic[rows].tolist())) == 2:
-            n = (toxic[rows] == 1).sum()
+            n = counts[rows][toxic[rows] == 1].sum()
             model.thresholds[number] = (n * best(rows) + 20 * overall) / (n + 20)
 
 
@@ -238,21 +261,19 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
-    """Train on at most `rows` labelled documents of each class outside the held-out fold.
+    """Train on all labelled documents outside the held-out fold.
 
     Rows without id or label, and ids with contradicting labels, are left out; of the rows that share
-    an id one counts, that whose text has the smallest hash.  What comes to the driver is
-    bounded by `rows` and FIT_CHARACTERS.
+    an id one counts, that whose text has the smallest hash.  Rows are dealt into shards of about
+    2 * `rows`; one shard alone is trained on the driver, several side by side (`_train_shards`).
     """
     known = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id")
         .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).where("toxic = other")
-        .where(~held_out(F.col("doc_id")))
+        .where(~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     )
+    shards = max(1, -(-known.count() // (2 * rows)))
     place = F.xxhash64("doc_id")
-    chosen = [known.where(F.col("toxic") == y).orderBy(place, "doc_id").limit(rows).select("doc_id", "toxic") for y in (0, 1)]
-    sample = chosen[0].unionAll(chosen[1])
-    texts = docs.select("doc_id", "text").where(F.length("text") <= FIT_CHARACTERS).join(F.broadcast(sample), "doc_id")
     fold = (F.crc32(F.col("doc_id").cast("string")) % FOLDS).cast("int").alias("fold")
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -260,18 +281,149 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
             batch["hashes"] = [word_hashes(t).tobytes() for t in batch.pop("text")]
             yield batch[["place", "toxic", "fold", "hashes"]]
 
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(known, "doc_id")
     texts = texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
-    found = (
-        texts.select(place.alias("place"), F.col("toxic").cast("int").alias("toxic"), fold, "text")
-        .mapInPandas(hashed, "place bigint, toxic int, fold int, hashes binary").orderBy("place", F.xxhash64("hashes")).collect()
+    dealt = (
+        texts.select(place.alias("place"), "toxic", fold, "text").mapInPandas(hashed, "place bigint, toxic int, fold int, hashes binary")
+        .withColumn("shard", F.pmod("place", F.lit(shards)).cast("int"))
+        .repartition(shards, "shard").sortWithinPartitions("shard", "place", F.xxhash64("hashes"))
     )
+    dealt = pinned(dealt)
+    size = dealt.agg(F.sum(F.length("hashes"))).first()[0] or 0
+    if shards > 1 or size > DRIVER_BYTES:
+        return _train_shards(dealt)
+    found = dealt.orderBy("place", F.xxhash64("hashes")).collect()
     return train(
-        [np.frombuffer(bytes(r["hashes"]), np.uint32).reshape(-1, 2) for r in found],
+        [_hashes_of(r["hashes"]) for r in found],
         np.array([r["toxic"] for r in found], int),
         np.array([r["fold"] == CALIBRATION_FOLD for r in found], bool),
     )
 
 
+def _hashes_of(data: bytes) -> np.ndarray:
+    return np.frombuffer(bytes(data), np.uint32).reshape(-1, 2)
+
+
+def _train_shards(dealt: DataFrame, seed: int = 7) -> Model:
+    """Every row of every shard trains the model.
+
+    The leanings are counted over all rows.  In a round each shard goes on from the same model, and
+    what it changes is averaged: weights over all shards, an embedding row over the shards that met
+    it.  Thresholds come from the logits of all held-back rows.  What reaches the driver has the size
+    of the model, whatever that of the tables.
+    """
+    context = dealt.sparkSession.sparkContext
+    model = _start(np.random.default_rng(seed))
+    held = F.col("fold") == CALIBRATION_FOLD
+    n = {(r["toxic"], r["held"]): r["n"] for r in dealt.groupBy("toxic", held.alias("held")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    fitted = np.array([n.get((y, False), 0) for y in (0, 1)])
+    if not fitted.all():
+        return _constant(model, sum(v for (y, _), v in n.items() if y == 1) / sum(n.values()))
+    balance = 0.5 * fitted.sum() / fitted
+    rows = dealt.where(~held).select("shard", "place", "toxic", "hashes")
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros((len(_BUCKETS), 2, _ROWS), np.int64)
+        for batch in batches:
+            for y, data in zip(batch["toxic"], batch["hashes"]):
+                for number, bucket in enumerate(_BUCKETS):
+                    counts[number, y, np.unique(bucket(_hashes_of(data)))] += 1
+        slot, at = np.nonzero(counts.any(axis=1))
+        yield pd.DataFrame({"slot": slot.astype("int32"), "at": at.astype("int32"), "clean": counts[slot, 0, at], "toxic": counts[slot, 1, at]})
+
+    found = rows.mapInPandas(counted, "slot int, at int, clean bigint, toxic bigint").groupBy("slot", "at").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    found = found.toArrow().to_pandas()
+    counts = np.zeros((len(_BUCKETS), 2, _ROWS))
+    counts[found["slot"], 0, found["at"]], counts[found["slot"], 1, found["at"]] = found["clean"], found["toxic"]
+    for values, count in zip(model.tables, counts):
+        values[:, 0] = _z_scores(count, fitted)
+
+    cells = [f"v{k}" for k in range(_DIM)]
+    for turn in range(_ROUNDS):
+        sent = context.broadcast(vars(model))
+
+        def shard_round(batches: Iterator[pd.DataFrame], sent=sent, turn=turn) -> Iterator[pd.DataFrame]:
+            shard, mine, adam = None, None, None
+            for batch in batches:
+                for number, part in batch.groupby("shard", sort=True):
+                    if number != shard:
+                        if mine is not None:
+                            yield _change(Model(**sent.value), mine, cells)
+                        shard, mine = number, _copied(Model(**sent.value))
+                        adam = _Adam([v.shape for v in (*mine.filters, *mine.biases, mine.weights)])
+                    _pass_over(mine, adam, part, balance, turn)
+            if mine is not None:
+                yield _change(Model(**sent.value), mine, cells)
+
+        changes = rows.mapInPandas(shard_round, "slot int, at int, " + ", ".join(f"{c} double" for c in cells))
+        mean = changes.groupBy("slot", "at").agg(*[F.avg(c).alias(c) for c in cells]).toArrow().to_pandas()
+        sent.unpersist()
+        _apply(model, mean, cells)
+
+    sent = context.broadcast(vars(model))
+
+    def logits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, table = Model(**sent.value), _language_table()
+        for batch in batches:
+            texts = [_hashes_of(data) for data in batch["hashes"]]
+            found = np.clip([known.logit(t) for t in texts], -30, 30)
+            yield pd.DataFrame({
+                "language": np.array([language_of(t, table) for t in texts], "int32"), "toxic": batch["toxic"].astype("int32"),
+                "part": np.rint(found * _LOGIT_PART).astype("int32"),
+            })
+
+    tally = dealt.where(held).select("toxic", "hashes").mapInPandas(logits, "language int, toxic int, part int").groupBy("language", "toxic", "part")
+    tally = tally.agg(F.count(F.lit(1)).alias("n")).toArrow().to_pandas()
+    _calibrate(model, tally["part"].to_numpy() / _LOGIT_PART, tally["language"].to_numpy(), tally["toxic"].to_numpy(), tally["n"].to_numpy())
+    return model
+
+
+def _copied(model: Model) -> Model:
+    return Model([t.copy() for t in model.tables], [f.copy() for f in model.filters], [b.copy() for b in model.biases], model.weights.copy(), model.bias, model.thresholds)
+
+
+def _pass_over(model: Model, adam: _Adam, part: pd.DataFrame, balance: np.ndarray, turn: int) -> None:
+    """The steps of one pass over rows of a shard; as in `train`, some clean texts also give a short cut of themselves."""
+    rng = np.random.default_rng([turn, *(part["place"].to_numpy()[:1] & 0xFFFFFFFF)])
+    texts, toxic = [_hashes_of(data) for data in part["hashes"]], part["toxic"].to_numpy()
+    for i in np.flatnonzero(toxic == 0)[::10]:
+        start = int(rng.integers(0, len(texts[i]) + 1))
+        texts.append(texts[i][start : start + int(rng.integers(0, 30))])
+    toxic = np.concatenate([toxic, np.zeros(len(texts) - len(toxic), toxic.dtype)])
+    for batch in np.array_split(rng.permutation(len(texts)), max(1, len(texts) // _BATCH)):
+        _descend(model, adam, [texts[i] for i in batch], toxic[batch], balance[toxic[batch]])
+
+
+def _dense(model: Model) -> np.ndarray:
+    """All values but the embeddings, in rows of _DIM."""
+    flat = np.concatenate([v.ravel() for v in (*model.filters, *model.biases, model.weights)] + [[model.bias]])
+    return np.concatenate([flat, np.zeros(-len(flat) % _DIM)]).reshape(-1, _DIM)
+
+
+def _change(before: Model, after: Model, cells: list[str]) -> pd.DataFrame:
+    """Rows that differ: embedding rows by table, then the others, which every shard gives."""
+    blocks = []
+    for slot, (old, new) in enumerate(zip([*before.tables, _dense(before)], [*after.tables, _dense(after)])):
+        at = np.flatnonzero((old != new).any(axis=1)) if slot < len(_BUCKETS) else np.arange(len(old))
+        block = pd.DataFrame(new[at].astype(float) - old[at], columns=cells)
+        block.insert(0, "at", at.astype("int32"))
+        block.insert(0, "slot", np.full(len(at), slot, "int32"))
+        blocks.append(block)
+    return pd.concat(blocks)
+
+
+def _apply(model: Model, mean: pd.DataFrame, cells: list[str]) -> None:
+    dense = _dense(model)
+    for slot, values in enumerate([*model.tables, dense]):
+        part = mean[mean["slot"] == slot]
+        values[part["at"].to_numpy()] += part[cells].to_numpy().astype(values.dtype)
+    flat, at = dense.ravel(), 0
+    for value in (*model.filters, *model.biases, model.weights):
+        value[:] = flat[at : at + value.size].reshape(value.shape)
+        at += value.size
+    model.bias = float(flat[at])
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """One row per row of docs: doc_id, held_out, score, predicted, language.
 
