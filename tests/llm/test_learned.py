@@ -1,5 +1,6 @@
 """Decontamination, toxicity and the pipeline."""
 
+import pathlib
 import random
 import zlib
 
@@ -215,3 +216,13 @@ def test_every_labelled_row_counts_in_several_shards(spark, documents, clashing,
     assert min(leaning) > 0.2
     one_class = known.withColumn("toxic", F.lit(1))
     assert toxicity.fit(docs, one_class, rows=60).weights.any() == False  # noqa: E712
+
+
+def test_the_fit_keeps_no_copy_of_the_texts(spark, documents):
+    """Texts move once; no pass over them is stored besides."""
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    stored = lambda: {f for f in folder.rglob("*") if f.is_file()}
+    rows = [(k, " ".join(words(k, 20) + ["vileth"] * (k % 2))) for k in range(200)]
+    before = stored()
+    model = toxicity.fit(documents(rows), spark.createDataFrame([(k, 1, k % 2) for k, _ in rows], "doc_id bigint, quality int, toxic int"), rows=30)
+    assert model.weights.any() and stored() == before

@@ -16,22 +16,27 @@ sources and labels are never inputs of a score.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark import RDD
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed_text, pinned
+from tidemark.llm.common import keyed_text, once
 
 #: Labelled rows are dealt into shards of about twice so many, by the hash of their id; every row is in one.
 FIT_ROWS = 2_000
 #: A single shard is trained on the driver if its word hashes have at most so many bytes.
 DRIVER_BYTES = 64_000_000
+#: Shards that one task trains, one after the other; it sends what they change together.
+SHARDS_A_TASK = 4
+#: Embedding rows that are summed up at a time.
+_PIECE = 16_384
 FOLDS = 5
 #: Of the training rows, this fold calibrates the thresholds.
 CALIBRATION_FOLD = 1
@@ -44,7 +49,10 @@ _ROUNDS = 3
 #: Logits of held-back rows are counted to this part of one.
 _LOGIT_PART = 1024
 _SEGMENT = 16_384
-_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Words are runs of digits, a-z and bytes from 0x80 on; every other byte becomes a space.
+_APART = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
+#: Words whose hashes a worker remembers at most.
+_REMEMBERED = 500_000
 
 #: Function words by which the language of a text is guessed.
 FUNCTION_WORDS = {
@@ -56,13 +64,21 @@ FUNCTION_WORDS = {
 LANGUAGES = ("other", *FUNCTION_WORDS)
 
 
+class _Hashes(dict):
+    """Both hashes of a word as one number, the first in its lower half."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = zlib.crc32(word) | zlib.crc32(word[:_STEM]) << 32
+        if len(self) < _REMEMBERED:
+            self[word] = found
+        return found
+
+
 def word_hashes(text: str) -> np.ndarray:
     """CRC-32 of each lower-case word, and of its first bytes."""
-    words = _WORD.findall(text.lower().encode())
-    out = np.empty((len(words), 2), np.uint32)
-    out[:, 0] = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
-    out[:, 1] = np.fromiter((zlib.crc32(w[:_STEM]) for w in words), np.uint32, len(words))
-    return out
+    words = text.lower().encode().translate(_APART).split()
+    known = once("word hashes of toxicity", _Hashes)
+    return np.fromiter(map(known.__getitem__, words), "<u8", len(words)).view("<u4").reshape(-1, 2)
 
 
 #: Embedding bucket of a word's hashes, by table.
@@ -97,27 +113,45 @@ class Model:
     thresholds: np.ndarray  # logits, per language
 
     def embedded(self, hashes: np.ndarray) -> np.ndarray:
-        return np.concatenate([table[bucket(hashes)] for table, bucket in zip(self.tables, _BUCKETS)], axis=1)
+        return np.concatenate([table.take(bucket(hashes).astype(np.intp), axis=0) for table, bucket in zip(self.tables, _BUCKETS)], axis=1)
 
     def pooled(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The _TOP largest outputs of each filter over a text, at least 0, and their positions (-1: none)."""
         shape = (len(_WIDTHS), _TOP, _FILTERS)
         best, places = np.zeros(shape, np.float32), np.full(shape, -1)
-        overlap = max(_WIDTHS) - 1
+        overlap, every = max(_WIDTHS) - 1, np.arange(len(_WIDTHS) * _FILTERS)
+        stacked = np.concatenate([part.T for filters in self.filters for part in filters])
         for start in range(0, len(hashes), _SEGMENT):
             size = min(_SEGMENT, len(hashes) - start)
             part = self.embedded(hashes[start : start + size + overlap])
-            padded = np.concatenate([part, np.zeros((size + overlap - len(part), part.shape[1]), np.float32)])
+            found = np.zeros((len(stacked), size + overlap), np.float32)
+            np.matmul(stacked, part.T, out=found[:, : len(part)])
+            # A row per width and filter; a word of a window adds its own filter's output.
+            rows, at = np.empty((len(every), size), np.float32), 0
             for k, width in enumerate(_WIDTHS):
-                out = self.biases[k] + sum(padded[d : d + size] @ self.filters[k][d] for d in range(width))
-                at = np.argpartition(out, max(0, size - _TOP), axis=0)[-_TOP:]
-                values = np.concatenate([best[k], np.take_along_axis(out, at, axis=0)])
-                spots = np.concatenate([places[k], at + start])
-                order = np.argsort(-values, axis=0, kind="stable")[:_TOP]
-                best[k] = np.take_along_axis(values, order, axis=0)
-                places[k] = np.take_along_axis(spots, order, axis=0)
+                out = rows[k * _FILTERS : (k + 1) * _FILTERS]
+                out[:] = self.biases[k][:, None]
+                for d in range(width):
+                    out += found[at : at + _FILTERS, d : d + size]
+                    at += _FILTERS
+            for _ in range(min(_TOP, size)):
+                spots = rows.argmax(axis=1)
+                values = rows[every, spots]
+                rows[every, spots] = -np.inf
+                self._place(best, places, values.reshape(-1, _FILTERS), spots.reshape(-1, _FILTERS) + start)
         return best, places
 
+    @staticmethod
+    def _place(best: np.ndarray, places: np.ndarray, values: np.ndarray, spots: np.ndarray) -> None:
+        """Put one output per filter among the largest; it comes after equal ones."""
+        for top in range(_TOP):
+            larger = values > best[:, top]
+            if not larger.any():
+                continue
+            old, place = best[:, top].copy(), places[:, top].copy()
+            best[:, top], places[:, top] = np.where(larger, values, old), np.where(larger, spots, place)
+            values, spots = np.where(larger, old, values), np.where(larger, place, spots)
+
     def logit(self, hashes: np.ndarray) -> float:
         return float((self.pooled(hashes)[0] * self.weights).sum() + self.bias)
 
@@ -174,7 +208,8 @@ def _descend(model: Model, adam: _Adam, texts: list[np.ndarray], toxic: np.ndarr
     dense = [*model.filters, *model.biases, model.weights]
     slopes = [np.zeros(v.shape, np.float32) for v in dense]
     bias_slope = 0.0
-    moved: list[tuple[np.ndarray, np.ndarray]] = []
+    # Per width, and per word of it: the words that a batch's largest outputs lie at, their filters and gains.
+    met = [[([], [], []) for _ in range(width)] for width in _WIDTHS]
     for hashes, y, weight in zip(texts, toxic, balance):
         features, places = model.pooled(hashes)
         p = 1 / (1 + np.exp(-float((features * model.weights).sum() + model.bias)))
@@ -184,18 +219,26 @@ def _descend(model: Model, adam: _Adam, texts: list[np.ndarray], toxic: np.ndarr
         for k, width in enumerate(_WIDTHS):
             top, of = np.nonzero(places[k] >= 0)
             gain = (error * model.weights[k])[top, of]
-            np.add.at(slopes[len(_WIDTHS) + k], of, gain)
+            slopes[len(_WIDTHS) + k] += np.bincount(of, gain, _FILTERS)
+            at = places[k][top, of]
             for d in range(width):
-                at = places[k][top, of] + d
-                inside = at < len(hashes)
-                met, filters, gains = hashes[at[inside]], of[inside], gain[inside][:, None]
-                np.add.at(slopes[k][d].T, filters, model.embedded(met) * gains)
-                moved.append((met, gains * model.filters[k][d].T[filters]))
+                inside = at + d < len(hashes)
+                for kept, found in zip(met[k][d], (hashes[at[inside] + d], of[inside], gain[inside])):
+                    kept.append(found)
+    moved: list[tuple[np.ndarray, np.ndarray]] = []
+    for k, width in enumerate(_WIDTHS):
+        for d in range(width):
+            words, of, gain = (np.concatenate(v) for v in met[k][d])
+            shared = np.zeros((len(of), _FILTERS), np.float32)
+            shared[np.arange(len(of)), of] = gain
+            slopes[k][d] += model.embedded(words).T @ shared
+            moved.append((words, shared @ model.filters[k][d].T))
     adam.step(dense, [s + _DECAY * v for s, v in zip(slopes, dense)])
     model.bias -= _RATE * bias_slope
-    for met, slope in moved:
-        for number, (values, bucket) in enumerate(zip(model.tables, _BUCKETS)):
-            np.subtract.at(values, bucket(met), _RATE * slope[:, number * _DIM : (number + 1) * _DIM])
+    words, slope = np.concatenate([w for w, _ in moved]), _RATE * np.concatenate([v for _, v in moved])
+    for number, (values, bucket) in enumerate(zip(model.tables, _BUCKETS)):
+        cells = bucket(words).astype(np.int64)[:, None] * _DIM + np.arange(_DIM)
+        np.subtract.at(values.reshape(-1), cells.ravel(), slope[:, number * _DIM : (number + 1) * _DIM].astype(np.float32).ravel())
 
 
 def train(texts: list[np.ndarray], toxic: np.ndarray, held: np.ndarray, seed: int = 7) -> Model:
@@ -263,7 +306,7 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     """Train on all labelled documents outside the held-out fold.
 
-    Rows without id or label, and ids with contradicting labels, are left out; of the rows that share
+    Rows without id, text or label, and ids with contradicting labels, are left out; of the rows that share
     an id one counts, that whose text has the smallest hash.  Rows are dealt into shards of about
     2 * `rows`; one shard alone is trained on the driver, several side by side (`_train_shards`).
     """
@@ -273,30 +316,24 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         .where(~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     )
     shards = max(1, -(-known.count() // (2 * rows)))
-    place = F.xxhash64("doc_id")
-    fold = (F.crc32(F.col("doc_id").cast("string")) % FOLDS).cast("int").alias("fold")
-
-    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch["hashes"] = [word_hashes(t).tobytes() for t in batch.pop("text")]
-            yield batch[["place", "toxic", "fold", "hashes"]]
-
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(known, "doc_id")
-    texts = texts.groupBy("doc_id", "toxic").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    place, none = F.xxhash64("doc_id"), F.lit(None)
+    shard = F.pmod("place", F.lit(shards)).cast("int")
+    # Texts move once, to the task that trains on them, and labels with them; every pass reads them where they then lie.
+    texts = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    both = texts.select("doc_id", "text", none.cast("int").alias("toxic")).unionByName(known.select("doc_id", none.cast("string").alias("text"), "toxic"))
     dealt = (
-        texts.select(place.alias("place"), "toxic", fold, "text").mapInPandas(hashed, "place bigint, toxic int, fold int, hashes binary")
-        .withColumn("shard", F.pmod("place", F.lit(shards)).cast("int"))
-        .repartition(shards, "shard").sortWithinPartitions("shard", "place", F.xxhash64("hashes"))
+        both.withColumn("place", place).withColumn("shard", shard).withColumn("task", F.floor(F.col("shard") / SHARDS_A_TASK))
+        .repartition(-(-shards // SHARDS_A_TASK), "task").groupBy("task", "shard", "place", "doc_id")
+        .agg(F.max("toxic").alias("toxic"), F.min_by("text", F.when(F.col("text").isNotNull(), F.struct(F.xxhash64("text"), "text"))).alias("text"))
+        .where("toxic IS NOT NULL AND text IS NOT NULL")
+        .sortWithinPartitions("shard", "place", "doc_id")
+        .select("shard", "place", "toxic", ((F.crc32(F.col("doc_id").cast("string")) % FOLDS) == CALIBRATION_FOLD).alias("held"), "text").rdd
     )
-    dealt = pinned(dealt)
-    size = dealt.agg(F.sum(F.length("hashes"))).first()[0] or 0
-    if shards > 1 or size > DRIVER_BYTES:
+    if shards > 1 or dealt.map(lambda r: word_hashes(r["text"]).nbytes).sum() > DRIVER_BYTES:
         return _train_shards(dealt)
-    found = dealt.orderBy("place", F.xxhash64("hashes")).collect()
+    found = sorted(dealt.map(lambda r: (r["place"], word_hashes(r["text"]).tobytes(), r["toxic"], r["held"])).collect())
     return train(
-        [_hashes_of(r["hashes"]) for r in found],
-        np.array([r["toxic"] for r in found], int),
-        np.array([r["fold"] == CALIBRATION_FOLD for r in found], bool),
+        [_hashes_of(data) for _, data, _, _ in found], np.array([y for _, _, y, _ in found], int), np.array([held for *_, held in found], bool)
     )
 
 
@@ -304,88 +341,107 @@ def _hashes_of(data: bytes) -> np.ndarray:
     return np.frombuffer(bytes(data), np.uint32).reshape(-1, 2)
 
 
-def _train_shards(dealt: DataFrame, seed: int = 7) -> Model:
+def _train_shards(dealt: RDD, seed: int = 7) -> Model:
     """Every row of every shard trains the model.
 
     The leanings are counted over all rows.  In a round each shard goes on from the same model, and
     what it changes is averaged: weights over all shards, an embedding row over the shards that met
     it.  Thresholds come from the logits of all held-back rows.  What reaches the driver has the size
-    of the model, whatever that of the tables.
+    of the model, whatever that of the tables.  Rows lie by shard and place.
     """
-    context = dealt.sparkSession.sparkContext
+    context = dealt.context
     model = _start(np.random.default_rng(seed))
-    held = F.col("fold") == CALIBRATION_FOLD
-    n = {(r["toxic"], r["held"]): r["n"] for r in dealt.groupBy("toxic", held.alias("held")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    fitted = np.array([n.get((y, False), 0) for y in (0, 1)])
-    if not fitted.all():
-        return _constant(model, sum(v for (y, _), v in n.items() if y == 1) / sum(n.values()))
-    balance = 0.5 * fitted.sum() / fitted
-    rows = dealt.where(~held).select("shard", "place", "toxic", "hashes")
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros((len(_BUCKETS), 2, _ROWS), np.int64)
-        for batch in batches:
-            for y, data in zip(batch["toxic"], batch["hashes"]):
+    def counted(rows: Iterator[Row]) -> Iterator[tuple]:
+        # Texts by bucket and class; the last table holds the rows by class, those held back behind the others.
+        counts = np.zeros((len(_BUCKETS) + 1, _ROWS, 2))
+        for row in rows:
+            counts[-1, int(row["held"]), row["toxic"]] += 1
+            if not row["held"]:
+                hashes = word_hashes(row["text"])
                 for number, bucket in enumerate(_BUCKETS):
-                    counts[number, y, np.unique(bucket(_hashes_of(data)))] += 1
-        slot, at = np.nonzero(counts.any(axis=1))
-        yield pd.DataFrame({"slot": slot.astype("int32"), "at": at.astype("int32"), "clean": counts[slot, 0, at], "toxic": counts[slot, 1, at]})
-
-    found = rows.mapInPandas(counted, "slot int, at int, clean bigint, toxic bigint").groupBy("slot", "at").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    found = found.toArrow().to_pandas()
-    counts = np.zeros((len(_BUCKETS), 2, _ROWS))
-    counts[found["slot"], 0, found["at"]], counts[found["slot"], 1, found["at"]] = found["clean"], found["toxic"]
+                    counts[number, np.unique(bucket(hashes)), row["toxic"]] += 1
+        for slot, values in enumerate(counts):
+            yield from _pieces(slot, np.flatnonzero(values.any(axis=1)), values)
+
+    counts = np.zeros((len(_BUCKETS) + 1, _ROWS, 2))
+    for slot, at, sums in _added(dealt.mapPartitions(counted)):
+        counts[slot, at] = sums
+    fitted, every = counts[-1, 0], counts[-1, :2].sum(axis=0)
+    if not fitted.all():
+        return _constant(model, every[1] / max(1, every.sum()))
+    balance = 0.5 * fitted.sum() / fitted
     for values, count in zip(model.tables, counts):
-        values[:, 0] = _z_scores(count, fitted)
+        values[:, 0] = _z_scores(count.T, fitted)
 
-    cells = [f"v{k}" for k in range(_DIM)]
     for turn in range(_ROUNDS):
         sent = context.broadcast(vars(model))
 
-        def shard_round(batches: Iterator[pd.DataFrame], sent=sent, turn=turn) -> Iterator[pd.DataFrame]:
-            shard, mine, adam = None, None, None
-            for batch in batches:
-                for number, part in batch.groupby("shard", sort=True):
-                    if number != shard:
-                        if mine is not None:
-                            yield _change(Model(**sent.value), mine, cells)
-                        shard, mine = number, _copied(Model(**sent.value))
-                        adam = _Adam([v.shape for v in (*mine.filters, *mine.biases, mine.weights)])
-                    _pass_over(mine, adam, part, balance, turn)
-            if mine is not None:
-                yield _change(Model(**sent.value), mine, cells)
-
-        changes = rows.mapInPandas(shard_round, "slot int, at int, " + ", ".join(f"{c} double" for c in cells))
-        mean = changes.groupBy("slot", "at").agg(*[F.avg(c).alias(c) for c in cells]).toArrow().to_pandas()
+        def shard_round(rows: Iterator[Row], sent=sent, turn=turn) -> Iterator[tuple]:
+            before = Model(**sent.value)
+            total = [np.zeros((len(old), _DIM + 1), np.float32) for old in (*before.tables, _dense(before))]
+            fit = (r for r in rows if not r["held"])
+            for _, shard in groupby(fit, key=lambda r: r["shard"]):
+                after = _copied(before)
+                adam = _Adam([v.shape for v in (*after.filters, *after.biases, after.weights)])
+                _pass_over(after, adam, [(r["place"], r["toxic"], word_hashes(r["text"])) for r in shard], balance, turn)
+                _add_change(total, before, after)
+            for slot, values in enumerate(total):
+                yield from _pieces(slot, np.flatnonzero(values[:, _DIM]), values)
+
+        _apply(model, [(slot, at, sums[:, :_DIM] / sums[:, _DIM:]) for slot, at, sums in _added(dealt.mapPartitions(shard_round))])
         sent.unpersist()
-        _apply(model, mean, cells)
 
     sent = context.broadcast(vars(model))
 
-    def logits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def logits(rows: Iterator[Row]) -> Iterator[tuple]:
         known, table = Model(**sent.value), _language_table()
-        for batch in batches:
-            texts = [_hashes_of(data) for data in batch["hashes"]]
-            found = np.clip([known.logit(t) for t in texts], -30, 30)
-            yield pd.DataFrame({
-                "language": np.array([language_of(t, table) for t in texts], "int32"), "toxic": batch["toxic"].astype("int32"),
-                "part": np.rint(found * _LOGIT_PART).astype("int32"),
-            })
-
-    tally = dealt.where(held).select("toxic", "hashes").mapInPandas(logits, "language int, toxic int, part int").groupBy("language", "toxic", "part")
-    tally = tally.agg(F.count(F.lit(1)).alias("n")).toArrow().to_pandas()
-    _calibrate(model, tally["part"].to_numpy() / _LOGIT_PART, tally["language"].to_numpy(), tally["toxic"].to_numpy(), tally["n"].to_numpy())
+        for row in rows:
+            if row["held"]:
+                hashes = word_hashes(row["text"])
+                part = int(np.rint(np.clip(known.logit(hashes), -30, 30) * _LOGIT_PART))
+                yield (language_of(hashes, table), row["toxic"], part), 1
+
+    tally = sorted(dealt.mapPartitions(logits).reduceByKey(lambda a, b: a + b).collect())
+    language, toxic, part = np.array([key for key, _ in tally], int).reshape(-1, 3).T
+    _calibrate(model, part / _LOGIT_PART, language, toxic, np.array([n for _, n in tally], int))
     return model
 
 
+def _pieces(slot: int, at: np.ndarray, values: np.ndarray) -> Iterator[tuple]:
+    """The rows `at` of a table, by ranges of its rows."""
+    for piece in np.unique(at // _PIECE):
+        part = at[at // _PIECE == piece]
+        yield (slot, int(piece)), (part.astype(np.int32), values[part])
+
+
+def _added(pieces: RDD) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(slot, rows, sums of their values) over all tasks; a sum is held for one range of rows at a time in a task."""
+
+    def add(found: Iterator[tuple]) -> Iterator[tuple]:
+        sums: dict = {}
+        for key, (at, values) in found:
+            if key not in sums:
+                sums[key] = np.zeros((_PIECE, values.shape[1])), np.zeros(_PIECE, bool)
+            total, met = sums[key]
+            total[at - key[1] * _PIECE] += values
+            met[at - key[1] * _PIECE] = True
+        for (slot, piece), (total, met) in sums.items():
+            at = np.flatnonzero(met)
+            yield slot, at + piece * _PIECE, total[at]
+
+    ranges = _ROWS // _PIECE
+    return pieces.partitionBy((len(_BUCKETS) + 1) * ranges, lambda key: key[0] * ranges + key[1]).mapPartitions(add).collect()
+
+
 def _copied(model: Model) -> Model:
     return Model([t.copy() for t in model.tables], [f.copy() for f in model.filters], [b.copy() for b in model.biases], model.weights.copy(), model.bias, model.thresholds)
 
 
-def _pass_over(model: Model, adam: _Adam, part: pd.DataFrame, balance: np.ndarray, turn: int) -> None:
-    """The steps of one pass over rows of a shard; as in `train`, some clean texts also give a short cut of themselves."""
-    rng = np.random.default_rng([turn, *(part["place"].to_numpy()[:1] & 0xFFFFFFFF)])
-    texts, toxic = [_hashes_of(data) for data in part["hashes"]], part["toxic"].to_numpy()
+def _pass_over(model: Model, adam: _Adam, rows: list[tuple[int, int, np.ndarray]], balance: np.ndarray, turn: int) -> None:
+    """The steps of one pass over (place, toxic, hashes) of a shard; as in `train`, some clean texts also give a short cut of themselves."""
+    rng = np.random.default_rng([turn, rows[0][0] & 0xFFFFFFFF])
+    texts, toxic = [hashes for *_, hashes in rows], np.array([y for _, y, _ in rows], int)
     for i in np.flatnonzero(toxic == 0)[::10]:
         start = int(rng.integers(0, len(texts[i]) + 1))
         texts.append(texts[i][start : start + int(rng.integers(0, 30))])
@@ -400,23 +456,18 @@ def _dense(model: Model) -> np.ndarray:
     return np.concatenate([flat, np.zeros(-len(flat) % _DIM)]).reshape(-1, _DIM)
 
 
-def _change(before: Model, after: Model, cells: list[str]) -> pd.DataFrame:
-    """Rows that differ: embedding rows by table, then the others, which every shard gives."""
-    blocks = []
+def _add_change(total: list[np.ndarray], before: Model, after: Model) -> None:
+    """Add to `total` the rows that differ and how often: embedding rows by table, then the others, which every shard changes."""
     for slot, (old, new) in enumerate(zip([*before.tables, _dense(before)], [*after.tables, _dense(after)])):
         at = np.flatnonzero((old != new).any(axis=1)) if slot < len(_BUCKETS) else np.arange(len(old))
-        block = pd.DataFrame(new[at].astype(float) - old[at], columns=cells)
-        block.insert(0, "at", at.astype("int32"))
-        block.insert(0, "slot", np.full(len(at), slot, "int32"))
-        blocks.append(block)
-    return pd.concat(blocks)
+        total[slot][at, :_DIM] += new[at] - old[at]
+        total[slot][at, _DIM] += 1
 
 
-def _apply(model: Model, mean: pd.DataFrame, cells: list[str]) -> None:
+def _apply(model: Model, means: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
     dense = _dense(model)
-    for slot, values in enumerate([*model.tables, dense]):
-        part = mean[mean["slot"] == slot]
-        values[part["at"].to_numpy()] += part[cells].to_numpy().astype(values.dtype)
+    for slot, at, mean in means:
+        [*model.tables, dense][slot][at] += mean.astype(model.weights.dtype)
     flat, at = dense.ravel(), 0
     for value in (*model.filters, *model.biases, model.weights):
         value[:] = flat[at : at + value.size].reshape(value.shape)
