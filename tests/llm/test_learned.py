@@ -226,3 +226,14 @@ def test_the_fit_keeps_no_copy_of_the_texts(spark, documents):
     before = stored()
     model = toxicity.fit(documents(rows), spark.createDataFrame([(k, 1, k % 2) for k, _ in rows], "doc_id bigint, quality int, toxic int"), rows=30)
     assert model.weights.any() and stored() == before
+
+
+def test_each_task_trains_as_many_shards_as_the_others(spark, documents, monkeypatch):
+    monkeypatch.setattr(toxicity, "_train_shards", lambda dealt: dealt.map(lambda r: r["shard"]).glom().collect())
+    rows = [(k, " ".join(words(k, 20))) for k in range(1100)]
+    known = spark.createDataFrame([(k, 1, k % 2) for k, _ in rows], "doc_id bigint, quality int, toxic int")
+    tasks = toxicity.fit(documents(rows), known, rows=25)
+    shards = [set(task) for task in tasks]
+    assert len(shards) > 3 and max(map(len, shards)) <= toxicity.SHARDS_A_TASK and max(map(len, shards)) - min(map(len, shards)) <= 1
+    # Rows lie by shard, and no shard in two tasks.
+    assert all(task == sorted(task) for task in tasks) and sum(map(len, shards)) == len(set.union(*shards))

@@ -51,8 +51,8 @@ _LOGIT_PART = 1024
 _SEGMENT = 16_384
 #: Words are runs of digits, a-z and bytes from 0x80 on; every other byte becomes a space.
 _APART = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
-#: Words whose hashes a worker remembers at most.
-_REMEMBERED = 500_000
+#: Words whose hashes a worker remembers at most: some tens of megabytes, as each executor may keep several workers.
+_REMEMBERED = 100_000
 
 #: Function words by which the language of a text is guessed.
 FUNCTION_WORDS = {
@@ -308,7 +308,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
 
     Rows without id, text or label, and ids with contradicting labels, are left out; of the rows that share
     an id one counts, that whose text has the smallest hash.  Rows are dealt into shards of about
-    2 * `rows`; one shard alone is trained on the driver, several side by side (`_train_shards`).
+    2 * `rows`; one shard alone is trained on the driver, several side by side (`_train_shards`),
+    each task with as many as the others, or one fewer.
     """
     known = (
         labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id")
@@ -316,17 +317,20 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         .where(~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     )
     shards = max(1, -(-known.count() // (2 * rows)))
+    tasks = -(-shards // SHARDS_A_TASK)
     place, none = F.xxhash64("doc_id"), F.lit(None)
     shard = F.pmod("place", F.lit(shards)).cast("int")
+    task = F.expr(f"CAST(CAST(shard AS BIGINT) * {tasks} DIV {shards} AS INT)")
     # Texts move once, to the task that trains on them, and labels with them; every pass reads them where they then lie.
     texts = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     both = texts.select("doc_id", "text", none.cast("int").alias("toxic")).unionByName(known.select("doc_id", none.cast("string").alias("text"), "toxic"))
     dealt = (
-        both.withColumn("place", place).withColumn("shard", shard).withColumn("task", F.floor(F.col("shard") / SHARDS_A_TASK))
-        .repartition(-(-shards // SHARDS_A_TASK), "task").groupBy("task", "shard", "place", "doc_id")
+        both.withColumn("place", place).withColumn("shard", shard).withColumn("task", task)
+        .repartitionById(tasks, "task").groupBy("task", "shard", "place", "doc_id")
         .agg(F.max("toxic").alias("toxic"), F.min_by("text", F.when(F.col("text").isNotNull(), F.struct(F.xxhash64("text"), "text"))).alias("text"))
         .where("toxic IS NOT NULL AND text IS NOT NULL")
-        .sortWithinPartitions("shard", "place", "doc_id")
+        # The order in which the groups come, so texts are sorted once.
+        .sortWithinPartitions("task", "shard", "place", "doc_id")
         .select("shard", "place", "toxic", ((F.crc32(F.col("doc_id").cast("string")) % FOLDS) == CALIBRATION_FOLD).alias("held"), "text").rdd
     )
     if shards > 1 or dealt.map(lambda r: word_hashes(r["text"]).nbytes).sum() > DRIVER_BYTES:
