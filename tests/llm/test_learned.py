@@ -2,6 +2,7 @@
 
 import pathlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -237,3 +238,29 @@ def test_each_task_trains_as_many_shards_as_the_others(spark, documents, monkeyp
     assert len(shards) > 3 and max(map(len, shards)) <= toxicity.SHARDS_A_TASK and max(map(len, shards)) - min(map(len, shards)) <= 1
     # Rows lie by shard, and no shard in two tasks.
     assert all(task == sorted(task) for task in tasks) and sum(map(len, shards)) == len(set.union(*shards))
+
+
+def zlib_hashes(text):
+    return [(zlib.crc32(w), zlib.crc32(w[: toxicity._STEM])) for w in text.lower().encode().translate(toxicity._APART).split()]
+
+
+def test_words_hashed_side_by_side_have_the_hashes_of_zlib(monkeypatch):
+    lengths = (1, 5, 6, 7, 63, 64, 65, 300)
+    texts = ["", "  ", "Ärger-é　日本 ", " ".join("x" * n for n in lengths), "y" * 900, *(" ".join(words(k, 50 * k)) + "  \n" for k in range(8))]
+    for stretch in (1, 70, 1 << 17):
+        monkeypatch.setattr(toxicity, "_STRETCH", stretch)
+        found = [list(map(tuple, hashes.tolist())) for hashes in toxicity.hashes_by_text(texts)]
+        assert found == [zlib_hashes(text) for text in texts]
+        assert [list(map(tuple, toxicity.word_hashes(text).tolist())) for text in texts] == found
+
+
+def test_hashing_new_words_takes_less_than_hashing_them_one_by_one():
+    texts = [" ".join(f"w{k}{n * 7919}" for n in range(400)) for k in range(300)]
+
+    def seconds(run):
+        started = time.process_time()
+        run()
+        return time.process_time() - started
+
+    together = min(seconds(lambda: list(toxicity.hashes_by_text(texts))) for _ in range(3))
+    assert together < min(seconds(lambda: [np.array(zlib_hashes(text)) for text in texts]) for _ in range(3))

@@ -17,9 +17,9 @@ sources and labels are never inputs of a score.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import groupby, tee
 
 import numpy as np
 import pandas as pd
@@ -51,8 +51,8 @@ _LOGIT_PART = 1024
 _SEGMENT = 16_384
 #: Words are runs of digits, a-z and bytes from 0x80 on; every other byte becomes a space.
 _APART = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
-#: Words whose hashes a worker remembers at most: some tens of megabytes, as each executor may keep several workers.
-_REMEMBERED = 100_000
+#: Words of up to so many bytes are hashed side by side, those of about so many bytes of text at a time.
+_SHORT, _STRETCH = 64, 1 << 17
 
 #: Function words by which the language of a text is guessed.
 FUNCTION_WORDS = {
@@ -64,21 +64,81 @@ FUNCTION_WORDS = {
 LANGUAGES = ("other", *FUNCTION_WORDS)
 
 
-class _Hashes(dict):
-    """Both hashes of a word as one number, the first in its lower half."""
+def _crc_parts() -> tuple[np.ndarray, np.ndarray]:
+    """What a byte adds to the CRC-32 of its word, by its distance from the word's end (from 1), and that of so many zero bytes.
 
-    def __missing__(self, word: bytes) -> int:
-        found = zlib.crc32(word) | zlib.crc32(word[:_STEM]) << 32
-        if len(self) < _REMEMBERED:
-            self[word] = found
-        return found
+    But for a constant of its length, the CRC-32 of a word is the sum without carry of what its bytes add.
+    """
+    zeros = np.array([zlib.crc32(bytes(n)) for n in range(_SHORT + 1)], np.uint32)
+    parts = np.zeros((_SHORT + 1, 256), np.uint32)
+    for n in range(1, _SHORT + 1):
+        parts[n] = [zlib.crc32(bytes([b]) + bytes(n - 1)) for b in range(256)]
+        parts[n] ^= zeros[n]
+    # A blank, which ends a word, adds nothing.
+    parts[:, 0x20] = 0
+    return parts.reshape(-1), zeros
+
+
+def _hashed(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Both hashes of the words between the blanks of `data`, and where the words end."""
+    parts, zeros = once("parts of CRC-32 for toxicity", _crc_parts)
+    # Each stretch up to a blank, the blank included, is a word, if only of no bytes.
+    letters = np.frombuffer(data + b" ", np.uint8)
+    ends = np.flatnonzero(letters == 0x20).astype(np.int32)
+    starts = np.empty_like(ends)
+    starts[0], starts[1:] = 0, ends[:-1] + 1
+    lengths = ends - starts
+    to_end = np.repeat(ends, lengths + 1) - np.arange(len(letters), dtype=np.int32)
+    whole = np.bitwise_xor.reduceat(parts.take(np.minimum(to_end, _SHORT) * 256 + letters), starts)
+    words = np.flatnonzero(lengths)
+    starts, ends, lengths = starts[words], ends[words], lengths[words]
+    found = np.empty((len(words), 2), "<u4")
+    found[:, 0] = whole[words] ^ zeros[np.minimum(lengths, _SHORT)]
+    for i in np.flatnonzero(lengths > _SHORT):
+        found[i, 0] = zlib.crc32(data[starts[i] : ends[i]])
+    found[:, 1] = found[:, 0]
+    cut = np.flatnonzero(lengths > _STEM)
+    stem = np.full(len(cut), zeros[_STEM])
+    for n in range(_STEM):
+        stem ^= parts[(_STEM - n) * 256 :].take(letters.take(starts[cut] + n))
+    found[cut, 1] = stem
+    return found, ends
 
 
 def word_hashes(text: str) -> np.ndarray:
     """CRC-32 of each lower-case word, and of its first bytes."""
-    words = text.lower().encode().translate(_APART).split()
-    known = once("word hashes of toxicity", _Hashes)
-    return np.fromiter(map(known.__getitem__, words), "<u8", len(words)).view("<u4").reshape(-1, 2)
+    return next(hashes_by_text([text]))
+
+
+def hashes_by_text(texts: Iterable[str]) -> Iterator[np.ndarray]:
+    """`word_hashes` of each text; short texts are hashed together, long ones in parts."""
+    held: list[bytes] = []
+    size = 0
+    for text in texts:
+        held.append(text.lower().encode().translate(_APART))
+        size += len(held[-1]) + 1
+        if size >= _STRETCH:
+            yield from _hashed_together(held)
+            held, size = [], 0
+    yield from _hashed_together(held)
+
+
+def _hashed_together(held: list[bytes]) -> Iterator[np.ndarray]:
+    if len(held) > 1 and len(held[-1]) >= _STRETCH:
+        # Only the last can be long.
+        yield from _hashed_together(held[:-1])
+        held = held[-1:]
+    if len(held) == 1:
+        found, start, data = [], 0, held[0]
+        while not found or start < len(data):
+            end = data.find(b" ", start + _STRETCH)
+            end = len(data) if end < 0 else end
+            found.append(_hashed(data[start:end])[0])
+            start = end + 1
+        yield found[0] if len(found) == 1 else np.concatenate(found)
+    elif held:
+        found, ends = _hashed(b" ".join(held))
+        yield from np.split(found, np.searchsorted(ends, np.cumsum([len(data) + 1 for data in held[:-1]])))
 
 
 #: Embedding bucket of a word's hashes, by table.
@@ -105,7 +165,7 @@ def language_of(hashes: np.ndarray, table: np.ndarray) -> int:
 
 @dataclass
 class Model:
-    tables: list[np.ndarray]  # per bucket function: (_ROWS, _DIM)
+    tables: np.ndarray  # per bucket function: (_ROWS, _DIM)
     filters: list[np.ndarray]  # per width: (width, len(tables) * _DIM, _FILTERS)
     biases: list[np.ndarray]
     weights: np.ndarray  # per width, place among the largest, filter
@@ -113,7 +173,12 @@ class Model:
     thresholds: np.ndarray  # logits, per language
 
     def embedded(self, hashes: np.ndarray) -> np.ndarray:
-        return np.concatenate([table.take(bucket(hashes).astype(np.intp), axis=0) for table, bucket in zip(self.tables, _BUCKETS)], axis=1)
+        # Of all tables at once, as if they were one.
+        rows = np.empty((len(hashes), len(_BUCKETS)), np.intp)
+        for number, bucket in enumerate(_BUCKETS):
+            rows[:, number] = bucket(hashes)
+            rows[:, number] += number * _ROWS
+        return self.tables.reshape(-1, _DIM).take(rows.reshape(-1), axis=0).reshape(len(hashes), -1)
 
     def pooled(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The _TOP largest outputs of each filter over a text, at least 0, and their positions (-1: none)."""
@@ -134,11 +199,16 @@ class Model:
                 for d in range(width):
                     out += found[at : at + _FILTERS, d : d + size]
                     at += _FILTERS
-            for _ in range(min(_TOP, size)):
+            for top in range(min(_TOP, size)):
                 spots = rows.argmax(axis=1)
                 values = rows[every, spots]
                 rows[every, spots] = -np.inf
-                self._place(best, places, values.reshape(-1, _FILTERS), spots.reshape(-1, _FILTERS) + start)
+                values, spots = values.reshape(-1, _FILTERS), spots.reshape(-1, _FILTERS) + start
+                if start == 0:
+                    # Nothing was found before, and the largest come first.
+                    best[:, top], places[:, top] = np.where(values > 0, values, 0), np.where(values > 0, spots, -1)
+                else:
+                    self._place(best, places, values, spots)
         return best, places
 
     @staticmethod
@@ -189,7 +259,7 @@ def _z_scores(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
 def _start(rng: np.random.Generator) -> Model:
     depth = len(_BUCKETS) * _DIM
     return Model(
-        [rng.normal(0, 0.02, (_ROWS, _DIM)).astype(np.float32) for _ in _BUCKETS],
+        np.stack([rng.normal(0, 0.02, (_ROWS, _DIM)).astype(np.float32) for _ in _BUCKETS]),
         [rng.normal(0, 0.2, (w, depth, _FILTERS)).astype(np.float32) for w in _WIDTHS],
         [np.zeros(_FILTERS, np.float32) for _ in _WIDTHS],
         rng.normal(0, 0.1, (len(_WIDTHS), _TOP, _FILTERS)).astype(np.float32), 0.0,
@@ -206,31 +276,34 @@ def _constant(model: Model, share: float) -> Model:
 def _descend(model: Model, adam: _Adam, texts: list[np.ndarray], toxic: np.ndarray, balance: np.ndarray) -> None:
     """One step down the slope of a batch."""
     dense = [*model.filters, *model.biases, model.weights]
+    shape, reach = (len(texts), len(_WIDTHS), _TOP, _FILTERS), max(_WIDTHS)
+    features, places = np.empty(shape, np.float32), np.empty(shape, np.intp)
+    # The words from that on at which a largest output lies, one step further at a time; beyond the text they count for nothing.
+    met, inside = np.zeros((*shape, reach, 2), np.uint32), np.empty((*shape, reach), bool)
+    for i, hashes in enumerate(texts):
+        features[i], places[i] = model.pooled(hashes)
+        at = places[i][..., None] + np.arange(reach)
+        inside[i] = (places[i][..., None] >= 0) & (at < len(hashes))
+        if len(hashes):
+            met[i] = hashes.take(np.minimum(at, len(hashes) - 1), axis=0)
+    logits = (features * model.weights).reshape(len(texts), -1).sum(axis=1) + model.bias
+    errors = (1 / (1 + np.exp(-logits.astype(float))) - toxic) * balance / len(texts)
+    gains = errors[:, None, None, None] * model.weights
+    of_biases = np.where(places >= 0, gains, 0).sum(axis=2)
     slopes = [np.zeros(v.shape, np.float32) for v in dense]
     bias_slope = 0.0
-    # Per width, and per word of it: the words that a batch's largest outputs lie at, their filters and gains.
-    met = [[([], [], []) for _ in range(width)] for width in _WIDTHS]
-    for hashes, y, weight in zip(texts, toxic, balance):
-        features, places = model.pooled(hashes)
-        p = 1 / (1 + np.exp(-float((features * model.weights).sum() + model.bias)))
-        error = (p - y) * weight / len(texts)
+    for error, found, of_bias in zip(errors, features, of_biases):
         bias_slope += error
-        slopes[-1] += error * features
-        for k, width in enumerate(_WIDTHS):
-            top, of = np.nonzero(places[k] >= 0)
-            gain = (error * model.weights[k])[top, of]
-            slopes[len(_WIDTHS) + k] += np.bincount(of, gain, _FILTERS)
-            at = places[k][top, of]
-            for d in range(width):
-                inside = at + d < len(hashes)
-                for kept, found in zip(met[k][d], (hashes[at[inside] + d], of[inside], gain[inside])):
-                    kept.append(found)
+        slopes[-1] += error * found
+        for k in range(len(_WIDTHS)):
+            slopes[len(_WIDTHS) + k] += of_bias[k]
     moved: list[tuple[np.ndarray, np.ndarray]] = []
     for k, width in enumerate(_WIDTHS):
         for d in range(width):
-            words, of, gain = (np.concatenate(v) for v in met[k][d])
+            *_, of = at = np.nonzero(inside[:, k, ..., d])
+            words = met[:, k, ..., d, :][at]
             shared = np.zeros((len(of), _FILTERS), np.float32)
-            shared[np.arange(len(of)), of] = gain
+            shared[np.arange(len(of)), of] = gains[:, k][at]
             slopes[k][d] += model.embedded(words).T @ shared
             moved.append((words, shared @ model.filters[k][d].T))
     adam.step(dense, [s + _DECAY * v for s, v in zip(slopes, dense)])
@@ -341,6 +414,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     )
 
 
+def _with_hashes(rows: Iterable[Row]) -> Iterator[tuple[Row, np.ndarray]]:
+    """Each row with the hashes of its text; some rows are read ahead."""
+    rows, ahead = tee(rows)
+    return zip(rows, hashes_by_text(row["text"] for row in ahead))
+
+
 def _hashes_of(data: bytes) -> np.ndarray:
     return np.frombuffer(bytes(data), np.uint32).reshape(-1, 2)
 
@@ -359,12 +438,15 @@ def _train_shards(dealt: RDD, seed: int = 7) -> Model:
     def counted(rows: Iterator[Row]) -> Iterator[tuple]:
         # Texts by bucket and class; the last table holds the rows by class, those held back behind the others.
         counts = np.zeros((len(_BUCKETS) + 1, _ROWS, 2))
-        for row in rows:
-            counts[-1, int(row["held"]), row["toxic"]] += 1
-            if not row["held"]:
-                hashes = word_hashes(row["text"])
-                for number, bucket in enumerate(_BUCKETS):
-                    counts[number, np.unique(bucket(hashes)), row["toxic"]] += 1
+        def tallied() -> Iterator[Row]:
+            for row in rows:
+                counts[-1, int(row["held"]), row["toxic"]] += 1
+                if not row["held"]:
+                    yield row
+
+        for row, hashes in _with_hashes(tallied()):
+            for number, bucket in enumerate(_BUCKETS):
+                counts[number, np.unique(bucket(hashes)), row["toxic"]] += 1
         for slot, values in enumerate(counts):
             yield from _pieces(slot, np.flatnonzero(values.any(axis=1)), values)
 
@@ -388,7 +470,7 @@ def _train_shards(dealt: RDD, seed: int = 7) -> Model:
             for _, shard in groupby(fit, key=lambda r: r["shard"]):
                 after = _copied(before)
                 adam = _Adam([v.shape for v in (*after.filters, *after.biases, after.weights)])
-                _pass_over(after, adam, [(r["place"], r["toxic"], word_hashes(r["text"])) for r in shard], balance, turn)
+                _pass_over(after, adam, [(r["place"], r["toxic"], hashes) for r, hashes in _with_hashes(shard)], balance, turn)
                 _add_change(total, before, after)
             for slot, values in enumerate(total):
                 yield from _pieces(slot, np.flatnonzero(values[:, _DIM]), values)
@@ -400,11 +482,9 @@ def _train_shards(dealt: RDD, seed: int = 7) -> Model:
 
     def logits(rows: Iterator[Row]) -> Iterator[tuple]:
         known, table = Model(**sent.value), _language_table()
-        for row in rows:
-            if row["held"]:
-                hashes = word_hashes(row["text"])
-                part = int(np.rint(np.clip(known.logit(hashes), -30, 30) * _LOGIT_PART))
-                yield (language_of(hashes, table), row["toxic"], part), 1
+        for row, hashes in _with_hashes(row for row in rows if row["held"]):
+            part = int(np.rint(np.clip(known.logit(hashes), -30, 30) * _LOGIT_PART))
+            yield (language_of(hashes, table), row["toxic"], part), 1
 
     tally = sorted(dealt.mapPartitions(logits).reduceByKey(lambda a, b: a + b).collect())
     language, toxic, part = np.array([key for key, _ in tally], int).reshape(-1, 3).T
@@ -439,7 +519,7 @@ def _added(pieces: RDD) -> list[tuple[int, np.ndarray, np.ndarray]]:
 
 
 def _copied(model: Model) -> Model:
-    return Model([t.copy() for t in model.tables], [f.copy() for f in model.filters], [b.copy() for b in model.biases], model.weights.copy(), model.bias, model.thresholds)
+    return Model(model.tables.copy(), [f.copy() for f in model.filters], [b.copy() for b in model.biases], model.weights.copy(), model.bias, model.thresholds)
 
 
 def _pass_over(model: Model, adam: _Adam, rows: list[tuple[int, int, np.ndarray]], balance: np.ndarray, turn: int) -> None:
@@ -491,8 +571,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         known, table = Model(**sent.value), _language_table()
         for batch in batches:
             rows = []
-            for text in batch["text"]:
-                hashes = word_hashes(text)
+            for hashes in hashes_by_text(batch["text"]):
                 language = language_of(hashes, table)
                 logit = np.clip(known.logit(hashes) - known.thresholds[language], -30, 30)
                 rows.append((float(1 / (1 + np.exp(-logit))) if len(hashes) else 0.0, LANGUAGES[language]))
