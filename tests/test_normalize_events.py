@@ -6,7 +6,7 @@ from helpers import AGAIN, INITIAL, raw_rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.events import distinct_violations, latest_entities, roll_up_events, roll_up_feed, violation_rows
-from tidemark.operators.normalize import dedup_audit, deduplicate, normalize_rows
+from tidemark.operators.normalize import dedup_audit, deduplicate, normalize_rows, row_digest
 from tidemark.sources.raw_log import read_raw_csv
 from tidemark.sources.stage_store import StageStore
 
@@ -181,6 +181,45 @@ def test_events_and_details_of_rows_with_copies_need_no_wide_shuffle(spark):
     assert "_row" in plan and "restaurant_name" not in plan.split("RepartitionByExpression")[0]
 
 
+def test_a_digest_tells_nulls_columns_and_long_rows_apart(spark):
+    names = [f"c{k}" for k in range(70)]
+    rows = [[None] * 70 for _ in range(6)]
+    rows[1][0], rows[2][1], rows[3][65], rows[4][66] = "a", "a", "a", "a"
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in names))
+    digest = row_digest(df)
+    assert df.select(*digest.values()).distinct().count() == 5
+    zeros = spark.createDataFrame([(0.0, None), (-0.0, None), (None, 0.0)], "a double, b double")
+    assert zeros.select(*row_digest(zeros).values()).distinct().count() == 2
+
+
+def test_dates_are_typed_once_and_filtered_after(spark):
+    """The filter on the date is not put below the typing, where it would read the text of every row again."""
+    typed = normalize_rows(raw_rows(spark, [{"CAMIS": "1", "INSPECTION DATE": "6/7/2024"}]))
+    for df in (roll_up_feed(typed), distinct_violations(typed)):
+        filters = [line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in line]
+        assert any("isnotnull(inspection_date" in line for line in filters)
+        assert not any("INSPECTION DATE" in line for line in filters)
+
+
+def test_unique_rows_lie_by_event(spark):
+    """Copies go in one exchange on the event, and the roll-up of what is stored finds an event's rows together."""
+    days = [f"{m}/{d}/2024" for m in range(1, 13) for d in range(1, 21)]
+    rows = [{"CAMIS": str(k % 7), "INSPECTION DATE": day, "SCORE": str(k)} for k, day in enumerate(days) for _ in range(2)]
+    unique = deduplicate(normalize_rows(raw_rows(spark, rows * 2)).repartition(5))
+    assert shuffled(unique) == 1 and unique.count() == len(days)
+    text = unique._jdf.queryExecution().executedPlan().toString()
+    exchange = next(line for line in text.splitlines() if "Exchange hashpartitioning" in line)
+    assert all(c in exchange for c in ("camis", "inspection_date", "inspection_type")) and "location" not in exchange
+
+
+def test_flags_in_any_case(spark):
+    from tidemark.functions import canonical_flag
+
+    cells = [" CRITICAL ", "critical", "not Critical", "NOT APPLICABLE", "", "  ", None, "weird", "critical flag"]
+    df = spark.createDataFrame([(c,) for c in cells], "f string").select(canonical_flag(F.col("f")).alias("f"))
+    assert [r["f"] for r in df.collect()] == ["Critical", "Critical", "Not Critical", "Not Applicable", None, None, None, "Unexpected", "Unexpected"]
+
+
 def test_stages_are_written_in_small_tasks(spark, tmp_path):
     """Exchange partitions no longer follow the session's few; afterwards its settings are as before."""
     names = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
