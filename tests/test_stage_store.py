@@ -144,3 +144,30 @@ def test_exchange_partitions_of_a_write_grow_with_the_files_read(spark, tmp_path
     assert parts[0] > 8 and parts[1] > 5 * parts[0]
     # A leaf of unknown size asks for no more than the least.
     assert store._partitions(spark.createDataFrame([(1,)], "id int").localCheckpoint()) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_stage_files_are_compressed_with_entropy_coding(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    store = StageStore(spark, str(tmp_path))
+    df = spark.range(1000).select(F.col("id"), F.md5(F.col("id").cast("string")).alias("digest"))
+    store.write("plain", df)
+    store.write("placed", df, "id")
+    for name in ("plain", "placed"):
+        for path in (tmp_path / "versions" / store.version / name).glob("*.parquet"):
+            assert pq.ParquetFile(path).metadata.row_group(0).column(1).compression == "ZSTD"
+
+
+def test_the_landed_feed_is_compressed_files_of_bounded_size(spark, tmp_path, monkeypatch):
+    from contract import model_queries
+
+    class Feed:
+        raw = raw_rows(spark, feed(12))
+
+    Feed.spark = spark
+    monkeypatch.setattr(model_queries, "shared_folder", lambda _: str(tmp_path))
+    monkeypatch.setattr(model_queries, "LANDED_ROWS", 5)
+    landed = model_queries._landed(Feed)
+    assert sorted(map(str, landed.collect())) == sorted(map(str, Feed.raw.collect()))
+    files = list(tmp_path.glob("*-landing/*.csv.gz"))
+    assert len(files) > 4
