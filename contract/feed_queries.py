@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from contract.job_queries import _place
+from contract.model_queries import LANDED_ROWS
 from contract.oracle_tables import over_stages
 from contract.queries import register
 from tidemark.sources.raw_log import RAW_COLUMNS, read_raw_csv
@@ -20,6 +21,7 @@ def _(s):
     path = _place(s, "quoted")
     changed = s.raw.withColumn("DBA", F.expr(_BROKEN.replace('"second"', '\\"second\\"')))
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "header": True, "escape": '"'}
+    keep |= {"compression": "gzip", "maxRecordsPerFile": LANDED_ROWS}
     changed.write.options(**keep).csv(path)
     rows = read_raw_csv(s.spark, path, multi_line=True)
     assert rows.columns == list(RAW_COLUMNS)

@@ -78,3 +78,17 @@ def test_faulty_feeds_fail(spark, tmp_path):
     (short / "a.csv").write_text(",".join(RAW_COLUMNS[:-1]) + "\n")
     with pytest.raises(ValueError, match="lacks columns: Location"):
         read_raw_csv(spark, str(short), multi_line=True)
+
+
+def test_compressed_files_and_splits_without_breaks(spark, tmp_path):
+    """Compressed files are read whole; lines of splits without a broken row are not moved."""
+    import gzip
+
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    (folder / "a.csv.gz").write_bytes(gzip.compress(feed(3, 200).encode()))
+    (folder / "b.csv").write_bytes(feed(4, 50).encode())
+    found = read_raw_csv(spark, str(folder), multi_line=True)
+    assert ordered(found) == ordered(spark_reader(spark, str(folder)))
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in text
